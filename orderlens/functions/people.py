@@ -83,8 +83,8 @@ def star_sign(birthday: Column) -> Column:
 
 
 def zodiac(birthday: Column) -> Column:
-    animals = F.array(*[F.lit(animal) for animal in ZODIAC])
-    return F.element_at(animals, F.year(birthday) % 12 + 1)
+    # get, unlike element_at, stays NULL for a NULL position in ANSI mode.
+    return F.get(F.array(*[F.lit(animal) for animal in ZODIAC]), F.year(birthday) % 12)
 
 
 def birth_month_day(id_type: Column, id_no: Column, birthday: Column) -> Column:

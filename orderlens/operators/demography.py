@@ -138,35 +138,36 @@ AGE_BANDS = tuple(AGE_BAND_YEARS)[:7]
 
 
 def _in_years(age: Column, low: int | None, high: int | None) -> Column:
-    condition = F.lit(True)
-    if low is not None:
-        condition = condition & (age >= low * 365)
-    if high is not None:
-        condition = condition & (age < high * 365)
-    return condition
+    if low is None:
+        return age < high * 365
+    from_low = age >= low * 365
+    return from_low if high is None else from_low & (age < high * 365)
 
 
-def _one_per_label(rows: DataFrame, conditions: dict[str, Column], digits: dict[str, int | None]):
-    """Count every condition in one pass, then turn the single row into one per label."""
+def _one_per_label(rows: DataFrame, conditions: dict[str, Column], exact: tuple[str, ...]):
+    """Count every condition in one pass, then turn the single row into one per label.
+
+    Shares have three decimals, those of ``exact`` labels are not rounded.
+    """
     names = {label: f"c{i}" for i, label in enumerate(conditions)}
     counts = rows.agg(
         count_rows().alias("everyone"),
         *[F.count_if(cond).alias(names[label]) for label, cond in conditions.items()],
     )
-    entries = []
-    for i, (label, name) in enumerate(names.items()):
-        part = ratio(F.col(name), F.col("everyone"))
-        if digits[label] is not None:
-            part = round_even(part, digits[label])
-        entries.append(
-            F.struct(
-                F.lit(i).alias("sort_key"),
-                F.lit(label).alias("label"),
-                F.col(name).alias("people"),
-                part.alias("share"),
-            )
+    entries = [
+        F.struct(
+            F.lit(i).alias("sort_key"), F.lit(label).alias("label"), F.col(name).alias("people")
         )
-    return counts.select(F.inline(F.array(*entries)))
+        for i, (label, name) in enumerate(names.items())
+    ]
+    lines = counts.select("everyone", F.inline(F.array(*entries)))
+    part = ratio(F.col("people"), F.col("everyone"))
+    return lines.select(
+        "sort_key",
+        "label",
+        "people",
+        F.when(F.col("label").isin(*exact), part).otherwise(round_even(part, 3)).alias("share"),
+    )
 
 
 def fact_sheet(
@@ -189,30 +190,34 @@ def fact_sheet(
     rows = _sold_between(df, cols, fields, start, end, drop_refunds)
     birthday = _birthday()
     created = as_day("date_created")
-    age = P.age_days(created, birthday)
-    is_online = F.col("company").rlike(online)
-    launch_day = launch if launch is not None else start
+    rows = rows.withColumns(
+        {
+            "age": P.age_days(created, birthday),
+            "bought_on": month_day(created),
+            "birth_on": month_day(birthday),
+            "id_birth_on": P.birth_month_day(F.col("id_type"), F.col("id_no"), birthday),
+            "is_online": F.coalesce(F.col("company").rlike(online), F.lit(False)),
+        }
+    )
+    launch_on = month_day(F.lit(launch if launch is not None else start).cast("date"))
+    age = F.col("age")
     conditions = {
         "净投保量": F.lit(True),
         "个人净投保量": F.col("group") == "self",
         "企业净投保量": F.col("group") == "com",
-        "线上平台": is_online,
-        "线下保司": ~F.coalesce(is_online, F.lit(False)),
+        "线上平台": F.col("is_online"),
+        "线下保司": ~F.col("is_online"),
         "男性": F.col("sex") == P.MALE,
         "女性": F.col("sex") == P.FEMALE,
-        "和项目同一天生日": month_day(birthday) == month_day(F.lit(launch_day).cast("date")),
-        "生日当天购买": month_day(created)
-        == P.birth_month_day(F.col("id_type"), F.col("id_no"), birthday),
+        "和项目同一天生日": F.col("birth_on") == launch_on,
+        "生日当天购买": F.col("bought_on") == F.col("id_birth_on"),
         "港澳台同胞": F.col("id_type").isin(*L.HMT_ID_TYPES),
         "国际友人": F.col("id_type").isin(*L.FOREIGN_ID_TYPES),
         **{label: _in_years(age, *years) for label, years in AGE_BAND_YEARS.items()},
     }
-    conditions["0岁"] = age < 365
     if with_medical:
         conditions["预约医保个张扣缴"] = F.col("medical_flag") == 1
-    digits = dict.fromkeys(conditions, 3)
-    digits["和项目同一天生日"] = digits["生日当天购买"] = None
-    return _one_per_label(rows, conditions, digits)
+    return _one_per_label(rows, conditions, exact=("和项目同一天生日", "生日当天购买"))
 
 
 def _sold_between(df, cols, fields, start, end, drop_refunds=True) -> DataFrame:

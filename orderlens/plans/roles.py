@@ -15,6 +15,7 @@ BIRTHDAY = (
     "date '2000-06-23' - cast((c_custkey * 7919) % 39500 as int) end"
 )
 SEX = "case when c_custkey % 17 = 0 then null when c_custkey % 2 = 1 then '男' else '女' end"
+CHANNEL_1 = "case n_name when 'NATION_0' then null when 'NATION_3' then '展E保' else n_name end"
 COM_ID = "case when l_linestatus = 'O' then o_custkey % 50 end"
 
 # role -> (expression, tables beside lineitem)
@@ -33,7 +34,7 @@ ROLES: dict[str, tuple[str, tuple[str, ...]]] = {
         "case when p_brand = 'Brand#7' then '线上平台' else nullif(p_brand, 'Brand#13') end",
         ("part",),
     ),
-    "channel_1": ("nullif(n_name, 'NATION_0')", ("orders", "customer", "nation")),
+    "channel_1": (CHANNEL_1, ("orders", "customer", "nation")),
     "channel_2": ("nullif(p_type, 'PROMO')", ("part",)),
     "channel_3": ("case when l_suppkey % 10 <> 0 then 'agent_' || cast(l_suppkey as string) end", ()),
     "sale_channel_id": ("case when l_suppkey % 10 <> 0 then l_suppkey end", ()),
@@ -115,6 +116,56 @@ def fact_sql() -> str:
     return f"select\n  {columns}\nfrom lineitem\n{joins}"
 
 
+# Agents, company list, deduction tasks and totals, over the small test tables.
+SIDE: dict[str, tuple[str, dict[str, str]]] = {
+    "agents": (
+        "supplier join nation on s_nationkey = n_nationkey",
+        {
+            "channel_id": "s_suppkey",
+            "channel_1": CHANNEL_1,
+            "channel_2": "'branch_' || cast(s_suppkey % 7 as string)",
+            "channel_3": (
+                "case when s_suppkey % 9 = 0 then 'branch_' || cast(s_suppkey % 7 as string) else s_name end"
+            ),
+            "registered": "date '1995-01-01' + cast(s_suppkey * 7 % 900 as int)",
+        },
+    ),
+    "company_channels": (
+        "nation",
+        {
+            "channel_1": CHANNEL_1,
+            "company": (
+                "case n_nationkey % 6 when 0 then 'MACHINERY' when 1 then 'BUILDING' "
+                "when 2 then 'AUTOMOBILE' when 3 then 'FURNITURE' when 4 then 'OTHER' end"
+            ),
+        },
+    ),
+    "region_codes_2": (
+        "nation join region on n_regionkey = r_regionkey",
+        {
+            "region": "case when n_nationkey % 5 <> 4 then r_name end",
+            "code": "cast(n_nationkey + 11 as string)",
+        },
+    ),
+    "task_config": (
+        "region",
+        {
+            "id": "r_regionkey",
+            "project_name": "r_name || case when r_regionkey = 3 then '测试' else '' end",
+            "advance_deduction_notice_time": "'2022-03-0' || cast(r_regionkey + 1 as string) || ' 09:00:00'",
+            "start_deduction_time": "'2022-03-1' || cast(r_regionkey as string) || ' 10:00:00'",
+        },
+    ),
+    "task_totals": (
+        "orders",
+        {
+            "auto_deduction_base_config_id": "o_orderkey % 5",
+            "deduction_pay_success_total": "o_custkey % 3",
+            "send_msg_total": "o_custkey % 17",
+        },
+    ),
+}
+
 # Raw tables of the extraction step, each over one or two test tables.
 # name -> (from clause, {column: expression})
 RAW_PERSON = {
@@ -276,8 +327,9 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
             "level": "3",
             "ancestor_name": "case when s_suppkey % 4 <> 0 then r_name || ',' || n_name end",
             "channel_name": (
-                "case when s_suppkey % 5 = 0 then s_name when s_suppkey % 35 = 1 then 'gone#' || s_name "
-                "else 'n' || cast(n_nationkey as string) || '#' || s_name end"
+                "case when s_suppkey % 5 = 0 then replace(s_name, '#', '-') "
+                "when s_suppkey % 35 = 1 then 'gone#' || s_name "
+                "else 'n' || cast(n_nationkey as string) || '#' || replace(s_name, '#', '-') end"
             ),
         },
     ),
@@ -305,8 +357,8 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw table of the extraction step."""
-    source, columns = RAW[name]
+    """One raw table of the extraction step, or one of the side tables."""
+    source, columns = {**RAW, **SIDE}[name]
     first, *joins = source.split(" join ")
     joined = table(spark, sf_dir, first)
     for join in joins:
@@ -316,6 +368,6 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_sql(name: str) -> str:
-    source, columns = RAW[name]
+    source, columns = {**RAW, **SIDE}[name]
     shown = ", ".join(f'{expr} as "{column}"' for column, expr in columns.items())
     return f"select {shown} from {source}"
