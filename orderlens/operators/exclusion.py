@@ -67,98 +67,126 @@ def person_id(df: DataFrame) -> DataFrame:
 
 
 def signed_orders(df: DataFrame, fields: Sequence[str] = SIGNED_FIELDS) -> DataFrame:
-    """Orders with the deduction agreement, pruned and with the person's id."""
-    return person_id(df.filter("automatic_deduction = 1").select(*fields))
+    """Orders with the deduction agreement, with the person's id.
+
+    ``account`` is the open id, or the customer id where that is an empty text.
+    The rules read this table several times, so a job writes it once first.
+    """
+    signed = df.filter("automatic_deduction = 1").select(*fields)
+    account = F.when(F.col("open_id") == "", F.col("customer_id")).otherwise(F.col("open_id"))
+    return person_id(signed).withColumn("account", account)
 
 
-def _semi(signed: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return signed.join(keys, null_safe(signed, keys, list(on)), "left_semi")
+@dataclass(frozen=True)
+class Rule:
+    """Signed orders whose columns ``on`` occur in ``keys``; NULL matches NULL.
 
+    Every rule boils down to distinct keys, counted by a partial aggregation
+    where counting is needed, so one account or person with very many orders
+    is never gathered in a single task.
+    """
 
-def _account() -> Column:
-    """The open id, replaced by the customer id where it is an empty text."""
-    return F.when(F.col("open_id") == "", F.col("customer_id")).otherwise(F.col("open_id"))
+    keys: DataFrame
+    on: tuple[str, ...]
 
 
-def listed_people(signed: DataFrame, listed: DataFrame) -> DataFrame:
+def listed_people(listed: DataFrame) -> Rule:
     """Insured persons on a given list (deceased and others)."""
-    return _semi(signed, listed.select("id_no").distinct(), ["id_no"])
+    return Rule(listed.select("id_no").distinct(), ("id_no",))
 
 
-def rebought(signed: DataFrame, orders: DataFrame) -> DataFrame:
+def rebought(orders: DataFrame) -> Rule:
     """Insured persons who already have one of ``orders`` this year."""
-    return _semi(signed, orders.select("id_no").distinct(), ["id_no"])
+    return Rule(orders.select("id_no").distinct(), ("id_no",))
 
 
-def over_limit(signed: DataFrame, limit: int) -> DataFrame:
-    """Orders of accounts with more than ``limit`` orders in a batch.
-
-    Accounts are counted by a partial aggregation and matched back, so one
-    account with very many orders is never gathered in a single task.
-    """
-    accounts = signed.withColumn("account", _account())
-    keys = accounts.groupBy("ad_group", "account").agg(count_rows().alias("n"))
-    keys = keys.filter(F.col("n") > limit).select("ad_group", "account")
-    return _semi(accounts, keys, ["ad_group", "account"]).drop("account")
+def over_limit(signed: DataFrame, limit: int) -> Rule:
+    """Accounts with more than ``limit`` orders in a batch."""
+    counted = signed.groupBy("ad_group", "account").agg(count_rows().alias("n"))
+    return Rule(
+        counted.filter(F.col("n") > limit).select("ad_group", "account"), ("ad_group", "account")
+    )
 
 
-def failed_attempts(signed: DataFrame, attempts: DataFrame, tasks: Sequence[str]) -> DataFrame:
+def failed_attempts(attempts: DataFrame, tasks: Sequence[str]) -> Rule:
     """Orders whose deduction failed in one of the listed tasks."""
     failed = attempts.filter(
         F.col("auto_deduction_base_config_id").isin(*tasks)
         & F.col("deal_status").isin(*FAILED_STATUSES)
     )
     keys = failed.select(F.col("old_order_item_id").alias("order_item_id")).distinct()
-    return _semi(signed, keys, ["order_item_id"])
+    return Rule(keys, ("order_item_id",))
 
 
-def multiple_ids(signed: DataFrame, key: str, other: str) -> DataFrame:
-    """Orders whose ``key`` goes with two or more values of ``other`` in a batch.
+def _distinct_with_null(column: str) -> Column:
+    return F.count_distinct(column) + F.max(F.col(column).isNull().cast("int"))
+
+
+def multiple_ids(signed: DataFrame, key: str, other: str) -> Rule:
+    """Values of ``key`` that go with two or more values of ``other`` in a batch.
 
     Orders without an open id do not take part when open ids are involved.
     """
     rows = signed
     if "open_id" in (key, other):
         rows = rows.filter("open_id is not null and open_id <> ''")
-    counted = rows.groupBy("ad_group", key).agg(
-        (F.count_distinct(other) + F.max(F.col(other).isNull().cast("int"))).alias("n")
-    )
-    keys = counted.filter("n >= 2").select(key).distinct()
-    return _semi(signed, keys, [key])
+    counted = rows.groupBy("ad_group", key).agg(_distinct_with_null(other).alias("n"))
+    return Rule(counted.filter("n >= 2").select(key).distinct(), (key,))
 
 
-def same_day_accounts(signed: DataFrame) -> DataFrame:
-    """Orders whose open id has orders in two or more batches of the day."""
-    counted = signed.groupBy(_account().alias("open_id")).agg(
-        (F.count_distinct("ad_group") + F.max(F.col("ad_group").isNull().cast("int"))).alias("n")
-    )
-    return _semi(signed, counted.filter("n >= 2").select("open_id"), ["open_id"])
+def same_day_accounts(signed: DataFrame) -> Rule:
+    """Accounts with orders in two or more batches, matched on the open id as stored."""
+    counted = signed.groupBy("account").agg(_distinct_with_null("ad_group").alias("n"))
+    keys = counted.filter("n >= 2").select(F.col("account").alias("open_id"))
+    return Rule(keys, ("open_id",))
 
 
-def listed_applicants(signed: DataFrame, listed: DataFrame) -> DataFrame:
+def listed_applicants(listed: DataFrame) -> Rule:
     """Orders whose applicant is on a given list (medical accounts)."""
     keys = listed.select(F.col("id_no").alias("applicant_id_no")).distinct()
-    return _semi(signed, keys, ["applicant_id_no"])
-
-
-def exclusion_list(signed: DataFrame, rules: dict[str, DataFrame]) -> DataFrame:
+    return Rule(keys, ("applicant_id_no",))
+
+
+def caught(signed: DataFrame, rule: Rule) -> DataFrame:
+    """The signed orders a single rule catches."""
+    matched = signed.join(rule.keys, null_safe(signed, rule.keys, rule.on), "left_semi")
+    return matched.drop("account")
+
+
+def rule_flags(signed: DataFrame, rules: dict[str, Rule]) -> DataFrame:
+    """Signed orders with one 0/1 flag per rule."""
+    flagged = signed
+    for name, rule in rules.items():
+        marked = rule.keys.select(
+            *[F.col(key).alias(f"{name}_{key}") for key in rule.on], F.lit(1).alias(name)
+        )
+        condition = reduce(
+            Column.__and__,
+            [F.col(key).eqNullSafe(F.col(f"{name}_{key}")) for key in rule.on],
+        )
+        flagged = (
+            flagged.join(marked, condition, "left")
+            .drop(*[f"{name}_{key}" for key in rule.on])
+            .withColumn(name, F.coalesce(F.col(name), F.lit(0)))
+        )
+    return flagged
+
+
+def exclusion_list(signed: DataFrame, rules: dict[str, Rule]) -> DataFrame:
     """All signed orders of every person some rule caught, one 0/1 flag per rule.
 
-    ``rules`` maps a flag name to the orders the rule caught. The rules meet
-    in one aggregation per person, and the orders are matched to it once.
+    The orders get their row flags in one pass, the flags meet in one
+    aggregation per person, and the orders are matched to those persons once.
     """
-    tagged = [
-        caught.select(
-            "unique_id", *[F.lit(int(name == other)).alias(other) for other in rules]
-        ).distinct()
-        for name, caught in rules.items()
-    ]
+    any_rule = F.greatest(*rules, F.lit(0)) == 1
     people = (
-        reduce(DataFrame.unionByName, tagged)
+        rule_flags(signed, rules)
+        .filter(any_rule)
         .groupBy("unique_id")
         .agg(*[F.max(name).alias(name) for name in rules])
     )
-    return signed.join(people, null_safe(signed, people, ["unique_id"])).drop(people["unique_id"])
+    listed = signed.join(people, null_safe(signed, people, ["unique_id"]))
+    return listed.drop(people["unique_id"]).drop("account")
 
 
 def exclusion_sheet(excluded: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import labels as L
+from orderlens.functions.lookup import lookup_join
 from orderlens.functions.nulls import flag
 from orderlens.functions.people import birthday_from_id, sex_from_id
 
@@ -251,7 +252,7 @@ def channel_table(raw: DataFrame) -> DataFrame:
 
 def with_channels(orders: DataFrame, channels: DataFrame) -> DataFrame:
     """Add channel names; orders without a channel id match nothing and stay."""
-    return orders.join(channels, "sale_channel_id", "left")
+    return lookup_join(orders, channels, "sale_channel_id")
 
 
 def with_channels_by_prefix(
@@ -271,7 +272,7 @@ def with_channels_by_prefix(
         ).agg(F.min_by(F.struct(*NAMES), "sale_channel_id").alias("hit"))
         missing = F.col("channel_1").isNull()
         prefix = F.when(missing, F.substring("sale_channel_id", 1, length))
-        joined = filled.join(lookup, prefix == F.col("prefix"), "left")
+        joined = lookup_join(filled, lookup, prefix == F.col("prefix"))
         found = F.col("hit").isNotNull()
         filled = joined.withColumns(
             {
@@ -290,7 +291,7 @@ def with_agent_suffix(orders: DataFrame) -> DataFrame:
 
 def with_company(orders: DataFrame, companies: DataFrame, online_skus: Sequence[str] = ()):
     """Add the company of the sku; skus of the online platform override it."""
-    joined = orders.join(companies.select("sku_code", "company"), "sku_code", "left")
+    joined = lookup_join(orders, companies.select("sku_code", "company"), "sku_code")
     if not online_skus:
         return joined
     online = F.coalesce(F.col("sku_code").isin(*online_skus), F.lit(False))
@@ -299,7 +300,7 @@ def with_company(orders: DataFrame, companies: DataFrame, online_skus: Sequence[
 
 def with_payway(orders: DataFrame, payways: DataFrame) -> DataFrame:
     return (
-        orders.join(payways.select("payway_code", "payway"), "payway_code", "left")
+        lookup_join(orders, payways.select("payway_code", "payway"), "payway_code")
         .withColumn("payway", F.coalesce(F.col("payway"), F.lit(L.OTHER)))
         .drop("payway_code")
     )

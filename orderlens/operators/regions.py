@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderlens.columns import Columns, as_day, pick, refund_statuses
 from orderlens.functions.dates import month_label, week_start
 from orderlens.functions.labels import OTHER
+from orderlens.functions.lookup import lookup_join
 from orderlens.functions.nulls import count_rows, is_in
 from orderlens.functions.numbers import share
 from orderlens.operators.demography import sold, top_with_ties
@@ -33,7 +34,7 @@ def with_region(df: DataFrame, codes: DataFrame, id_no: Column, prefix_len: int)
     A code listed under two regions puts the order into both.
     """
     coded = df.withColumn("code", F.substring(id_no, 1, prefix_len))
-    return coded.join(codes, "code", "left").withColumn(
+    return lookup_join(coded, codes, "code").withColumn(
         "region", F.coalesce(F.col("region"), F.lit(OTHER))
     )
 

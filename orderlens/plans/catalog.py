@@ -399,16 +399,23 @@ SIGNED_COLUMNS = (
 )
 
 
+# Some open ids are empty texts; some orders carry another customer or open id.
+SIGNED_CUSTOMER = (
+    "cast(customer_id as string) || case when order_item_id % 40 = 3 then 'c' else '' end"
+)
+SIGNED_OPEN_ID = (
+    "case when open_id is null and customer_id % 2 = 0 then '' "
+    "else cast(open_id as string) || case when order_item_id % 30 = 1 then 'o' else '' end end"
+)
+
+
 def _signed(spark, sf_dir):
-    """Last year's signed orders in batches; some open ids are empty texts."""
+    """Last year's signed orders, in batches."""
     rows = fact(spark, sf_dir, *SIGNED_ROLES).filter(F.col("date_created").between(*LAST_YEAR))
     rows = rows.withColumns(
         {
-            "customer_id": F.col("customer_id").cast("string"),
-            "open_id": F.expr(
-                "case when open_id is null and customer_id % 2 = 0 then '' "
-                "else cast(open_id as string) end"
-            ),
+            "customer_id": F.expr(SIGNED_CUSTOMER),
+            "open_id": F.expr(SIGNED_OPEN_ID),
         }
     )
     return X.signed_orders(X.assign_batches(rows, BATCHES), SIGNED_COLUMNS)
@@ -433,23 +440,23 @@ def _rules(spark, sf_dir, signed):
         ),
     )
     return {
-        "listed": X.listed_people(signed, _ids(spark, sf_dir, "applicant_id_no % 97 = 0")),
-        "rebought": X.rebought(signed, com),
+        "listed": X.listed_people(_ids(spark, sf_dir, "applicant_id_no % 97 = 0")),
+        "rebought": X.rebought(com),
         "over_limit": X.over_limit(signed, ACCOUNT_LIMIT),
-        "failed": X.failed_attempts(signed, attempts, FAILED_TASKS),
+        "failed": X.failed_attempts(attempts, FAILED_TASKS),
         "same_day": X.same_day_accounts(signed),
-        "medical": X.listed_applicants(
-            signed, medical.select(F.col("applicant_id_no").alias("id_no"))
-        ),
+        "medical": X.listed_applicants(medical.select(F.col("applicant_id_no").alias("id_no"))),
     }
 
 
 def _rule(spark, sf_dir, name):
-    return _rules(spark, sf_dir, _signed(spark, sf_dir))[name]
+    signed = _signed(spark, sf_dir)
+    return X.caught(signed, _rules(spark, sf_dir, signed)[name])
 
 
 def _multiple(spark, sf_dir, key, other):
-    return X.multiple_ids(_signed(spark, sf_dir), key, other)
+    signed = _signed(spark, sf_dir)
+    return X.caught(signed, X.multiple_ids(signed, key, other))
 
 
 def exclusion_list(spark, sf_dir):

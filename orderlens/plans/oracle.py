@@ -920,8 +920,7 @@ SIGNED = f""", batched as (
       when company = 'BUILDING' and date_created >= date '1999-03-01' then '2'
       when sku_code = 'sku5' and date_created <= date '1999-06-30' then '3' end as ad_group,
     order_item_id, company, sku_code,
-    case when open_id is null and customer_id % 2 = 0 then '' else cast(open_id as varchar) end as open_id,
-    cast(customer_id as varchar) as customer_id, applicant_id_no, name, id_type, id_no, birthday, sex
+    {C.SIGNED_OPEN_ID} as open_id, {C.SIGNED_CUSTOMER} as customer_id, applicant_id_no, name, id_type, id_no, birthday, sex
   from fact
   where date_created between date '{C.LAST_YEAR[0]}' and date '{C.LAST_YEAR[1]}' and automatic_deduction = 1
 ), signed as (
