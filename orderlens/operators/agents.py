@@ -228,11 +228,14 @@ def agent_registered(
         .withColumn("next_date", F.lead("date").over(per_agent))
     )
     since = registry.groupBy("company", "channel_id").agg(F.min("registered").alias("since"))
-    last_day = averages.groupBy("company").agg(F.max("date").alias("last_date"))
+    registered_levels = levels.join(since, ["company", "channel_id"])
+    if end is None:
+        last_day = averages.groupBy("company").agg(F.max("date").alias("last_date"))
+        registered_levels = registered_levels.join(last_day, "company")
+    else:
+        registered_levels = registered_levels.withColumn("last_date", F.lit(end).cast("date"))
     stretches = (
-        levels.join(since, ["company", "channel_id"])
-        .join(last_day, "company")
-        .select(
+        registered_levels.select(
             "company",
             "level",
             F.greatest("date", "since").alias("from_date"),

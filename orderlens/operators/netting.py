@@ -54,7 +54,6 @@ def net_orders(
     start: date | str | None = None,
     end: date | str | None = None,
     by: Sequence[str] = (),
-    labels: Sequence[str] = (),
     total_by: Sequence[str] | None = None,
     required: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -62,21 +61,20 @@ def net_orders(
 
     Orders count on the day they were created, refunds on the day they were
     updated. Each order row is read once and spread into its one or two dated
-    events, so a single aggregation gives both sides, the days that hold only
+    events, so the same aggregation gives both sides, the days that hold only
     refunds, and the totals (``is_total`` 1), which count users afresh over
     all days. Rows with a NULL in ``required`` (by default ``by``) are left
     out. ``total_by`` names the keys of the totals when they are fewer than
-    ``by``; the smallest value of each of ``labels`` is carried along.
-    Individual orders also get ``auto_deduct``, the valid orders with the
-    deduction agreement.
+    ``by``. Individual orders also get ``auto_deduct``, the valid orders with
+    the deduction agreement.
     """
-    by, labels = list(by), list(labels)
+    by = list(by)
     total_by = by if total_by is None else list(total_by)
     required = by if required is None else list(required)
     with_deduct = kind == "self"
     statuses = refund_statuses(kind)
     fields = dict.fromkeys(
-        ["date_created", "date_updated", "status", *BUYER_FIELDS[kind], *by, *labels]
+        ["date_created", "date_updated", "status", *BUYER_FIELDS[kind], *by]
         + (["auto_deduct"] if with_deduct else [])
     )
     user, applicant = buyers(kind)
@@ -101,46 +99,38 @@ def net_orders(
     rows = pick(df, cols, *fields).filter(in_period(created, start, end))
     if required:
         rows = rows.dropna(subset=required)
-    carried = {label: f"label_{label}" for label in labels}
     events = rows.select(
         *by,
-        *[F.col(label).alias(name) for label, name in carried.items()],
         F.explode(
             F.when(refunded, F.array(order_event, refund_event)).otherwise(F.array(order_event))
         ).alias("event"),
-    ).select(*by, *carried.values(), "event.*")
+    ).select(*by, "event.*")
 
-    is_order = F.col("is_order") == 1
+    # Down to one row per buyer and day before the distinct counts and the
+    # grouping sets multiply rows; a hot buyer collapses on the map side.
+    keys = ["date", *by]
+    bought = events.groupBy(*keys, "user", "applicant").agg(
+        F.sum("is_order").alias("orders"),
+        F.sum(1 - F.col("is_order")).alias("refunds"),
+        F.sum("deduct").alias("deduct"),
+    )
+    has_orders = F.col("orders") > 0
     counts = [
-        count_distinct_na(F.col("user"), is_order).cast("long").alias("users"),
-        count_distinct_na(F.col("applicant"), is_order).cast("long").alias("applicants"),
-        F.sum("is_order").cast("long").alias("orders"),
-        F.sum(1 - F.col("is_order")).cast("long").alias("refunds"),
+        count_distinct_na(F.col("user"), has_orders).cast("long").alias("users"),
+        count_distinct_na(F.col("applicant"), has_orders).cast("long").alias("applicants"),
+        F.sum("orders").cast("long").alias("orders"),
+        F.sum("refunds").cast("long").alias("refunds"),
         *([F.sum("deduct").cast("long").alias("auto_deduct")] if with_deduct else []),
-        *[F.min(name).alias(name) for name in carried.values()],
         F.grouping("date").cast("int").alias("is_total"),
     ]
-    keys = ["date", *by]
-    result = events.groupingSets(
+    result = bought.groupingSets(
         [[F.col(key) for key in keys], [F.col(key) for key in total_by]],
         *[F.col(key) for key in keys],
     ).agg(*counts)
     net = (F.col("orders") - F.col("refunds")).alias("net_orders")
     measures = ["users", "applicants", "orders", "refunds"]
-    # A key the totals are not split by shows its carried label there.
-    shown = [
-        F.coalesce(F.col(key), F.when(F.col("is_total") == 1, F.col(carried[key]))).alias(key)
-        if key in carried
-        else F.col(key)
-        for key in keys
-    ]
     return result.select(
-        *shown,
-        *[F.col(name).alias(label) for label, name in carried.items() if label not in by],
-        "is_total",
-        *measures,
-        net,
-        *(["auto_deduct"] if with_deduct else []),
+        *keys, "is_total", *measures, net, *(["auto_deduct"] if with_deduct else [])
     )
 
 
@@ -161,18 +151,39 @@ def daily_channel2_net(df, cols=Columns(), kind="all", start=None, end=None) ->
 
 
 def daily_channel3_net(df, cols=Columns(), kind="all", start=None, end=None) -> DataFrame:
-    """Per day, company and channel id; totals are per channel id."""
-    return net_orders(
+    """Per day, company and channel id; totals are per channel id.
+
+    Each channel id shows one company and one set of names; totals show that
+    company.
+    """
+    counts = net_orders(
         df,
         cols,
         kind,
         start,
         end,
         by=["company", "channel_id"],
-        labels=["company", "channel_1", "channel_2", "channel_3"],
         total_by=["channel_id"],
         required=["channel_id"],
     )
+    names = ["company", "channel_1", "channel_2", "channel_3"]
+    rows = pick(df, cols, "date_created", "channel_id", *names)
+    # A channel id goes with few combinations of names, so the minimum runs on little.
+    shown = (
+        rows.filter(in_period(as_day("date_created"), start, end))
+        .select("channel_id", *names)
+        .distinct()
+        .groupBy("channel_id")
+        .agg(*[F.min(name).alias(f"shown_{name}") for name in names])
+    )
+    company = F.when(F.col("is_total") == 1, F.col("shown_company")).otherwise(F.col("company"))
+    return counts.join(shown, "channel_id").select(
+        "date",
+        company.alias("company"),
+        "channel_id",
+        *[F.col(f"shown_{name}").alias(name) for name in names[1:]],
+        *[c for c in counts.columns if c not in ("date", "company", "channel_id")],
+    )
 
 
 def company_rank(df: DataFrame, cols: Columns = Columns()) -> DataFrame:

@@ -115,13 +115,7 @@ def net_channel3() -> str:
   select date_created as d, company, channel_id, {counts} from base group by 1, 2, 3
 ), r as (
   select date_updated as d, company, channel_id, count(*) as n from base where refunded group by 1, 2, 3
-), names as (
-  select d, company, channel_id, {names} from (
-    select date_created as d, company, channel_id, channel_1, channel_2, channel_3 from base
-    union all
-    select date_updated, company, channel_id, channel_1, channel_2, channel_3 from base where refunded
-  ) group by 1, 2, 3
-), days as (
+), names as (select channel_id, {names} from base group by channel_id), days as (
   select coalesce(o.d, r.d) as d, coalesce(o.company, r.company) as company,
     coalesce(o.channel_id, r.channel_id) as channel_id, users, applicants, orders, n
   from o full join r on o.d = r.d and o.company is not distinct from r.company and o.channel_id = r.channel_id
@@ -130,8 +124,7 @@ select {day('days.d')} as date, days.company as company, days.channel_id as chan
   channel_3, 0 as is_total, {long('coalesce(users, 0)')} as users,
   {long('coalesce(applicants, 0)')} as applicants, {long('coalesce(orders, 0)')} as orders,
   {long('coalesce(n, 0)')} as refunds, {long('coalesce(orders, 0) - coalesce(n, 0)')} as net_orders
-from days join names on days.d = names.d and days.company is not distinct from names.company
-  and days.channel_id = names.channel_id
+from days join names on days.channel_id = names.channel_id
 union all
 select null, min(company), channel_id, min(channel_1), min(channel_2), min(channel_3), 1,
   {long(distinct_na('u'))}, {long(distinct_na('a'))}, count(*),
