@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 def round_even(value: Column, digits: int) -> Column:
     """Round to the nearest ``digits``-decimal double, exact ties to the even digit.
 
-    Candidates on both sides are compared with the binary value itself, so
-    0.15 goes to 0.1 (its double lies below the tie) and 0.125 to 0.12.
+    The candidates below and above are compared with the value in double
+    arithmetic: 0.15 goes to 0.1 (its double lies below the tie), 0.125 to 0.12.
     """
     scale = F.lit(float(10**digits))
     size = F.abs(value.cast("double"))

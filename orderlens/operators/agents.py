@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderlens.columns import Columns, as_day, pick, refund_statuses
 from orderlens.functions.nulls import count_rows, is_in, not_in, null_safe
 from orderlens.functions.numbers import ratio, share
+from orderlens.operators.netting import in_period
 
 UNMATCHED = "Unmatched"
 
@@ -116,12 +117,7 @@ def agent_orders(
     ``days`` comes from :func:`agent_days`, here and below.
     """
     running = _running(_company_days(days))
-    day = F.col("date")
-    shown = F.col("orders") > 0
-    if start is not None:
-        shown = shown & (day >= F.lit(start).cast("date"))
-    if end is not None:
-        shown = shown & (day <= F.lit(end).cast("date"))
+    shown = (F.col("orders") > 0) & in_period(F.col("date"), start, end)
     return running.filter(shown).select(
         "company",
         "date",
@@ -297,7 +293,7 @@ def agents_below_average(
     """
     per_agent = (
         days.filter(F.col("orders") > 0)
-        .filter(F.lit(True) if end is None else F.col("date") <= F.lit(end).cast("date"))
+        .filter(in_period(F.col("date"), None, end))
         .groupBy("company", "channel_id")
         .agg(F.sum("orders").cast("long").alias("orders"))
     )

@@ -34,6 +34,18 @@ def sold(
     return rows
 
 
+def sold_between(
+    df: DataFrame, cols: Columns, fields: list[str], start=None, end=None, drop_refunds: bool = True
+) -> DataFrame:
+    """As :func:`sold`, but the bounds are exact times."""
+    rows = sold(df, cols, fields, "all", drop_refunds=drop_refunds)
+    if start is not None:
+        rows = rows.filter(F.col("date_created") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        rows = rows.filter(F.col("date_created") <= F.lit(end).cast("timestamp_ntz"))
+    return rows
+
+
 def _birthday() -> Column:
     return as_day("birthday")
 
@@ -182,12 +194,13 @@ def fact_sheet(
 ) -> DataFrame:
     """People per fact (kind of order, sex, document, birthday, age) in one pass.
 
-    ``launch`` is the day whose birthdays are counted, by default ``start``.
+    ``launch`` is the day whose birthdays are counted, by default ``start`` or,
+    without one, the first day of the orders.
     """
     fields = ["group", "company", "sex", "id_type", "id_no", "birthday"]
     if with_medical:
         fields.append("medical_flag")
-    rows = _sold_between(df, cols, fields, start, end, drop_refunds)
+    rows = sold_between(df, cols, fields, start, end, drop_refunds)
     birthday = _birthday()
     created = as_day("date_created")
     rows = rows.withColumns(
@@ -199,7 +212,9 @@ def fact_sheet(
             "is_online": F.coalesce(F.col("company").rlike(online), F.lit(False)),
         }
     )
-    launch_on = month_day(F.lit(launch if launch is not None else start).cast("date"))
+    if launch is None:
+        launch = start if start is not None else rows.agg(F.min(created)).first()[0]
+    launch_on = month_day(F.lit(launch).cast("date"))
     age = F.col("age")
     conditions = {
         "净投保量": F.lit(True),
@@ -220,16 +235,6 @@ def fact_sheet(
     return _one_per_label(rows, conditions, exact=("和项目同一天生日", "生日当天购买"))
 
 
-def _sold_between(df, cols, fields, start, end, drop_refunds=True) -> DataFrame:
-    """As :func:`sold`, but bounds are exact times."""
-    rows = sold(df, cols, fields, "all", drop_refunds=drop_refunds)
-    if start is not None:
-        rows = rows.filter(F.col("date_created") >= F.lit(start).cast("timestamp_ntz"))
-    if end is not None:
-        rows = rows.filter(F.col("date_created") <= F.lit(end).cast("timestamp_ntz"))
-    return rows
-
-
 def _all_labels(rows: DataFrame, value: Column, labels: tuple[str, ...], top: int | None):
     """Count per label, labels without people included; ties share a rank."""
     counts = rows.groupBy(value.alias("label")).agg(count_rows().alias("n"))
@@ -255,18 +260,26 @@ def top_with_ties(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.withColumn("rank", rank).filter(F.col("rank") <= n).drop("rank")
 
 
-def star_sign_counts(df, cols=Columns(), top: int | None = None) -> DataFrame:
+# Below, ``scope`` is start, end (exact times) and drop_refunds of sold_between.
+
+
+def star_sign_counts(df, cols=Columns(), top: int | None = None, **scope) -> DataFrame:
+    """People per star sign, with shares; ``top`` keeps the largest, with ties."""
     signs = tuple(name for _, name in P.STAR_SIGNS)
-    return _all_labels(sold(df, cols, ["birthday"]), P.star_sign(_birthday()), signs, top)
+    rows = sold_between(df, cols, ["birthday"], **scope)
+    return _all_labels(rows, P.star_sign(_birthday()), signs, top)
 
 
-def zodiac_counts(df, cols=Columns(), top: int | None = None) -> DataFrame:
-    return _all_labels(sold(df, cols, ["birthday"]), P.zodiac(_birthday()), P.ZODIAC, top)
+def zodiac_counts(df, cols=Columns(), top: int | None = None, **scope) -> DataFrame:
+    """People per zodiac animal, with shares; ``top`` keeps the largest, with ties."""
+    rows = sold_between(df, cols, ["birthday"], **scope)
+    return _all_labels(rows, P.zodiac(_birthday()), P.ZODIAC, top)
 
 
-def payment_method_share(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
-    """Valid orders per payment method and their share."""
-    counts = sold(df, cols, ["payway"]).groupBy("payway").agg(count_rows().alias("people"))
+def payment_method_share(df: DataFrame, cols: Columns = Columns(), **scope) -> DataFrame:
+    """Orders per payment method and their share."""
+    rows = sold_between(df, cols, ["payway"], **scope)
+    counts = rows.groupBy("payway").agg(count_rows().alias("people"))
     everyone = F.sum("people").over(Window.partitionBy())
     return counts.select(
         F.concat(F.col("payway"), F.lit("支付")).alias("label"),
@@ -275,7 +288,9 @@ def payment_method_share(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     )
 
 
-def relationship_share(df: DataFrame, cols: Columns = Columns(), by_relation: bool = True):
+def relationship_share(
+    df: DataFrame, cols: Columns = Columns(), by_relation: bool = True, **scope
+) -> DataFrame:
     """Share bought for oneself and for family.
 
     With a relation column it is read over individual orders; without one, a
@@ -283,12 +298,13 @@ def relationship_share(df: DataFrame, cols: Columns = Columns(), by_relation: bo
     more as buying for family.
     """
     if by_relation:
-        rows = sold(df, cols, ["group", "relation"]).filter(F.col("group") == "self")
+        rows = sold_between(df, cols, ["group", "relation"], **scope)
+        rows = rows.filter(F.col("group") == "self")
         own = F.count_if(F.col("relation") == L.SELF_RELATION)
         family = F.count_if(F.col("relation") != L.SELF_RELATION)
     else:
         rows = (
-            sold(df, cols, ["customer_id"])
+            sold_between(df, cols, ["customer_id"], **scope)
             .filter(F.col("customer_id").isNotNull())
             .groupBy("customer_id")
             .agg(count_rows().alias("n"))
@@ -302,12 +318,12 @@ def relationship_share(df: DataFrame, cols: Columns = Columns(), by_relation: bo
     return counts.select(F.inline(F.array(*entries)))
 
 
-def youngest_oldest(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
+def youngest_oldest(df: DataFrame, cols: Columns = Columns(), **scope) -> DataFrame:
     """The youngest and the oldest insured person.
 
     Equal ages: the youngest is the latest order, the oldest the earliest.
     """
-    rows = sold(df, cols, ["birthday", "sex"])
+    rows = sold_between(df, cols, ["birthday", "sex"], **scope)
     created = as_day("date_created")
     rows = rows.select(
         P.age_days(created, _birthday()).alias("age"),
@@ -349,10 +365,10 @@ def youngest_oldest(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     )
 
 
-def surname_counts(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
+def surname_counts(df: DataFrame, cols: Columns = Columns(), **scope) -> DataFrame:
     """People per first character of the name, and their share."""
     counts = (
-        sold(df, cols, ["name"])
+        sold_between(df, cols, ["name"], **scope)
         .groupBy(P.surname(F.col("name")).alias("surname"))
         .agg(count_rows().alias("people"))
     )
@@ -363,7 +379,7 @@ def surname_counts(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
 def hour_profile(df: DataFrame, bought: str = "date_created") -> DataFrame:
     """Orders per hour of the day, their share, and the best and worst date.
 
-    Best and worst run over the dates with orders in that hour; the earliest
+    ``df`` holds the orders to count, see :func:`sold_between`. Best and worst run over the dates with orders in that hour; the earliest
     date wins a tie.
     """
     time = F.col(bought)

@@ -30,9 +30,14 @@ def split_refunds(df: DataFrame, kind: str, status: str = "status") -> tuple[Dat
 
 
 def buyers(kind: str) -> tuple[Column, Column]:
-    """Who counts as user and as applicant: the corporate id where it applies."""
+    """Who counts as user and as applicant: the corporate id where it applies.
+
+    Ids are compared as text, since the three may come in different types.
+    """
     refund_statuses(kind)
-    com, user, applicant = F.col("com_id"), F.col("open_id"), F.col("applicant")
+    com, user, applicant = (
+        F.col(name).cast("string") for name in ("com_id", "open_id", "applicant")
+    )
     if kind == "self":
         return user, applicant
     if kind == "com":
@@ -195,26 +200,30 @@ def company_rank(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     return sizes.withColumn("sort_key", F.row_number().over(by_size))
 
 
-def orders_vs_users(df: DataFrame, cols: Columns = Columns(), kind: str = "all") -> DataFrame:
+def _valid_with_user(df, cols, kind, start, end, *fields: str) -> DataFrame:
+    needed = dict.fromkeys([*fields, "date_created", "status", *BUYER_FIELDS[kind]])
+    rows = pick(df, cols, *needed).filter(in_period(as_day("date_created"), start, end))
+    valid, _ = split_refunds(rows, kind)
+    return valid.select(*fields, buyers(kind)[0].alias("user"))
+
+
+def orders_vs_users(
+    df: DataFrame, cols: Columns = Columns(), kind: str = "all", start=None, end=None
+) -> DataFrame:
     """Distinct valid orders, distinct users and orders per user."""
-    fields = dict.fromkeys(["order_item_id", "status", *BUYER_FIELDS[kind]])
-    valid, _ = split_refunds(pick(df, cols, *fields), kind)
-    user, _ = buyers(kind)
-    totals = valid.agg(
+    totals = _valid_with_user(df, cols, kind, start, end, "order_item_id").agg(
         count_distinct_na(F.col("order_item_id")).cast("long").alias("orders"),
-        count_distinct_na(user).cast("long").alias("users"),
+        count_distinct_na(F.col("user")).cast("long").alias("users"),
     )
     return totals.withColumn("orders_per_user", share(F.col("orders"), F.col("users"), 2))
 
 
-def user_order_histogram(df: DataFrame, cols: Columns = Columns(), kind: str = "all") -> DataFrame:
+def user_order_histogram(
+    df: DataFrame, cols: Columns = Columns(), kind: str = "all", start=None, end=None
+) -> DataFrame:
     """How many users hold 1, 2, ... 9 and more than 9 valid orders."""
-    fields = dict.fromkeys(["status", *BUYER_FIELDS[kind]])
-    valid, _ = split_refunds(pick(df, cols, *fields), kind)
-    user, _ = buyers(kind)
-    per_user = (
-        valid.select(user.alias("user")).dropna().groupBy("user").agg(count_rows().alias("n"))
-    )
+    valid = _valid_with_user(df, cols, kind, start, end)
+    per_user = valid.dropna().groupBy("user").agg(count_rows().alias("n"))
     bucket = F.when(F.col("n") > 9, 10).otherwise(F.col("n")).cast("int")
     return (
         per_user.groupBy(bucket.alias("sort_key"))

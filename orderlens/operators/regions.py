@@ -14,7 +14,7 @@ from orderlens.functions.labels import OTHER
 from orderlens.functions.lookup import lookup_join
 from orderlens.functions.nulls import count_rows, is_in
 from orderlens.functions.numbers import share
-from orderlens.operators.demography import sold, top_with_ties
+from orderlens.operators.demography import sold_between, top_with_ties
 from orderlens.operators.netting import in_period
 
 REST = "其他地区"
@@ -209,13 +209,15 @@ def region_counts(
     cols: Columns = Columns(),
     prefix_len: int = 6,
     top: int | None = None,
+    **scope,
 ) -> DataFrame:
     """Valid orders per region, the rest as ``其他地区``, and shares.
 
     ``top`` keeps the largest regions (with ties) and leaves out the rest row.
+    ``scope`` is start, end and drop_refunds of :func:`sold_between`.
     """
     per_code = (
-        sold(df, cols, ["id_no"])
+        sold_between(df, cols, ["id_no"], **scope)
         .groupBy(F.substring("id_no", 1, prefix_len).alias("code"))
         .agg(count_rows().alias("n"))
     )
@@ -247,13 +249,14 @@ def region_counts_by_name(
     names: Sequence[str],
     cols: Columns = Columns(),
     columns: Sequence[str] = ("channel_1",),
+    **scope,
 ) -> DataFrame:
     """Valid orders whose channel names contain a region's name, first name wins.
 
     Once an order id is placed in a region its other rows are not counted
     again; what no name matches goes to ``市区``.
     """
-    rows = sold(df, cols, ["order_item_id", *columns])
+    rows = sold_between(df, cols, ["order_item_id", *columns], **scope)
     place = F
     for i, name in enumerate(names):
         found = F.lit(False)
