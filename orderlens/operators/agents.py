@@ -182,41 +182,39 @@ def agent_milestones(days: DataFrame, start: date, end: date, ended: bool = True
     )
 
 
-def _registered_up_to(registry: DataFrame, points: DataFrame) -> DataFrame:
-    """Agents registered on and up to each (company, date) of ``points``."""
+def _with_registered(report: DataFrame, registry: DataFrame) -> DataFrame:
+    """Add the agents registered on, and up to, the date of each report row.
+
+    Registrations per day join the report rows as rows of their own, so the
+    running sum is a single window over one row per company and day.
+    """
     joined = registry.groupBy("company", F.col("registered").alias("date")).agg(
-        count_rows().alias("registered")
+        count_rows().alias("n")
+    )
+    both = report.withColumns({"n": F.lit(0).cast("long"), "shown": F.lit(True)}).unionByName(
+        joined, allowMissingColumns=True
     )
-    steps = points.select("company", "date", F.lit(0).cast("long").alias("registered"), F.lit(1).alias("shown"))
-    steps = steps.unionByName(joined.withColumn("shown", F.lit(0)))
-    so_far = Window.partitionBy("company").orderBy("date")
+    same_day = Window.partitionBy("company", "date")
+    up_to_day = Window.partitionBy("company").orderBy("date")
     return (
-        steps.groupBy("company", "date")
-        .agg(F.sum("registered").cast("long").alias("registered"), F.max("shown").alias("shown"))
-        .withColumn("cum_registered", F.sum("registered").over(so_far))
-        .filter("shown = 1")
-        .drop("shown")
+        both.withColumns(
+            {
+                "cum_registered": F.sum("n").over(up_to_day),
+                "registered": F.sum("n").over(same_day),
+            }
+        )
+        .filter("shown")
+        .drop("n", "shown")
     )
 
 
-def agent_registered(
-    days: DataFrame,
-    registry: DataFrame,
-    start: date | str | None = None,
-    end: date | str | None = None,
-    fixed_average: float | None = None,
-) -> DataFrame:
-    """The daily report with registered agents and those below the average.
+def _agents_per_level(days: DataFrame, registry: DataFrame, last_day) -> DataFrame:
+    """How many registered agents stand at each number of orders, day by day.
 
-    An agent is below the average of a day unless it was registered by then
-    and its orders so far reach the rounded company average of that day (or
-    ``fixed_average``). Every agent's running count holds between two of its
-    order days, so agents are first counted per such stretch and level, and
-    only those counts are laid out over the days.
+    An agent's running count holds between two of its order days, so agents
+    are first counted per such stretch and level, and only those counts are
+    laid out over the days.
     """
-    report = agent_orders(days, start, end)
-    averages = report.select("company", "date", "cum_avg_orders")
-
     per_agent = Window.partitionBy("company", "channel_id").orderBy("date")
     levels = (
         days.filter("orders > 0 and channel_id is not null and date is not null")
@@ -224,14 +222,13 @@ def agent_registered(
         .withColumn("next_date", F.lead("date").over(per_agent))
     )
     since = registry.groupBy("company", "channel_id").agg(F.min("registered").alias("since"))
-    registered_levels = levels.join(since, ["company", "channel_id"])
-    if end is None:
-        last_day = averages.groupBy("company").agg(F.max("date").alias("last_date"))
-        registered_levels = registered_levels.join(last_day, "company")
+    levels = levels.join(since, ["company", "channel_id"])
+    if isinstance(last_day, DataFrame):
+        levels = levels.join(last_day, "company")
     else:
-        registered_levels = registered_levels.withColumn("last_date", F.lit(end).cast("date"))
+        levels = levels.withColumn("last_date", F.lit(last_day).cast("date"))
     stretches = (
-        registered_levels.select(
+        levels.select(
             "company",
             "level",
             F.greatest("date", "since").alias("from_date"),
@@ -239,29 +236,41 @@ def agent_registered(
         )
         .filter("from_date <= to_date")
         .groupBy("company", "level", "from_date", "to_date")
-        .agg(count_rows().alias("agents"))
+        .agg(count_rows().alias("n"))
     )
-    threshold = F.col("cum_avg_orders") if fixed_average is None else F.lit(float(fixed_average))
-    reaching = (
-        stretches.select(
-            "company",
-            "level",
-            "agents",
-            F.explode(F.sequence("from_date", "to_date")).alias("date"),
-        )
+    each_day = F.explode(F.sequence("from_date", "to_date")).alias("date")
+    return (
+        stretches.select("company", "level", "n", each_day)
         .groupBy("company", "date", "level")
-        .agg(F.sum("agents").alias("agents"))
-        .join(averages, ["company", "date"])
-        .filter(F.col("level") >= threshold)
-        .groupBy("company", "date")
-        .agg(F.sum("agents").cast("long").alias("reaching"))
+        .agg(F.sum("n").alias("at_level"))
     )
-    registered = _registered_up_to(registry, averages)
+
+
+def agent_registered(
+    days: DataFrame,
+    registry: DataFrame,
+    start: date | str | None = None,
+    end: date | str | None = None,
+    fixed_average: float | None = None,
+) -> DataFrame:
+    """The daily report with registered agents and those below the average.
+
+    An agent is below the average of a day unless it was registered by then
+    and its orders so far reach the rounded company average of that day (or
+    ``fixed_average``).
+    """
+    report = agent_orders(days, start, end)
+    last_day = end
+    if end is None:
+        last_day = report.groupBy("company").agg(F.max("date").alias("last_date"))
+    levels = _agents_per_level(days, registry, last_day)
+    threshold = F.col("cum_avg_orders") if fixed_average is None else F.lit(float(fixed_average))
+    reaching = F.sum(F.when(F.col("level") >= threshold, F.col("at_level")).otherwise(0))
+    known = _with_registered(report, registry)
     return (
-        report.join(registered, ["company", "date"], "left")
-        .join(reaching, ["company", "date"], "left")
-        .withColumn("registered", F.coalesce(F.col("registered"), F.lit(0)))
-        .withColumn("cum_registered", F.coalesce(F.col("cum_registered"), F.lit(0)))
+        known.join(levels, ["company", "date"], "left")
+        .groupBy(*known.columns)
+        .agg(reaching.alias("reaching"))
         .select(
             "company",
             "date",
@@ -275,7 +284,7 @@ def agent_registered(
             "cum_agents",
             share(F.col("cum_agents"), F.col("cum_registered"), 3).alias("producing_rate"),
             "cum_avg_orders",
-            (F.col("cum_registered") - F.coalesce(F.col("reaching"), F.lit(0))).alias("below_average"),
+            (F.col("cum_registered") - F.col("reaching")).alias("below_average"),
         )
     )
 

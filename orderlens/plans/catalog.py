@@ -25,6 +25,7 @@ from orderlens.operators import regions as R
 from orderlens.operators import retention as T
 from orderlens.operators import summary as S
 from orderlens.plans.roles import fact, raw, table
+from orderlens.sources.tables import materialised
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,7 +272,8 @@ def agent_milestones(spark, sf_dir):
 
 
 def agent_registered(spark, sf_dir):
-    return A.agent_registered(_agent_days(spark, sf_dir), _registry(spark, sf_dir), START, END)
+    days = materialised(_agent_days(spark, sf_dir), "agent_days")
+    return A.agent_registered(days, _registry(spark, sf_dir), START, END)
 
 
 def agents_below_average(spark, sf_dir):
@@ -460,7 +462,7 @@ def _multiple(spark, sf_dir, key, other):
 
 
 def exclusion_list(spark, sf_dir):
-    signed = _signed(spark, sf_dir)
+    signed = materialised(_signed(spark, sf_dir), "signed")
     return X.exclusion_list(signed, _rules(spark, sf_dir, signed))
 
 

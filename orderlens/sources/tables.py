@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Mapping, Sequence
+from functools import cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="orderlens-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it."""
+    """The folder all executors share, as the session names it.
+
+    Only a session without a cluster may do without one.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return _local_folder()
+    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
 def snapshot(
@@ -28,6 +41,15 @@ def snapshot(
     return spark.read.parquet(path)
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of its own in the shared folder.
+
+    For tables one report reads several times: the work behind them is done
+    once, and a lost executor has no long lineage to replay.
+    """
+    return snapshot(df, f"{name}-{uuid4().hex}")
+
+
 def read_snapshot(spark: SparkSession, name: str, folder: str | None = None) -> DataFrame:
     return spark.read.parquet(f"{folder or shared_folder(spark)}/{name}")
 
