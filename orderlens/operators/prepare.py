@@ -262,7 +262,9 @@ def with_channels_by_prefix(
 
     Prefixes are tried in order; per prefix the channel with the smallest id
     stands for all, so the join never adds rows. The id of a filled order is
-    cut to the prefix that matched.
+    cut to the prefix that matched. The prefix's hash is a second key, so that
+    a join without broadcast gives both sides a shuffle of their own, where the
+    many orders with nothing to fill can be split.
     """
     known = channels.filter("channel_1 is not null")
     filled = orders
@@ -270,16 +272,18 @@ def with_channels_by_prefix(
         lookup = known.groupBy(
             F.substring("sale_channel_id", 1, length).alias("prefix")
         ).agg(F.min_by(F.struct(*NAMES), "sale_channel_id").alias("hit"))
+        lookup = lookup.withColumn("prefix_hash", F.xxhash64("prefix"))
         missing = F.col("channel_1").isNull()
         prefix = F.when(missing, F.substring("sale_channel_id", 1, length))
-        joined = lookup_join(filled, lookup, prefix == F.col("prefix"))
+        same = (F.xxhash64(prefix) == F.col("prefix_hash")) & (prefix == F.col("prefix"))
+        joined = lookup_join(filled, lookup, same)
         found = F.col("hit").isNotNull()
         filled = joined.withColumns(
             {
                 **{name: F.when(found, F.col(f"hit.{name}")).otherwise(F.col(name)) for name in NAMES},
                 "sale_channel_id": F.when(found, F.col("prefix")).otherwise(F.col("sale_channel_id")),
             }
-        ).drop("prefix", "hit")
+        ).drop("prefix", "prefix_hash", "hit")
     return filled
 
 
@@ -333,6 +337,16 @@ def enrich_self_orders(
     return orders.distinct()
 
 
+def with_order_info(items: DataFrame, *per_order: DataFrame) -> DataFrame:
+    """Add tables keyed by corporate order to its items.
+
+    The tables are put together first, so the items, of which one company may
+    hold a large part, are shuffled and matched once.
+    """
+    info = reduce(lambda left, right: left.join(right, "order_id", "full"), per_order)
+    return items.join(info, "order_id", "left")
+
+
 def enrich_com_orders(
     items: DataFrame,
     insured: DataFrame,
@@ -348,9 +362,7 @@ def enrich_com_orders(
 
     The payment time becomes the creation time; the original one is kept.
     """
-    paid = with_payway(items.join(payments, "order_id", "left"), payways)
-    for extra in (main_orders, policies):
-        paid = paid.join(extra, "order_id", "left")
+    paid = with_payway(with_order_info(items, payments, main_orders, policies), payways)
     described = with_company(with_channels(paid, channels), companies, online_skus)
     return (
         described.join(insured, "order_item_id", "left")

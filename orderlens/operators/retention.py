@@ -25,7 +25,10 @@ def _lured_pairs(df: DataFrame, cols: Columns, kind: str, level: str, labels: li
     """Orders with a person key, first refunds, and refund-to-order pairs.
 
     A person contributes one refund, and valid orders are reduced to distinct
-    (person, seller, time) first, so pairs stay linear in the orders.
+    (person, seller, time) first, so pairs stay linear in the orders. The
+    person's hash is a second join key: both sides then reach the join through
+    a shuffle of its own, where adaptive execution can split a hot person
+    (all those without any personal data are one).
     """
     statuses = refund_statuses(kind)
     fields = dict.fromkeys(
@@ -49,7 +52,10 @@ def _lured_pairs(df: DataFrame, cols: Columns, kind: str, level: str, labels: li
         .select("person", F.col(level).alias("to"), F.col("date_created").alias("bought"))
         .distinct()
     )
-    pairs = refunds.join(bought, "person").filter(
+    coded = F.xxhash64("person").alias("person_hash")
+    pairs = refunds.select("*", coded).join(
+        bought.select("*", coded), ["person_hash", "person"]
+    ).filter(
         (F.col("bought") >= F.col("at")) & (F.col(level) != F.col("to"))
     )
     return rows, refunds, pairs
