@@ -190,17 +190,39 @@ def region_share(
     )
 
 
-def region_wide(long: DataFrame, periods: Sequence, column: str = "period") -> DataFrame:
-    """One row per region: total net orders, then one column per period, newest first."""
-    measures = [
-        F.coalesce(
-            F.sum(F.when(F.col(column) == period, F.col("net_orders"))), F.lit(0)
-        ).cast("long").alias(str(period))
-        for period in sorted(periods, reverse=True)
-    ]
-    return long.groupBy("region").agg(
-        F.sum("net_orders").cast("long").alias("net_orders"), *measures
-    )
+def region_wide(
+    long: DataFrame,
+    periods: Sequence,
+    column: str = "period",
+    group: str | None = None,
+    groups: Sequence[str] = (),
+) -> DataFrame:
+    """One row per region: total net orders, then one column per period, newest first.
+
+    With ``group`` come the net orders of each of ``groups``, in that order, and
+    their periods as ``<group>_<period>``; the premium is totalled if there is
+    one. The caller names periods and groups, so the columns do not depend on
+    the data and nothing is collected to find them.
+    """
+    net = F.col("net_orders")
+
+    def total(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, net)), F.lit(0)).cast("long").alias(name)
+
+    newest_first = sorted(periods, reverse=True)
+    measures = [F.sum(net).cast("long").alias("net_orders")]
+    if "premium" in long.columns:
+        measures.append(F.sum("premium").cast("decimal(18,2)").alias("premium"))
+    if group is None:
+        measures += [total(F.col(column) == period, str(period)) for period in newest_first]
+    else:
+        measures += [total(F.col(group) == name, f"{name}_total") for name in groups]
+        measures += [
+            total((F.col(group) == name) & (F.col(column) == period), f"{name}_{period}")
+            for name in groups
+            for period in newest_first
+        ]
+    return long.groupBy("region").agg(*measures)
 
 
 def region_counts(

@@ -179,15 +179,19 @@ def renewal_this_year(new: DataFrame, kind: str, old_self: DataFrame, old_com: D
     return renewals(valid, [pick(old_self, cols, "id_no"), pick(old_com, cols, "id_no")], cols)
 
 
-def merge_renewals(self_part: DataFrame, com_part: DataFrame) -> DataFrame:
-    """Individual and corporate renewals side by side, absent companies as zero."""
+def merge_renewals(self_part: DataFrame, com_part: DataFrame, zeros: bool = True) -> DataFrame:
+    """Individual and corporate renewals side by side.
+
+    A company absent from one side gets zeros there, or NULL without ``zeros``.
+    """
     both = self_part.withColumn("side", F.lit("self")).unionByName(
         com_part.withColumn("side", F.lit("com"))
     )
 
     def of(side: str, column: str, kind: str) -> Column:
         value = F.sum(F.when(F.col("side") == side, F.col(column)))
-        return F.coalesce(value, F.lit(0)).cast(kind).alias(f"{side}_{column}")
+        shown = F.coalesce(value, F.lit(0)) if zeros else value
+        return shown.cast(kind).alias(f"{side}_{column}")
 
     return both.groupBy("company", "is_total").agg(
         *[

@@ -62,6 +62,26 @@ def payment_summary(methods: DataFrame) -> DataFrame:
     )
 
 
+def age_sex_long(bands: DataFrame) -> DataFrame:
+    """Men and women per age band as rows, for a chart."""
+    rows = bands.filter("is_total = 0")
+    return rows.unpivot(["band_start", "age_band"], ["men", "women"], "sex_group", "people")
+
+
+def agent_long(report: DataFrame) -> DataFrame:
+    """Producing agents and orders per agent as rows, for a chart with two axes."""
+    figures = report.withColumn("cum_agents", F.col("cum_agents").cast("double"))
+    return figures.unpivot(
+        ["company", "date"], ["cum_agents", "cum_avg_orders"], "measure", "value"
+    )
+
+
+def agents_long(summary: DataFrame) -> DataFrame:
+    """Producing and idle agents per company as rows."""
+    rows = summary.filter("is_total = 0")
+    return rows.unpivot(["company"], ["agents", "idle"], "state", "people")
+
+
 def show_percent(df: DataFrame, words: tuple[str, ...] = ("share", "rate")) -> DataFrame:
     """Write columns whose name holds one of ``words`` as percent text."""
     return df.withColumns(

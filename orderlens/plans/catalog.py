@@ -34,6 +34,7 @@ LAST_YEAR = ("1999-01-01", "1999-12-31")
 THIS_YEAR = ("2000-01-01", "2000-12-31")
 RUN_DAYS = 2404
 MONTHS = [f"2000-{month:02d}" for month in range(1, 13)]
+PRODUCTS = ("v0", "v1", "v2")
 REGION_NAMES = ("NATION_1", "NATION_2", "展E保")
 PRICES = ("7900", "19900", "8000")
 SKUS = ("sku0", "sku1", "sku2", "sku3", "sku4")
@@ -128,6 +129,10 @@ def age_sex_company(spark, sf_dir):
     return P.age_sex(fact(spark, sf_dir, *AGE_ROLES, "company"), gap=10, by="company")
 
 
+def age_sex_long(spark, sf_dir):
+    return S.age_sex_long(age_sex(spark, sf_dir))
+
+
 def age_decades(spark, sf_dir):
     return P.age_decades(P.age_sex(fact(spark, sf_dir, *AGE_ROLES)))
 
@@ -228,6 +233,13 @@ def region_monthly_wide(spark, sf_dir):
     return wide.withColumnsRenamed({month: "net_" + month.replace("-", "_") for month in MONTHS})
 
 
+def region_group_wide(spark, sf_dir):
+    daily = _region_money(spark, sf_dir)
+    monthly = daily.withColumn("period", F.date_format("date", "yyyy-MM"))
+    wide = R.region_wide(monthly, MONTHS[:3], group="group", groups=PRODUCTS)
+    return wide.withColumnsRenamed({name: name.replace("-", "_") for name in wide.columns})
+
+
 def _region_counts(spark, sf_dir, top=None):
     rows = fact(spark, sf_dir, "date_created", "policy_order_status", "id_no")
     return R.region_counts(rows, _codes6(spark, sf_dir), top=top)
@@ -290,6 +302,10 @@ def agent_order_rate(spark, sf_dir):
     )
 
 
+def agent_long(spark, sf_dir):
+    return S.agent_long(agent_cumulative(spark, sf_dir))
+
+
 def agent_summary(spark, sf_dir):
     return A.agent_summary(agent_registered(spark, sf_dir), exclude=("FURNITURE",))
 
@@ -572,6 +588,7 @@ REPORTS: dict[str, Query] = {
     "kpi_summary": kpi_summary,
     "age_sex": age_sex,
     "age_sex_company": age_sex_company,
+    "age_sex_long": age_sex_long,
     "age_decades": age_decades,
     "fact_sheet": _facts,
     "top_age_band": top_age_band,
@@ -593,12 +610,14 @@ REPORTS: dict[str, Query] = {
     "region_share_weekly": partial(_region_share, grain="week"),
     "region_share_monthly": partial(_region_share, grain="month"),
     "region_monthly_wide": region_monthly_wide,
+    "region_group_wide": region_group_wide,
     "region_counts": _region_counts,
     "region_counts_top3": partial(_region_counts, top=3),
     "region_counts_by_name": region_counts_by_name,
     "top_regions": top_regions,
     "agent_daily": agent_daily,
     "agent_cumulative": agent_cumulative,
+    "agent_long": agent_long,
     "agent_milestones": agent_milestones,
     "agent_registered": agent_registered,
     "agents_below_average": agents_below_average,

@@ -468,6 +468,23 @@ select region, {long('sum(net_orders)')} as net_orders, {columns} from net group
     )
 
 
+def region_group_wide() -> str:
+    def total(condition: str, name: str) -> str:
+        return f"{long(f'coalesce(sum(case when {condition} then net_orders end), 0)')} as {name}"
+
+    columns = [total(f"grp = '{p}'", f"{p}_total") for p in C.PRODUCTS]
+    columns += [
+        total(f"grp = '{p}' and strftime(period, '%Y-%m') = '{m}'", f"{p}_{m.replace('-', '_')}")
+        for p in C.PRODUCTS
+        for m in C.MONTHS[:3]
+    ]
+    return with_fact(
+        f""", {MONEY}
+select region, {long('sum(net_orders)')} as net_orders, round(sum(premium), 2) as premium, {', '.join(columns)}
+from money group by region"""
+    )
+
+
 CODES6 = f"""{CODES2}, codes6 as (
   select region, code || tail as code from codes, (values ('0001'), ('0002')) as t(tail)
   union all select 'HARBOUR', '120001' where exists (select 1 from codes where code = '12')
@@ -1178,6 +1195,11 @@ from per_user group by least(n, 10)"""
         "kpi_summary": kpi(),
         "age_sex": with_fact(f"{ages(1)} select * from age_sex"),
         "age_sex_company": with_fact(f"{ages(10, 'company')} select * from age_sex"),
+        "age_sex_long": with_fact(
+            f"""{ages(1)}
+select band_start, age_band, 'men' as sex_group, men as people from age_sex where is_total = 0
+union all select band_start, age_band, 'women', women from age_sex where is_total = 0"""
+        ),
         "age_decades": age_decades(),
         "fact_sheet": with_fact(fact_sheet()),
         "top_age_band": top_band(),
@@ -1221,6 +1243,7 @@ select region, null, 1, {long('sum(net_orders)')}, round(sum(premium), 2) from m
         "region_share_weekly": region_share("week"),
         "region_share_monthly": region_share("month"),
         "region_monthly_wide": region_wide(),
+        "region_group_wide": region_group_wide(),
         "region_counts": with_fact(f", {CODES6} select * from regions"),
         "region_counts_top3": with_fact(
             f""", {CODES6}, named as (select * from regions where region <> '其他地区')
@@ -1234,6 +1257,11 @@ select * from named where (select count(*) from named x where x.people > named.p
         "agent_cumulative": with_fact(
             f", {CUMULATIVE} select company, {day('d')} as date, cum_orders, cum_refunds, cum_agents, cum_avg_orders from cum"
         ),
+        "agent_long": with_fact(
+            f""", {CUMULATIVE}
+select company, {day('d')} as date, 'cum_agents' as measure, cast(cum_agents as double) as value from cum
+union all select company, {day('d')}, 'cum_avg_orders', cum_avg_orders from cum"""
+        ),
         "agent_milestones": milestones(),
         "agent_registered": with_fact(
             f", {REGISTERED} select * exclude (d), {day('d')} as date from registered_report"

@@ -180,6 +180,19 @@ def test_region_wide(orders, codes):
     assert rows(wide) == [("东", 1, 0, 1), ("其他", 1, 0, 1), ("西", 2, 1, 1)]
 
 
+def test_region_wide_by_group(orders, codes):
+    daily = R.region_net_daily(orders, codes, prefix_len=4, group="company", price="price")
+    wide = R.region_wide(daily, [d("2022-01-01"), d("2022-01-08")], "date", "company", ["A", "线上平台"])
+    assert wide.columns == [
+        "region", "net_orders", "premium", "A_total", "线上平台_total",
+        "A_2022-01-08", "A_2022-01-01", "线上平台_2022-01-08", "线上平台_2022-01-01",
+    ]
+    found = [(r[0], r[1], float(r[2]), *r[3:]) for r in rows(wide)]
+    assert found == [
+        ("东", 1, 19.0, 1, 0, 0, 2, 0, 0), ("其他", 1, 38.0, 0, 0, 0, 0, 0, 0), ("西", 2, 57.0, 0, 1, 0, 0, 1, 0),
+    ]
+
+
 def test_region_counts_with_a_shared_code(orders, codes, spark):
     shared = codes.union(spark.createDataFrame([("港", "4401")], "region string, code string"))
     assert rows(R.region_counts(orders, shared, prefix_len=4)) == [
