@@ -188,12 +188,13 @@ def fact_sheet(
     start: date | str | None = None,
     end: date | str | None = None,
     launch: date | str | None = None,
-    online: str = "线上平台|思派",
+    online: str = L.ONLINE_COMPANY,
     with_medical: bool = False,
     drop_refunds: bool = True,
 ) -> DataFrame:
     """People per fact (kind of order, sex, document, birthday, age) in one pass.
 
+    ``online`` is the pattern of the companies counted as online platform.
     ``launch`` is the day whose birthdays are counted, by default ``start`` or,
     without one, the first day of the orders.
     """

@@ -34,17 +34,18 @@ LAST_YEAR = ("1999-01-01", "1999-12-31")
 THIS_YEAR = ("2000-01-01", "2000-12-31")
 RUN_DAYS = 2404
 MONTHS = [f"2000-{month:02d}" for month in range(1, 13)]
+ONLINE_PATTERN = "线上平台|Brand#2"
 PRODUCTS = ("v0", "v1", "v2")
 REGION_NAMES = ("NATION_1", "NATION_2", "展E保")
 PRICES = ("7900", "19900", "8000")
 SKUS = ("sku0", "sku1", "sku2", "sku3", "sku4")
 ONLINE_SKUS = ("sku4",)
 COMPANY_OF_SKU = {
-    "sku0": "人保财险",
-    "sku1": "中国人寿",
-    "sku2": "国寿财险",
-    "sku3": "平安养老",
-    "sku4": "中国太保",
+    "sku0": "甲保险",
+    "sku1": "乙保险",
+    "sku2": "丙保险",
+    "sku3": "丁保险",
+    "sku4": "戊保险",
 }
 PAYWAYS = {"0": "微信", "1": "支付宝", "2": "银联", "3": "医保个账"}
 BATCHES = (
@@ -141,7 +142,7 @@ def _facts(spark, sf_dir):
     rows = fact(
         spark, sf_dir, *AGE_ROLES, "group", "seller", "id_type", "id_no", "medical_insure_flag"
     )
-    return P.fact_sheet(rows, SELLER, START, END, with_medical=True)
+    return P.fact_sheet(rows, SELLER, START, END, online=ONLINE_PATTERN, with_medical=True)
 
 
 def top_age_band(spark, sf_dir):
@@ -498,7 +499,7 @@ def latest_refund_remark(spark, sf_dir):
 
 
 def _channels(spark, sf_dir):
-    parts = [raw(spark, sf_dir, name) for name in ("glk_channel", "glk_channel_2", "glk_channel_1")]
+    parts = [raw(spark, sf_dir, name) for name in ("sales_channel", "sales_channel_2", "sales_channel_1")]
     return E.channel_table(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 

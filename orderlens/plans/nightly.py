@@ -22,6 +22,33 @@ from orderlens.operators import summary as S
 from orderlens.sources.tables import snapshot, write_reports
 
 
+# Row order of the written reports; a minus sign means largest first.
+ROW_ORDER = {
+    "lured_refunds_company": ("-total_orders",),
+    "lured_refunds_channel": ("company", "channel_1", "channel_2", "-total_orders"),
+    "fact_sheet": ("sort_key",),
+    "star_signs": ("-people",),
+    "zodiac": ("-people",),
+    "regions": ("-people",),
+    "surnames": ("-people",),
+    "hours": ("hour",),
+    "agent_registered": ("company", "date"),
+    "agent_milestones": ("company", "cutoff"),
+    "agents_below_average": ("company", "-orders"),
+}
+
+
+def in_row_order(name: str, report: DataFrame) -> DataFrame:
+    """The report sorted as it is shown; reports without an entry stay as they are."""
+    keys = [
+        F.desc(key[1:]) if key.startswith("-") else F.asc(key) for key in ROW_ORDER.get(name, ())
+    ]
+    if name.startswith("age_sex"):
+        by = ["company"] if "company" in report.columns else []
+        keys = [*map(F.asc, by), F.asc("is_total"), F.asc_nulls_last("band_start")]
+    return report.orderBy(*keys) if keys else report
+
+
 @dataclass(frozen=True)
 class Project:
     """One city's project: its period, prices, skus and report switches."""
@@ -37,6 +64,7 @@ class Project:
     ended: bool = False
     with_relation: bool = False
     unpaid_com: bool = False
+    online_pattern: str = ONLINE_COMPANY
     top: int | None = None
     id_prefix: int = 6
     columns: Columns = field(default_factory=Columns)
@@ -57,7 +85,7 @@ class Project:
 def enrich(project: Project, raw: Mapping[str, DataFrame], lookups: Mapping[str, DataFrame]) -> DataFrame:
     """All orders of the project from the raw tables, individual and corporate."""
     start, end = project.start, project.end
-    channels = E.channel_table(raw["glk_channel"])
+    channels = E.channel_table(raw["sales_channel"])
     self_orders = E.enrich_self_orders(
         E.self_order_items(raw["order_item"], start, end, project.prices, project.self_skus),
         E.self_insured(raw["order_service_obj"], start, end),
@@ -121,7 +149,9 @@ def people_reports(orders: DataFrame, project: Project, codes: DataFrame) -> dic
     valid = P.sold_between(orders, cols, ["date_created"], **scope)
     methods = P.payment_method_share(orders, cols, **scope)
     return {
-        "fact_sheet": P.fact_sheet(orders, cols, **scope, with_medical=True),
+        "fact_sheet": P.fact_sheet(
+            orders, cols, **scope, online=project.online_pattern, with_medical=True
+        ),
         "star_signs": P.star_sign_counts(orders, cols, project.top, **scope),
         "zodiac": P.zodiac_counts(orders, cols, project.top, **scope),
         "regions": R.region_counts(orders, codes, cols, project.id_prefix, project.top, **scope),
@@ -160,7 +190,7 @@ def run(
 ) -> list[str]:
     """Enrich, write the orders to the shared folder, run and write all reports."""
     orders = snapshot(enrich(project, raw, lookups), f"orders_{project.city}_{project.year}")
-    channels = E.channel_table(raw["glk_channel"]).withColumnsRenamed(
+    channels = E.channel_table(raw["sales_channel"]).withColumnsRenamed(
         {"sale_channel_id": "channel_id", "channel_date_created": "registered"}
     )
     reports = {
@@ -168,4 +198,5 @@ def run(
         **people_reports(orders, project, R.region_codes(lookups["regions"])),
         **agent_reports(orders, project, channels, lookups["company_channels"]),
     }
-    return write_reports(reports, f"{folder.rstrip('/')}/{project.city}/{project.year}", fmt)
+    shown = {name: in_row_order(name, report) for name, report in reports.items()}
+    return write_reports(shown, f"{folder.rstrip('/')}/{project.city}/{project.year}", fmt)

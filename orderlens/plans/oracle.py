@@ -274,7 +274,7 @@ select label, people, {share('people', '(select count(*) from sold)', 3)} as sha
 
 
 def fact_conditions() -> dict[str, tuple[str, int | None]]:
-    online = "regexp_matches(seller, '线上平台|思派')"
+    online = "regexp_matches(seller, '线上平台|Brand#2')"
     launch = f"{C.START:%m-%d}"
     born = (
         "case when id_type = '身份证' and length(id_no) = 18 then substring(id_no, 11, 2) || '-' || substring(id_no, 13, 2) "
@@ -1007,7 +1007,7 @@ from ranked where k = 1"""
 
 
 CHANNELS = f"""raw_channels as (
-  {raw_sql('glk_channel')} union all {raw_sql('glk_channel_2')} union all {raw_sql('glk_channel_1')}
+  {raw_sql('sales_channel')} union all {raw_sql('sales_channel_2')} union all {raw_sql('sales_channel_1')}
 ), levels as (
   select channel_encode as sale_channel_id, gmt_created as channel_date_created,
     case when "level" = 3 then split_part(ancestor_name, ',', 1) when "level" = 2 then ancestor_name

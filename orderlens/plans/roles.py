@@ -347,7 +347,7 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
     ),
     # Level 1: regions, level 2: nations, level 3: suppliers. Some suppliers lack
     # the ancestors' names and carry the nation's id before a '#'.
-    "glk_channel": (
+    "sales_channel": (
         "supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey",
         {
             "channel_encode": "'channel' || lpad(cast(s_suppkey as string), 9, '0')",
@@ -361,7 +361,7 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
             ),
         },
     ),
-    "glk_channel_2": (
+    "sales_channel_2": (
         "nation join region on n_regionkey = r_regionkey",
         {
             "channel_encode": "'n' || cast(n_nationkey as string)",
@@ -371,7 +371,7 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
             "channel_name": "n_name",
         },
     ),
-    "glk_channel_1": (
+    "sales_channel_1": (
         "region",
         {
             "channel_encode": "'r' || cast(r_regionkey as string)",

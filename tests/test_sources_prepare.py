@@ -28,11 +28,11 @@ def test_time_slices_cover_the_period_once():
 
 def test_lookups_keep_codes_as_text(spark, tmp_path):
     (tmp_path / "companies.csv").write_text(
-        "city,year,group,sku_code,company\n徐州,2022,个人,00000353,人保\n徐州,2022,企业,00000354,国寿\n昆明,2022,个人,1,x\n"
+        "city,year,group,sku_code,company\n徐州,2022,个人,00000353,甲保险\n徐州,2022,企业,00000354,乙保险\n昆明,2022,个人,1,x\n"
     )
     lookup = lookups.read_lookup(spark, "companies", str(tmp_path / "companies.csv"))
     mine = lookups.of_project(lookup, "徐州", "2022", "self")
-    assert rows(mine) == [("00000353", "人保")]
+    assert rows(mine) == [("00000353", "甲保险")]
     assert lookups.require_rows(mine, "companies") is mine
     with pytest.raises(ValueError):
         lookups.require_rows(mine.filter("false"), "companies")
@@ -149,8 +149,8 @@ def test_nightly_run(spark, sf_dir, tmp_path):
             "com_order_item_info", "com_order_payment", "com_order", "com_order_policy",
         )
     }
-    raw_tables["glk_channel"] = (
-        raw(spark, sf_dir, "glk_channel").unionByName(raw(spark, sf_dir, "glk_channel_2")).unionByName(raw(spark, sf_dir, "glk_channel_1"))
+    raw_tables["sales_channel"] = (
+        raw(spark, sf_dir, "sales_channel").unionByName(raw(spark, sf_dir, "sales_channel_2")).unionByName(raw(spark, sf_dir, "sales_channel_1"))
     )
     companies = catalog.literal(spark, ("sku_code", "company"), catalog.COMPANY_OF_SKU)
     payways = catalog.literal(spark, ("payway_code", "payway"), catalog.PAYWAYS)
@@ -169,4 +169,6 @@ def test_nightly_run(spark, sf_dir, tmp_path):
     orders = tables.read_snapshot(spark, "orders_城_2000")
     dated = orders.filter(F.to_date("date_created").between("1996-01-01", "2000-12-31")).count()
     assert total.orders == dated > 0
+    regions = [r.people for r in spark.read.parquet(str(tmp_path / "城/2000/regions")).collect()]
+    assert regions == sorted(regions, reverse=True)
     assert project.days == 1826
