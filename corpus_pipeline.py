@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import exact_dedup, minhash_hamming, positive_unlabelled, weak_pii
 from orderlens.llm.common import remove_dir, run_dir, saved, small
-from orderlens.llm.queries import packing_of
+from orderlens.llm.queries import held_out, packing_of
 
 #: Documents with a lower probability of being good are left out.
 LEAST_QUALITY = 0.3
@@ -27,9 +27,9 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of being good is not too low."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out(F.col("doc_id")))
     scored = positive_unlabelled.quality_scores(
-        docs, positives=labels.filter("quality = 1").select("doc_id"), labelled=labels.select("doc_id")
+        docs, positives=labels.filter("quality = 1").select("doc_id"), labelled=labels.select("doc_id"), fit_on=~held_out(F.col("id"))
     )
     return without(docs, saved(scored.filter(F.col("score") < LEAST_QUALITY).select("id")))
 
@@ -48,10 +48,14 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced by its kind; n_chars counts the new text."""
-    found = weak_pii.personal_data(docs, keep=docs.columns).select("cuts", "row_data.*")
-    text = F.when(F.size("cuts") > 0, weak_pii.redacted(F.col("text"), F.col("cuts"))).otherwise(F.col("text"))
-    n_chars = F.when(F.size("cuts") > 0, F.char_length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return found.withColumns({"text": text, "n_chars": n_chars}).select(docs.columns)
+    found = weak_pii.personal_data(docs, keep=docs.columns)
+    old, hit = F.col("row_data.text"), F.size("cuts") > 0
+    found = found.withColumn("redacted", F.when(hit, weak_pii.redacted(old, F.col("cuts"))).otherwise(old))
+    new = {
+        "text": F.col("redacted"),
+        "n_chars": F.when(hit, F.char_length("redacted")).otherwise(F.col("row_data.n_chars")).cast(docs.schema["n_chars"].dataType),
+    }
+    return found.select(*[new.get(c, F.col("row_data")[c]).alias(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
