@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import saved
-from orderlens.llm.words import slices
+from orderlens.llm.words import slices, word_lists
 
 #: Rows of each side that the model is fitted on at most.
 FIT_ROWS = 30_000
@@ -69,13 +69,11 @@ def distinct_per_owner(owner: np.ndarray, code: np.ndarray, n: int) -> np.ndarra
     return np.bincount(pairs // (int(code.max()) + 1), minlength=n).astype(float)
 
 
-def split_codes(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, code, byte length) of the non-empty members of each list."""
+def split_codes(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, code) of the non-empty members of each list."""
     owner, flat = pc.list_parent_indices(lists), pc.list_flatten(lists)
-    length = pc.binary_length(flat)
-    real = pc.greater(length, 0)
-    flat = flat.filter(real)
-    return np.asarray(owner.filter(real)), np.asarray(flat.dictionary_encode().indices), np.asarray(length.filter(real))
+    real = pc.greater(pc.binary_length(flat), 0)
+    return np.asarray(owner.filter(real)), np.asarray(flat.filter(real).dictionary_encode().indices)
 
 
 def features(texts: pa.Array) -> np.ndarray:
@@ -90,11 +88,12 @@ def features(texts: pa.Array) -> np.ndarray:
         width = len(CLASSES) + 1
         counts = np.bincount(owner * width + table[data], minlength=n * width).reshape(n, width)[:, : len(CLASSES)]
         total = np.maximum(size, 1)
-        word_owner, word, word_size = split_codes(pc.ascii_split_whitespace(part))
+        word_owner, flat = word_lists(part, lower=False)
+        word, word_size = np.asarray(flat.dictionary_encode().indices), np.asarray(pc.binary_length(flat))
         words = np.bincount(word_owner, minlength=n)
         some = np.maximum(words, 1)
         again = (word[1:] == word[:-1]) & (word_owner[1:] == word_owner[:-1])
-        line_owner, line, line_size = split_codes(pc.split_pattern(part, "\n"))
+        line_owner, line = split_codes(pc.split_pattern(part, "\n"))
         lines = np.maximum(np.bincount(line_owner, minlength=n), 1)
         columns = [
             *(counts / total[:, None]).T,

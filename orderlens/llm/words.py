@@ -39,6 +39,30 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.
         start = stop
 
 
+def byte_table(lower: bool) -> np.ndarray:
+    """What each byte becomes: ASCII white space a space, and A-Z lower-case if asked for."""
+    table = np.arange(256, dtype=np.uint8)
+    table[9:14] = ord(" ")
+    if lower:
+        table[ord("A") : ord("Z") + 1] += 32
+    return table
+
+
+def word_lists(texts: pa.Array, lower: bool) -> tuple[np.ndarray, pa.Array]:
+    """(row, word) of all words of the texts in order: what ASCII white space separates.
+
+    Bytes of longer UTF-8 sequences are never taken for white space.
+    """
+    filled = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    _, offsets, data = filled.buffers()
+    mapped = byte_table(lower)[np.frombuffer(data, np.uint8)] if data is not None and data.size else np.empty(0, np.uint8)
+    plain = pa.Array.from_buffers(pa.large_binary(), len(filled), [None, offsets, pa.py_buffer(mapped)], offset=filled.offset)
+    lists = pc.split_pattern(plain, b" ")
+    owner, flat = pc.list_parent_indices(lists), pc.list_flatten(lists)
+    real = pc.greater(pc.binary_length(flat), 0)
+    return np.asarray(owner.filter(real)), flat.filter(real)
+
+
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its runs of ``words`` words.
 
@@ -47,12 +71,7 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     """
     factors = odd_numbers(words, 17)
     for _, part in slices(texts):
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(part, "").cast(pa.large_string())))
-        owner, flat = pc.list_parent_indices(lists), pc.list_flatten(lists)
-        real = pc.greater(pc.binary_length(flat), 0)
-        owner, flat = np.asarray(owner.filter(real)), flat.filter(real)
-        if isinstance(flat, pa.ChunkedArray):
-            flat = flat.combine_chunks()
+        owner, flat = word_lists(part, lower=True)
         coded = flat.dictionary_encode()
         names = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
         hashed = names[np.asarray(coded.indices)] if len(coded) else np.empty(0, np.uint64)
