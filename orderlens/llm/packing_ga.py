@@ -11,6 +11,8 @@ packings. A cell stops early once an elite meets the lower bound of its total.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orderlens.llm.common import saved
-from orderlens.llm.words import slices
+from orderlens.llm.words import bytes_of, byte_table, slices, split_at_spaces
 
 CELL_PIECES = 8_192
 ISLANDS = 2
@@ -28,8 +30,10 @@ GENERATIONS = 3
 POPULATION = 4
 #: Share of a sequence that counts as well filled.
 WELL_FILLED = 0.995
+#: Bytes of text tokenized at a time.
+SLICE_BYTES = 8 << 20
 #: Words whose ids a task keeps at most.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 400_000
 
 PIECES = "id long, piece int, start long, ids array<int>"
 STATE = "cell long, island int, lengths binary, packing binary, bins long, bound long, fitness double"
@@ -38,30 +42,82 @@ STATE = "cell long, island int, lengths binary, packing binary, bins long, bound
 class WordIds:
     """Token ids of texts, word by word.
 
-    For a tokenizer whose normaliser and splitter drop white space, no token spans
-    two words, so a text's ids are those of its words in order. Ids of frequent words are
-    kept in a map of bounded size.
+    For a tokenizer whose normaliser and splitter drop white space and tell letters
+    from signs, no token spans two words, nor a letter and a sign behind
+    it. A text's ids are then those of its parts in order, each part is encoded once,
+    and the ids of ``KEPT_WORDS`` parts are kept. Parts that normalising and splitting
+    leave as they are go to the tokenizer's model directly; others are encoded many
+    in one call, with a sign of one token between them.
     """
 
+    MARK = "|"
+
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, list[int]] = {}
-
-    def encode(self, text: bytes) -> list[int]:
-        words = text.split()  # of bytes: at ASCII white space only
-        known = self.known
-        missing = [w for w in set(words) if w not in known]
-        if missing:
-            if len(known) + len(missing) > KEPT_WORDS:
-                known = self.known = {}
-                missing = list(set(words))
-            strings = [w.decode("utf-8", "replace") for w in missing]
-            for word, code in zip(missing, self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)):
-                known[word] = code.ids
-        ids: list[int] = []
+        ids = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        self.mark = ids[0] if len(ids) == 1 else None
+        # The visible sign that stands for each byte in a byte-level vocabulary.
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in visible]
+        self.signs = {b: 256 + k for k, b in enumerate(hidden)}
+
+    def learn(self, words: list[bytes]) -> None:
+        tokenize, others = self.tokenizer.model.tokenize, []
+        for word in words:
+            if word.isascii():
+                if word.isalpha() and word.islower():
+                    self.known[word] = [t.id for t in tokenize(word.decode())]
+                    continue
+            else:
+                text = word.decode("utf-8", "replace")
+                if max(text) < "\u0250" and text.isalpha() and text.islower() and is_normalized("NFC", text):
+                    self.known[word] = [t.id for t in tokenize(text.encode().decode("latin-1").translate(self.signs))]
+                    continue
+            others.append(word)
+        words = others
+        plain = [w for w in words if self.MARK.encode() not in w] if self.mark is not None else []
+        for at in range(0, len(plain), 1000):
+            part = plain[at : at + 1000]
+            text = f" {self.MARK} ".join(w.decode("utf-8", "replace") for w in part)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+            cuts = np.flatnonzero(ids == self.mark)
+            for word, first, stop in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+                self.known[word] = ids[first:stop].tolist()
         for word in words:
-            ids += known[word]
-        return ids
+            if word not in self.known:
+                self.known[word] = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(bounds, ids): the ids of text k are ``ids[bounds[k] : bounds[k + 1]]``."""
+        offsets, data = bytes_of(texts)
+        # Names of special tokens must stay whole, and ones in capitals must stay ordinary text.
+        special = b"<|" in data.tobytes()
+        data = byte_table(lower=not special)[data]
+        if not special:
+            letter = (data >= ord("a")) & (data <= ord("z"))
+            sign = (data > ord(" ")) & (data < 127) & ~letter & ~((data >= ord("0")) & (data <= ord("9")))
+            cuts = np.flatnonzero(letter[:-1] & sign[1:]) + 1
+            data = np.insert(data, cuts, ord(" "))
+            offsets = offsets + np.searchsorted(cuts, offsets)
+        owner, words = split_at_spaces(offsets, data)
+        coded = words.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        missing = [w for w in names if w not in self.known]
+        if len(self.known) + len(missing) > KEPT_WORDS:
+            self.known = {}
+            missing = names
+        self.learn(missing)
+        codes = [self.known[w] for w in names]
+        sizes = np.array([len(c) for c in codes], np.int64)
+        flat = np.fromiter(chain.from_iterable(codes), np.int32, int(sizes.sum()))
+        which = np.asarray(coded.indices)
+        lengths = sizes[which]
+        ends = np.cumsum(lengths)
+        first = (np.cumsum(sizes) - sizes)[which] - (ends - lengths)
+        ids = flat[np.repeat(first, lengths) + np.arange(len(which) and ends[-1])]
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(owner, lengths, len(offsets) - 1)))).astype(np.int64)
+        return bounds, ids
 
 
 def token_pieces(
@@ -83,11 +139,12 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer_path)
         for batch in batches:
-            for first, part in slices(batch.column(1)):
+            for first, part in slices(batch.column(1), SLICE_BYTES):
                 owner, number, start, chunks = [], [], [], []
                 ids = batch.column(0).slice(first, len(part)).to_pylist()
-                for doc, text in zip(ids, part.cast(pa.binary()).to_pylist()):
-                    tokens = np.array(words.encode(text or b"") + [end_id], np.int32)
+                bounds, flat_ids = words.encode(part)
+                for doc, a, b in zip(ids, bounds[:-1], bounds[1:]):
+                    tokens = np.append(flat_ids[a:b], np.int32(end_id))
                     for k, at in enumerate(range(0, len(tokens), capacity)):
                         owner.append(doc)
                         number.append(k)

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that are worked on at a time inside a batch.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Rows of the product of shingles and hash functions held at a time.
 HASH_ROWS = 1 << 15
 
@@ -48,21 +48,33 @@ def byte_table(lower: bool) -> np.ndarray:
     return table
 
 
-def word_lists(texts: pa.Array, lower: bool) -> tuple[np.ndarray, pa.Array]:
-    """(row, word) of all words of the texts in order: what ASCII white space separates.
-
-    Bytes of longer UTF-8 sequences are never taken for white space.
-    """
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of the texts in UTF-8; null is empty."""
     filled = pc.fill_null(texts.cast(pa.large_binary()), b"")
     _, offsets, data = filled.buffers()
-    mapped = byte_table(lower)[np.frombuffer(data, np.uint8)] if data is not None and data.size else np.empty(0, np.uint8)
-    plain = pa.Array.from_buffers(pa.large_binary(), len(filled), [None, offsets, pa.py_buffer(mapped)], offset=filled.offset)
-    lists = pc.split_pattern(plain, b" ")
+    offsets = np.frombuffer(offsets, np.int64)[filled.offset : filled.offset + len(filled) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    return offsets - offsets[0], data[offsets[0] : offsets[-1]]
+
+
+def split_at_spaces(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(row, word) of what spaces separate in the rows."""
+    rows = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    lists = pc.split_pattern(rows, b" ")
     owner, flat = pc.list_parent_indices(lists), pc.list_flatten(lists)
     real = pc.greater(pc.binary_length(flat), 0)
     return np.asarray(owner.filter(real)), flat.filter(real)
 
 
+def word_lists(texts: pa.Array, lower: bool) -> tuple[np.ndarray, pa.Array]:
+    """(row, word) of all words of the texts in order: what ASCII white space separates.
+
+    Bytes of longer UTF-8 sequences are never taken for white space.
+    """
+    offsets, data = bytes_of(texts)
+    return split_at_spaces(offsets, byte_table(lower)[data])
+
+
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its runs of ``words`` words.
 
