@@ -13,13 +13,42 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import exact_dedup, minhash_hamming, packing_ga, piece_codec, positive_unlabelled, weak_pii
+from orderlens.llm import exact_dedup, minhash_hamming, packing_ga, piece_codec, positive_unlabelled, warc, weak_pii
+from orderlens.llm.common import remove_dir, run_dir, saved
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    records = warc.read_archives(
+        spark, folder, {"payload_bytes": lambda p: F.octet_length(p).cast("long"), "payload_digest": lambda p: F.sha1(p)}
+    )
+    records = saved(
+        records.select(
+            warc.id_of(F.col("record_id")).alias("page_id"),
+            "payload_bytes",
+            "payload_digest",
+            "record_type",
+            warc.id_of(F.col("refers_to")).alias("refers_to"),
+        )
+    )
+    remove_dir(spark, folder)
+    full = records.filter("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"))
+    full = full.agg(F.max("payload_bytes").alias("full_bytes"), F.max("payload_digest").alias("full_digest"))
+    referred = F.col("record_type") == "revisit"
+    return records.join(full, "refers_to", "left").select(
+        "page_id",
+        F.when(referred, F.col("full_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(referred, F.col("full_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
@@ -131,6 +160,7 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator; each takes (spark, folder of the tables)."""
     return {
+        "op1_warc_chain": warc_query,
         "op2_exact_dedup": exact_dedup_query,
         "op3_weak_pii": pii_query,
         "op4_positive_unlabelled": quality_query,
@@ -143,6 +173,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 #: DuckDB's regexes know no look-behind or possessive groups; their plain forms match the same.
 SPACE_CHARS_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+WARC_SQL = """
+WITH rows AS (
+  SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+), kept AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS keeper FROM rows
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN keeper END AS refers_to
+FROM kept
+"""
+
 EXACT_DEDUP_SQL = f"""
 WITH rows AS (
   SELECT doc_id, coalesce(text, '') AS text, translate(coalesce(text, ''), {SPACE_CHARS_SQL}, '') AS norm FROM documents
@@ -157,4 +199,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 def oracle_sql() -> dict[str, str]:
     """SQL that gives the same rows, for the queries that SQL can express."""
-    return {"op2_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op1_warc_chain": WARC_SQL, "op2_exact_dedup": EXACT_DEDUP_SQL}
