@@ -13,7 +13,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import exact_dedup, minhash_hamming, packing_ga, piece_codec, positive_unlabelled, warc, weak_pii
+from orderlens.llm import (
+    exact_dedup,
+    host_reputation,
+    minhash_hamming,
+    packing_ga,
+    pca_tiles,
+    piece_codec,
+    positive_unlabelled,
+    vector_packing,
+    warc,
+    weak_pii,
+)
 from orderlens.llm.common import remove_dir, run_dir, saved
 
 
@@ -122,6 +133,36 @@ def pieces_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rules of the URL filter: host, start of the path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+#: A page counts as good if it has this many paragraphs.
+LEAST_PARAGRAPHS = 3
+
+
+def url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    paragraphs = F.octet_length("html") - F.octet_length(F.replace("html", F.lit("<p>"), F.lit("")))
+    outcomes = pages.select("url", (paragraphs >= 3 * LEAST_PARAGRAPHS).cast("int").alias("good"))
+    found = host_reputation.judged(pages, outcomes, URL_RULES)
+    return found.drop("bound").withColumnRenamed("id", "page_id")
+
+
+def vectors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pca_tiles.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.withColumnRenamed("id", "vec_id").withColumnRenamed("component", "component_id")
+
+
+def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_packing.sharded(table(spark, sf_dir, "documents"), shards=40)
+    return found.withColumnRenamed("id", "doc_id").withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash_hamming.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
     return found.withColumnRenamed("id", "doc_id").withColumnRenamed("component", "component_id")
@@ -165,6 +206,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_weak_pii": pii_query,
         "op4_positive_unlabelled": quality_query,
         "op5_piece_codec": pieces_query,
+        "op6_host_reputation": url_query,
+        "op7_pca_tiles": vectors_query,
+        "op8_vector_packing": sharding_query,
         "op9_minhash_hamming": minhash_query,
         "op10_packing_ga": packing_query,
     }
@@ -196,7 +240,58 @@ WITH rows AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM ranked
 """
 
+RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+LONG_SQL = ", ".join(f"'{x}'" for x in host_reputation.LONG_SUFFIXES)
+
+
+def strength_sql(children: str, parent: str) -> str:
+    """The prior strength of a level, as a query of one row."""
+    limits = f"least(greatest((1 - r) / nullif(r, 0), {host_reputation.WEAKEST}), {host_reputation.STRONGEST})"
+    return f"""(SELECT CASE WHEN between_ > inside THEN {limits} ELSE {host_reputation.STRONGEST} END FROM (
+  SELECT *, (between_ - inside) / nullif(between_ + (spread / free - 1) * inside, 0) AS r FROM (
+    SELECT free, spread, b / free AS between_, i / greatest(rest, 1) AS inside FROM (
+      SELECT nullif(sum(g - 1), 0) AS free, sum(n - g) AS rest, sum(k2 - k * k / n) AS b, sum(k - k2) AS i, sum(n - n2 / n) AS spread
+      FROM (SELECT count(*) AS g, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(k) AS DOUBLE) AS k, sum(CAST(n AS DOUBLE) * n) AS n2,
+                   sum(CAST(k AS DOUBLE) * k / n) AS k2 FROM {children} GROUP BY {parent})))))"""
+
+
+URL_SQL = f"""
+WITH cut AS (
+  SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), '{host_reputation.UPPER}', '{host_reputation.LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), named AS (
+  SELECT *, regexp_extract(host, '[^.]*$') AS last, regexp_extract(host, '([^.]*\\.)?[^.]*$') AS two FROM parts
+), hosts AS (
+  SELECT host, CASE WHEN two IN ({LONG_SQL}) THEN regexp_extract(host, '([^.]*\\.){{0,2}}[^.]*$') ELSE two END AS domain,
+         CASE WHEN two IN ({LONG_SQL}) THEN two ELSE last END AS suffix, CAST(count(*) AS DOUBLE) AS n,
+         CAST(count(*) FILTER (length(html) - length(replace(html, '<p>', '')) >= {3 * LEAST_PARAGRAPHS}) AS DOUBLE) AS k
+  FROM named WHERE html IS NOT NULL GROUP BY ALL
+), domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL),
+numbers AS (
+  SELECT (SELECT sum(k) / sum(n) FROM suffixes) AS m, {strength_sql("suffixes", "()")} AS c1,
+         {strength_sql("domains", "suffix")} AS c2, {strength_sql("hosts", "domain")} AS c3
+), shrunk AS (
+  SELECT host, h.k + c3 * d.mean AS a, h.n - h.k + c3 * (1 - d.mean) AS b
+  FROM hosts h, numbers, (
+    SELECT domain, (d.k + c2 * s.mean) / (d.n + c2) AS mean
+    FROM domains d JOIN (SELECT suffix, (k + c1 * m) / (n + c1) AS mean FROM suffixes, numbers) s USING (suffix), numbers
+  ) d
+  WHERE h.domain = d.domain
+), bounds AS (
+  SELECT host, a / (a + b) - {host_reputation.MARGIN} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM shrunk
+), rules AS (SELECT * FROM (VALUES {RULES_SQL}) AS r(rule_host, rule_path, what))
+SELECT page_id, host, path, found.rule, coalesce(found.what, CASE WHEN bound >= {host_reputation.LEAST_GOOD} THEN 'allow' ELSE 'block' END) AS verdict
+FROM parts LEFT JOIN bounds USING (host) LEFT JOIN (
+  SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(what, length(rule_host || rule_path)) AS what
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id
+) found USING (page_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL that gives the same rows, for the queries that SQL can express."""
-    return {"op1_warc_chain": WARC_SQL, "op2_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op1_warc_chain": WARC_SQL, "op2_exact_dedup": EXACT_DEDUP_SQL, "op6_host_reputation": URL_SQL}
