@@ -48,16 +48,13 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     remove_dir(spark, folder)
-    full = records.filter("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"))
-    full = full.agg(F.max("payload_bytes").alias("full_bytes"), F.max("payload_digest").alias("full_digest"))
-    referred = F.col("record_type") == "revisit"
-    return records.join(full, "refers_to", "left").select(
-        "page_id",
-        F.when(referred, F.col("full_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(referred, F.col("full_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        "refers_to",
+    responses = records.filter("record_type = 'response'")
+    full = responses.groupBy(F.col("page_id").alias("refers_to")).agg(
+        F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("payload_digest")
     )
+    # A revisit has no payload of its own: it takes the length and digest of the one it refers to.
+    revisits = records.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to").join(full, "refers_to", "left")
+    return responses.unionByName(revisits)
 
 
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +139,7 @@ URL_RULES = [
     ("net", "/fr/", "block"),
 ]
 #: A page counts as good if it has this many paragraphs.
-LEAST_PARAGRAPHS = 3
+LEAST_PARAGRAPHS = 5
 
 
 def url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
