@@ -253,18 +253,16 @@ def packed(
 
     pieces has id, piece and a length from 1 to ``capacity``; its other columns are
     kept. Offsets in a sequence are gapless from 0. Pieces of full length are
-    sequences of their own. An empty table gives no rows; pieces with equal keys are
-    told apart by their order only; equal lengths are placed by key.
+    sequences of their own. An empty table gives no rows; pieces with equal keys
+    and lengths stand for one another.
     """
     pieces = saved(pieces)
     n = pieces.count()
     cells = max(1, -(-n // CELL_PIECES))
     dealt = pieces.withColumn("cell", F.pmod(F.xxhash64("id", "piece"), F.lit(cells)))
-    columns = dealt.columns
-    extra = [c for c in columns if c not in ("cell", "id", "piece", length_col)]
 
     def in_order(table: pa.Table) -> pa.Table:
-        return table.sort_by([(c, "ascending") for c in ("id", "piece", length_col, *extra)])
+        return table.sort_by([(c, "ascending") for c in ("id", "piece", length_col)])
 
     state_schema = pa.schema(
         [("cell", pa.int64()), ("island", pa.int32()), ("lengths", pa.binary()), ("packing", pa.binary()), ("bins", pa.int64()), ("bound", pa.int64()), ("fitness", pa.float64())]
@@ -299,7 +297,7 @@ def packed(
 
         return run
 
-    state = saved(dealt.groupBy("cell").applyInArrow(founded, STATE))
+    state = saved(dealt.select("cell", "id", "piece", length_col).groupBy("cell").applyInArrow(founded, STATE))
     rank = F.struct("bins", (-F.col("fitness")).alias("worth"), "island", "packing")
     for number in range(1, EPOCHS + 1):
         if not state.groupBy("cell").agg(F.min(F.col("bins") - F.col("bound")).alias("over")).filter("over > 0").limit(1).count():

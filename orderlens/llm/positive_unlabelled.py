@@ -33,6 +33,8 @@ RATE = 0.05
 DECAY = 3.0
 #: Cuts of the scores between which the share of positives is estimated.
 CUTS = 200
+#: Rows that each step of the calibration counts beyond the real ones.
+SMOOTH = 0.02
 #: Least share of positives above a cut that counts.
 LEAST_ABOVE = 0.5
 
@@ -196,8 +198,17 @@ def scores(table: DataFrame, models: list[BinnedLogistic], chance: np.ndarray |
 
 
 def sample(table: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """At most ``rows`` feature rows, the same ones whatever the partitioning, and their halves."""
-    picked = table.select("id", "x", half().alias("half")).orderBy(F.xxhash64("id"), "id").limit(rows).collect()
+    """At most ``rows`` feature rows, the same ones whatever the partitioning, and their halves.
+
+    Rows are taken by falling place of a hash of the id; a cut at the place that about
+    ``rows`` rows lie below keeps what tasks send to the driver to that number.
+    """
+    place = F.xxhash64("id")
+    share = min(1.0, 1.2 * rows / max(1, table.count()) + 1e-9)
+    cut = int(-(2**63) + share * (2**64 - 1))
+    near = table.select("id", "x", half().alias("half"), place.alias("place"))
+    near = near.filter(F.col("place") <= F.lit(min(cut, 2**63 - 1)))
+    picked = near.orderBy("place", "id").limit(rows).collect()
     return np.array([r["x"] for r in picked], float).reshape(-1, FEATURES), np.array([r["half"] for r in picked], int)
 
 
@@ -224,7 +235,7 @@ def calibration(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> n
     """The probability of the positive class in each step of the score, never falling."""
     expected = prior * positive / max(positive.sum(), 1) * unlabelled.sum()
     pools: list[list[float]] = []
-    for good, all_rows in zip(expected + 0.5 * prior, unlabelled + 0.5):
+    for good, all_rows in zip(expected + SMOOTH * prior, unlabelled + SMOOTH):
         pools.append([good, all_rows, 1])
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             last = pools.pop()

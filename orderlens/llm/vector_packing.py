@@ -107,7 +107,9 @@ def sharded(
         sizes = np.column_stack([np.asarray(table[c], float) for c in ("bytes", "tokens", "n")])
         own = sizes.sum(axis=0)
         share = rest * (own / np.maximum(rest.sum(axis=0), 1e-9))
-        shard = place(sizes, share, np.maximum(own / shards, 1e-9))
+        # Each cell meets the shards in an order of its own, so no shard wins all ties.
+        turn = np.random.default_rng(key[0].as_py()).permutation(shards)
+        shard = turn[place(sizes, share[turn], np.maximum(own / shards, 1e-9))]
         return pa.table({"text_key": table["text_key"], "part": table["part"], "shard": pa.array(shard, pa.int32())})
 
     dealt = groups.filter(F.col("bytes") <= limit).withColumn("cell", F.pmod(F.xxhash64("text_key", "part"), F.lit(cells)))
