@@ -2,8 +2,37 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
+
+
+def wall_clock(value: date | datetime | str) -> str:
+    """The value as text, free of any time zone."""
+    return value if isinstance(value, str) else str(value)
+
+
+def bound(value: date | datetime | str, kind: DataType) -> Column:
+    """A time to compare a column of type ``kind`` with.
+
+    A value without a zone is a wall-clock time of the session's zone, whatever the zone of
+    this process. A day keeps a date column as it is, so the filter reaches the scan.
+    """
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        return F.lit(value)
+    text = wall_clock(value)
+    if isinstance(kind, TimestampType):
+        return F.lit(text).cast("timestamp")
+    if isinstance(kind, (DateType, TimestampNTZType)):
+        return F.lit(text).cast("date" if isinstance(kind, DateType) and len(text) <= 10 else "timestamp_ntz")
+    return F.lit(text)
+
+
+def day_of(value: date | datetime | str) -> Column:
+    """The calendar day of a wall-clock time."""
+    return F.lit(wall_clock(value)[:10]).cast("date")
 
 
 def week_block(day: Column) -> Column:

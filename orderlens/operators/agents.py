@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.columns import Columns, as_day, pick, refund_statuses
+from orderlens.functions.dates import day_of
 from orderlens.functions.nulls import count_rows, is_in, not_in, null_safe
 from orderlens.functions.numbers import ratio, share
 from orderlens.operators.netting import in_period
@@ -306,7 +307,7 @@ def agents_below_average(
         .groupBy("company", "channel_id")
         .agg(F.sum("orders").cast("long").alias("orders"))
     )
-    agents = registry if end is None else registry.filter(F.col("registered") <= F.lit(end).cast("date"))
+    agents = registry if end is None else registry.filter(F.col("registered") <= day_of(end))
     if fixed_average is None:
         sizes = per_agent.select("company", "orders", F.lit(0).alias("agents")).unionByName(
             agents.select("company", F.lit(0).cast("long").alias("orders"), F.lit(1).alias("agents"))
@@ -370,7 +371,7 @@ def agent_order_rate(
     )
     selling = per_id.select("channel_id")
     idle = (
-        channels.filter(F.to_date("registered") <= F.lit(end))
+        channels.filter(F.to_date("registered") <= day_of(end))
         .withColumn("channel_id", F.col("channel_id").cast("string"))
         .join(companies, "channel_1")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderlens.columns import Columns, as_day, pick, refund_statuses
 from orderlens.functions import labels as L
 from orderlens.functions import people as P
-from orderlens.functions.dates import month_day
+from orderlens.functions.dates import bound, day_of, month_day
 from orderlens.functions.nulls import count_rows, flag, not_in
 from orderlens.functions.numbers import ratio, round_even, share
 from orderlens.operators.netting import in_period
@@ -39,10 +39,11 @@ def sold_between(
 ) -> DataFrame:
     """As :func:`sold`, but the bounds are exact times."""
     rows = sold(df, cols, fields, "all", drop_refunds=drop_refunds)
+    kind = rows.schema["date_created"].dataType
     if start is not None:
-        rows = rows.filter(F.col("date_created") >= F.lit(start).cast("timestamp_ntz"))
+        rows = rows.filter(F.col("date_created") >= bound(start, kind))
     if end is not None:
-        rows = rows.filter(F.col("date_created") <= F.lit(end).cast("timestamp_ntz"))
+        rows = rows.filter(F.col("date_created") <= bound(end, kind))
     return rows
 
 
@@ -196,7 +197,7 @@ def fact_sheet(
 
     ``online`` is the pattern of the companies counted as online platform.
     ``launch`` is the day whose birthdays are counted, by default ``start`` or,
-    without one, the first day of the orders.
+    without one, the first day of the orders, refunded ones included.
     """
     fields = ["group", "company", "sex", "id_type", "id_no", "birthday"]
     if with_medical:
@@ -213,9 +214,12 @@ def fact_sheet(
             "is_online": F.coalesce(F.col("company").rlike(online), F.lit(False)),
         }
     )
-    if launch is None:
-        launch = start if start is not None else rows.agg(F.min(created)).first()[0]
-    launch_on = month_day(F.lit(launch).cast("date"))
+    if launch is None and start is None:
+        # Refunded orders count here: the first of them may have opened the sale.
+        everyone = sold_between(df, cols, [], start, end, drop_refunds=False)
+        launch = everyone.agg(F.min(created)).first()[0]
+    launch = start if launch is None else launch
+    launch_on = month_day(F.lit(None).cast("date") if launch is None else day_of(launch))
     age = F.col("age")
     conditions = {
         "净投保量": F.lit(True),

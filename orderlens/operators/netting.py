@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.columns import Columns, as_day, pick, refund_statuses
-from orderlens.functions.nulls import count_distinct_na, count_rows, flag, is_in, not_in
+from orderlens.functions.dates import day_of
+from orderlens.functions.nulls import count_distinct_na, count_rows, is_in, not_in
 from orderlens.functions.numbers import share
 
 
@@ -17,9 +18,9 @@ def in_period(day: Column, start: date | str | None, end: date | str | None) ->
     """Inclusive date filter; an absent bound does not filter, an absent day does not pass."""
     condition = day.isNotNull()
     if start is not None:
-        condition = condition & (day >= F.lit(start).cast("date"))
+        condition = condition & (day >= day_of(start))
     if end is not None:
-        condition = condition & (day <= F.lit(end).cast("date"))
+        condition = condition & (day <= day_of(end))
     return condition
 
 
@@ -52,91 +53,117 @@ BUYER_FIELDS = {
 }
 
 
-def net_orders(
-    df: DataFrame,
-    cols: Columns = Columns(),
-    kind: str = "all",
-    start: date | str | None = None,
-    end: date | str | None = None,
-    by: Sequence[str] = (),
-    total_by: Sequence[str] | None = None,
-    required: Sequence[str] | None = None,
-) -> DataFrame:
-    """Users, applicants, orders, refunds and net orders per day and ``by``.
+def _buyer_days(df, cols, kind, start, end, by, total_by, required, path=()) -> DataFrame:
+    """One row per day, ``by`` and who bought: users and applicants, each in their role.
 
-    Orders count on the day they were created, refunds on the day they were
-    updated. Each order row is read once and spread into its one or two dated
-    events, so the same aggregation gives both sides, the days that hold only
-    refunds, and the totals (``is_total`` 1), which count users afresh over
-    all days. Rows with a NULL in ``required`` (by default ``by``) are left
-    out. ``total_by`` names the keys of the totals when they are fewer than
-    ``by``. Individual orders also get ``auto_deduct``, the valid orders with
-    the deduction agreement.
+    Each order row is read once and spread into its dated events. ``orders``,
+    ``refunds`` and ``deduct`` stand on rows of users only; refunds without a
+    buyer. ``is_first`` marks the first day with orders of each user and
+    applicant within ``total_by``. With ``path`` the combinations of these
+    columns are one more role, with their first order.
     """
-    by = list(by)
-    total_by = by if total_by is None else list(total_by)
-    required = by if required is None else list(required)
     with_deduct = kind == "self"
     statuses = refund_statuses(kind)
     fields = dict.fromkeys(
-        ["date_created", "date_updated", "status", *BUYER_FIELDS[kind], *by]
+        ["date_created", "date_updated", "status", *BUYER_FIELDS[kind], *by, *path]
         + (["auto_deduct"] if with_deduct else [])
+        + (["order_item_id"] if path else [])
     )
     user, applicant = buyers(kind)
-    created = as_day("date_created")
+    created, updated = as_day("date_created"), as_day("date_updated")
     refunded = is_in(F.col("status"), statuses)
     deduct = F.when(~refunded, F.col("auto_deduct")).otherwise(0) if with_deduct else F.lit(0)
+    nobody = F.lit(None).cast("string")
+    places = F.struct(*[F.col(name) for name in path]) if path else nobody
+    first = F.struct("date_created", F.col("order_item_id").cast("string").alias("id")) if path else nobody
+
+    def event(day, is_order, role, who, deduct=F.lit(0), shown=False) -> Column:
+        return F.struct(
+            day.alias("date"),
+            F.lit(is_order).alias("is_order"),
+            F.lit(role).alias("role"),
+            who.alias("who"),
+            deduct.cast("int").alias("deduct"),
+            *([(places if shown else F.when(F.lit(False), places)).alias("path"), (first if shown else F.when(F.lit(False), first)).alias("first")] if path else []),
+        )
 
-    order_event = F.struct(
-        created.alias("date"),
-        F.lit(1).alias("is_order"),
-        user.alias("user"),
-        applicant.alias("applicant"),
-        deduct.cast("int").alias("deduct"),
-    )
-    refund_event = F.struct(
-        as_day("date_updated").alias("date"),
-        F.lit(0).alias("is_order"),
-        F.when(F.lit(False), user).alias("user"),
-        F.when(F.lit(False), applicant).alias("applicant"),
-        F.lit(0).alias("deduct"),
-    )
+    bought = [event(created, 1, "user", user, deduct)]
+    if kind != "com":
+        bought.append(event(created, 1, "applicant", applicant))
+    returned = [event(updated, 0, "user", nobody)]
+    if path:
+        bought.append(event(created, 1, "path", nobody, shown=True))
+        returned.append(event(updated, 0, "path", nobody, shown=True))
     rows = pick(df, cols, *fields).filter(in_period(created, start, end))
     if required:
         rows = rows.dropna(subset=required)
     events = rows.select(
-        *by,
-        F.explode(
-            F.when(refunded, F.array(order_event, refund_event)).otherwise(F.array(order_event))
-        ).alias("event"),
-    ).select(*by, "event.*")
-
-    # Down to one row per buyer and day before the distinct counts and the
-    # grouping sets multiply rows; a hot buyer collapses on the map side.
-    keys = ["date", *by]
-    bought = events.groupBy(*keys, "user", "applicant").agg(
-        F.sum("is_order").alias("orders"),
-        F.sum(1 - F.col("is_order")).alias("refunds"),
-        F.sum("deduct").alias("deduct"),
+        *by, F.inline(F.when(refunded, F.array(*bought, *returned)).otherwise(F.array(*bought)))
+    )
+    # Down to one row per buyer and day before anything else; a hot buyer, and all
+    # rows without one, collapse on the map side.
+    days = events.groupBy(*by, "date", "role", "who", *(["path"] if path else [])).agg(
+        F.sum("is_order").cast("long").alias("orders"),
+        F.sum(1 - F.col("is_order")).cast("long").alias("refunds"),
+        F.sum("deduct").cast("long").alias("deduct"),
+        *([F.min("first").alias("first")] if path else []),
     )
     has_orders = F.col("orders") > 0
+    own_days = Window.partitionBy(*total_by, "role", "who").orderBy(
+        F.when(has_orders, 0).otherwise(1), F.col("date").asc_nulls_last(), *by
+    )
+    return days.withColumn("is_first", has_orders & (F.row_number().over(own_days) == 1))
+
+
+def _counted(days: DataFrame, kind: str, by: list[str], total_by: list[str]) -> DataFrame:
+    """Daily rows and totals from :func:`_buyer_days`; no distinct is left to count."""
+    of_user, has_orders = F.col("role") == "user", F.col("orders") > 0
+    other = "user" if kind == "com" else "applicant"
+    of_applicant = F.col("role") == other
+    keys = ["date", *by]
+    daily = days.groupBy(*keys).agg(
+        F.count_if(of_user & has_orders).alias("users"),
+        F.count_if(of_applicant & has_orders).alias("applicants"),
+        F.count_if(of_user & F.col("is_first")).alias("first_users"),
+        F.count_if(of_applicant & F.col("is_first")).alias("first_applicants"),
+        *[F.sum(F.when(of_user, F.col(name)).otherwise(0)).alias(name) for name in ("orders", "refunds", "deduct")],
+    )
+    total = F.grouping("date") == 1
     counts = [
-        count_distinct_na(F.col("user"), has_orders).cast("long").alias("users"),
-        count_distinct_na(F.col("applicant"), has_orders).cast("long").alias("applicants"),
-        F.sum("orders").cast("long").alias("orders"),
-        F.sum("refunds").cast("long").alias("refunds"),
-        *([F.sum("deduct").cast("long").alias("auto_deduct")] if with_deduct else []),
+        *[F.when(total, F.sum(f"first_{name}")).otherwise(F.sum(name)).alias(name) for name in ("users", "applicants")],
+        F.sum("orders").alias("orders"),
+        F.sum("refunds").alias("refunds"),
+        *([F.sum("deduct").alias("auto_deduct")] if kind == "self" else []),
         F.grouping("date").cast("int").alias("is_total"),
     ]
-    result = bought.groupingSets(
+    # One row per day and key goes in here, not the orders.
+    result = daily.groupingSets(
         [[F.col(key) for key in keys], [F.col(key) for key in total_by]],
         *[F.col(key) for key in keys],
     ).agg(*counts)
-    net = (F.col("orders") - F.col("refunds")).alias("net_orders")
     measures = ["users", "applicants", "orders", "refunds"]
-    return result.select(
-        *keys, "is_total", *measures, net, *(["auto_deduct"] if with_deduct else [])
-    )
+    net = (F.col("orders") - F.col("refunds")).alias("net_orders")
+    return result.select(*keys, "is_total", *measures, net, *(["auto_deduct"] if kind == "self" else []))
+
+
+def net_orders(
+    df: DataFrame,
+    cols: Columns = Columns(),
+    kind: str = "all",
+    start: date | str | None = None,
+    end: date | str | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Users, applicants, orders, refunds and net orders per day and ``by``.
+
+    Orders count on the day they were created, refunds on the day they were
+    updated, so days that hold only refunds appear. Totals (``is_total`` 1)
+    count users afresh over all days, as the sum of each user's first day.
+    Rows with a NULL in ``by`` are left out. Individual orders also get
+    ``auto_deduct``, the valid orders with the deduction agreement.
+    """
+    by = list(by)
+    return _counted(_buyer_days(df, cols, kind, start, end, by, by, by), kind, by, by)
 
 
 def daily_net(df, cols=Columns(), kind="all", start=None, end=None) -> DataFrame:
@@ -156,46 +183,48 @@ def daily_channel2_net(df, cols=Columns(), kind="all", start=None, end=None) ->
 
 
 def daily_channel3_net(df, cols=Columns(), kind="all", start=None, end=None) -> DataFrame:
-    """Per day, company and channel id; totals are per channel id.
+    """Per day, company, channel id and the names its orders carry; totals per channel id.
 
-    Each channel id shows one company and one set of names; totals show that
-    company.
+    Users, orders and refunds are counted per day, company and channel id. A
+    row stands for each combination of names among that day's orders and
+    refunds: it shows the orders if its names are among the orders, and the
+    refunds if they are among the refunds. Totals show company and names of
+    the channel's first order.
     """
-    counts = net_orders(
-        df,
-        cols,
-        kind,
-        start,
-        end,
-        by=["company", "channel_id"],
-        total_by=["channel_id"],
-        required=["channel_id"],
+    by, names = ["company", "channel_id"], ["channel_1", "channel_2", "channel_3"]
+    days = _buyer_days(df, cols, kind, start, end, by, ["channel_id"], ["channel_id"], ["company", *names])
+    counts = _counted(days, kind, by, ["channel_id"])
+    paths = days.filter("role = 'path'")
+    measures = [c for c in counts.columns if c not in ("date", "company", "channel_id")]
+    daily = counts.filter("is_total = 0").withColumnsRenamed({c: f"day_{c}" for c in ("date", *by)})
+    same = (
+        F.col("day_date").eqNullSafe(F.col("date"))
+        & F.col("day_company").eqNullSafe(F.col("company"))
+        & (F.col("day_channel_id") == F.col("channel_id"))
     )
-    names = ["company", "channel_1", "channel_2", "channel_3"]
-    rows = pick(df, cols, "date_created", "channel_id", *names)
-    # A channel id goes with few combinations of names, so the minimum runs on little.
-    shown = (
-        rows.filter(in_period(as_day("date_created"), start, end))
-        .select("channel_id", *names)
-        .distinct()
-        .groupBy("channel_id")
-        .agg(*[F.min(name).alias(f"shown_{name}") for name in names])
-    )
-    company = F.when(F.col("is_total") == 1, F.col("shown_company")).otherwise(F.col("company"))
-    return counts.join(shown, "channel_id").select(
-        "date",
-        company.alias("company"),
-        "channel_id",
-        *[F.col(f"shown_{name}").alias(name) for name in names[1:]],
-        *[c for c in counts.columns if c not in ("date", "company", "channel_id")],
-    )
-
-
-def company_rank(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
-    """Companies by number of orders; ``sort_key`` 1 is the largest."""
-    sizes = (
-        pick(df, cols, "company").dropna().groupBy("company").agg(count_rows().alias("orders"))
+    sold, back = F.col("p_orders") > 0, F.col("p_refunds") > 0
+    shown = {c: F.when(sold, F.col(c)).otherwise(0) for c in ("users", "applicants", "orders")}
+    shown["refunds"] = F.when(back, F.col("refunds")).otherwise(0)
+    shown["net_orders"] = shown["orders"] - shown["refunds"]
+    if kind == "self":
+        shown["auto_deduct"] = F.when(sold, F.col("auto_deduct")).otherwise(0)
+    daily_rows = (
+        paths.select("date", *by, F.struct(*[f"path.{n}" for n in names]).alias("names"), F.col("orders").alias("p_orders"), F.col("refunds").alias("p_refunds"))
+        .join(daily, same)
+        .select("date", *by, "names.*", *[shown.get(c, F.col(c)).alias(c) for c in measures])
     )
+    firsts = paths.filter("orders > 0").groupBy(F.col("channel_id").alias("id")).agg(F.min_by("path", F.struct("first", "path")).alias("path"))
+    totals = counts.filter("is_total = 1").drop("company").join(firsts, F.col("channel_id") == F.col("id"))
+    total_rows = totals.select("date", "path.company", "channel_id", *[f"path.{n}" for n in names], *measures)
+    return daily_rows.unionByName(total_rows)
+
+
+def company_rank(df: DataFrame, cols: Columns = Columns(), start=None, end=None) -> DataFrame:
+    """Companies by number of orders of the period; ``sort_key`` 1 is the largest."""
+    rows = pick(df, cols, "company", *(["date_created"] if (start, end) != (None, None) else []))
+    if "date_created" in rows.columns:
+        rows = rows.filter(in_period(as_day("date_created"), start, end))
+    sizes = rows.filter("company is not null").groupBy("company").agg(count_rows().alias("orders"))
     by_size = Window.orderBy(F.desc("orders"), "company")
     return sizes.withColumn("sort_key", F.row_number().over(by_size))
 

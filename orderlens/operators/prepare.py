@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import labels as L
+from orderlens.functions.dates import bound
 from orderlens.functions.lookup import lookup_join
 from orderlens.functions.nulls import flag
 from orderlens.functions.people import birthday_from_id, sex_from_id
@@ -39,11 +40,12 @@ def created_between(
     column: str = "date_created",
 ) -> DataFrame:
     """Rows created from ``start`` up to, and normally without, ``end``."""
+    kind = df.schema[column].dataType
     if start is not None:
-        df = df.filter(F.col(column) >= F.lit(start))
+        df = df.filter(F.col(column) >= bound(start, kind))
     if end is not None:
-        upper = F.col(column) <= F.lit(end) if inclusive_end else F.col(column) < F.lit(end)
-        df = df.filter(upper)
+        upper = bound(end, kind)
+        df = df.filter(F.col(column) <= upper if inclusive_end else F.col(column) < upper)
     return df
 
 
@@ -228,16 +230,21 @@ def channel_levels(raw: DataFrame) -> DataFrame:
 
 
 def repair_channels(channels: DataFrame) -> DataFrame:
-    """Give channels without level 1 or 2 those of their parent, one step up."""
-    parents = channels.select(
-        F.col("sale_channel_id").alias("parent_id"),
-        F.col("channel_1").alias("parent_1"),
-        F.col("channel_2").alias("parent_2"),
-    )
+    """Give channels without level 1 or 2 those of their parent, one step up.
+
+    Intact channels match no parent, and a parent id that occurs twice stands for its
+    row with the smallest names, so no channel is repeated.
+    """
     broken = F.col("parent_id").isNotNull() & (
         F.col("channel_1").isNull() | F.col("channel_2").isNull()
     )
-    return channels.join(parents, "parent_id", "left").select(
+    named = channels.filter("channel_1 is not null or channel_2 is not null")
+    parents = named.groupBy(F.col("sale_channel_id").alias("parent")).agg(
+        F.min(F.struct(F.col("channel_1").alias("parent_1"), F.col("channel_2").alias("parent_2"))).alias("found")
+    )
+    parents = parents.select("parent", "found.*")
+    wanted = F.when(broken, F.col("parent_id"))
+    return channels.join(parents, wanted == F.col("parent"), "left").select(
         "sale_channel_id",
         "channel_date_created",
         F.when(broken, F.col("parent_1")).otherwise(F.col("channel_1")).alias("channel_1"),
@@ -340,10 +347,11 @@ def enrich_self_orders(
 def with_order_info(items: DataFrame, *per_order: DataFrame) -> DataFrame:
     """Add tables keyed by corporate order to its items.
 
-    The tables are put together first, so the items, of which one company may
-    hold a large part, are shuffled and matched once.
+    The tables are put together on the distinct orders first, so the items, of which
+    one company may hold a large part, are matched once.
     """
-    info = reduce(lambda left, right: left.join(right, "order_id", "full"), per_order)
+    ids = items.select("order_id").distinct()
+    info = reduce(lambda left, right: left.join(right, "order_id", "left"), per_order, ids)
     return items.join(info, "order_id", "left")
 
 

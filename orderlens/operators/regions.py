@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.columns import Columns, as_day, pick, refund_statuses
-from orderlens.functions.dates import month_label, week_start
+from orderlens.functions.dates import day_of, month_label, week_start
 from orderlens.functions.labels import OTHER
 from orderlens.functions.lookup import lookup_join
 from orderlens.functions.nulls import count_rows, is_in
@@ -70,7 +70,7 @@ def _net_by_region(
     created = as_day("date_created")
     rows = pick(df, cols, *needed).filter(in_period(created, start, end))
     if since is not None:
-        rows = rows.filter(created >= F.lit(since).cast("date"))
+        rows = rows.filter(created >= day_of(since))
     refunded = is_in(F.col("status"), refund_statuses("all"))
     order_event = F.struct(F.lit(0).alias("is_refund"), created.alias("day"))
     refund_event = F.struct(F.lit(1).alias("is_refund"), as_day("date_updated").alias("day"))

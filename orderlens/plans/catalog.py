@@ -285,7 +285,7 @@ def agent_milestones(spark, sf_dir):
 
 
 def agent_registered(spark, sf_dir):
-    days = materialised(_agent_days(spark, sf_dir), "agent_days")
+    days = materialised(_agent_days(spark, sf_dir))
     return A.agent_registered(days, _registry(spark, sf_dir), START, END)
 
 
@@ -334,7 +334,7 @@ def _years(spark, sf_dir, *roles):
     rows = fact(
         spark, sf_dir, "date_created", "policy_order_status", "group", "company",
         "applicant_id_no", *roles,
-    ).withColumn("id_no", F.expr("nullif(applicant_id_no % 1000, 7)"))
+    ).withColumn("id_no", F.expr("nullif(applicant_id_no, 7)"))
 
     def part(year, group):
         return rows.filter(F.col("date_created").between(*year) & (F.col("group") == group))
@@ -479,7 +479,7 @@ def _multiple(spark, sf_dir, key, other):
 
 
 def exclusion_list(spark, sf_dir):
-    signed = materialised(_signed(spark, sf_dir), "signed")
+    signed = materialised(_signed(spark, sf_dir))
     return X.exclusion_list(signed, _rules(spark, sf_dir, signed))
 
 
@@ -580,6 +580,7 @@ REPORTS: dict[str, Query] = {
         _net,
         by=("company", "channel_1", "channel_2", "channel_3", "sale_channel_id"),
         report=N.daily_channel3_net,
+        extra=("order_item_id",),
     ),
     "company_rank": company_rank,
     "orders_vs_users": orders_vs_users,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -19,7 +19,7 @@ from orderlens.operators import prepare as E
 from orderlens.operators import regions as R
 from orderlens.operators import retention as T
 from orderlens.operators import summary as S
-from orderlens.sources.tables import snapshot, write_reports
+from orderlens.sources.tables import remove_folder, run_folder, snapshot, write_reports
 
 
 # Row order of the written reports; a minus sign means largest first.
@@ -49,6 +49,10 @@ def in_row_order(name: str, report: DataFrame) -> DataFrame:
     return report.orderBy(*keys) if keys else report
 
 
+#: Creation time of a corporate order; its creation column holds the payment time.
+ORDER_TIME = "date_created_origin"
+
+
 @dataclass(frozen=True)
 class Project:
     """One city's project: its period, prices, skus and report switches."""
@@ -116,11 +120,15 @@ def enrich(project: Project, raw: Mapping[str, DataFrame], lookups: Mapping[str,
 
 def order_reports(orders: DataFrame, project: Project) -> dict[str, DataFrame]:
     """Daily, age and refund-and-rebuy reports for each kind of order."""
-    cols, start, end = project.columns, project.first_day, project.last_day
-    ranks = N.company_rank(orders, cols)
+    start, end = project.first_day, project.last_day
     reports: dict[str, DataFrame] = {}
     for kind in ("self", "com", "all"):
+        cols = project.columns
         rows = orders if kind == "all" else orders.filter(F.col(cols.group) == kind)
+        if kind == "com" and ORDER_TIME in orders.columns:
+            # Corporate reports go by the time of the order, paid or not.
+            cols = replace(cols, date_created=ORDER_TIME)
+        ranks = N.company_rank(rows, cols, start, end)
         daily = N.daily_net(rows, cols, kind, start, end)
         reports[f"daily_{kind}"] = S.sorted_report(daily, None)
         reports[f"daily_company_{kind}"] = S.sorted_report(
@@ -134,10 +142,13 @@ def order_reports(orders: DataFrame, project: Project) -> dict[str, DataFrame]:
         )
         reports[f"age_sex_{kind}"] = P.age_sex(rows, cols, kind, start, end)
         reports[f"age_sex_company_{kind}"] = P.age_sex(rows, cols, kind, start, end, by="company")
+        if kind != "all":
+            # The two kinds come from tables with ids of their own.
+            reports[f"duplicate_orders_{kind}"] = N.duplicate_orders(rows, cols.order_item_id)
+    cols = project.columns
     reports["kpi"] = S.kpi_summary(N.daily_net(orders, cols, "all", start, end), project.days)
     reports["lured_refunds_company"] = T.lured_refunds_company(orders, cols)
     reports["lured_refunds_channel"] = T.lured_refunds_channel(orders, cols)
-    reports["duplicate_orders"] = N.duplicate_orders(orders, cols.order_item_id)
     return reports
 
 
@@ -165,17 +176,21 @@ def people_reports(orders: DataFrame, project: Project, codes: DataFrame) -> dic
 
 
 def agent_reports(
-    orders: DataFrame, project: Project, channels: DataFrame, company_channels: DataFrame
+    orders: DataFrame, project: Project, channels: DataFrame, company_channels: DataFrame, folder: str
 ) -> dict[str, DataFrame]:
-    """Agent reports; the per-agent days they share are written once."""
+    """Agent reports; the per-agent days they share are written once below ``folder``.
+
+    Milestones count orders made by automatic deduction as well.
+    """
     offline = orders.filter(not_in(F.col(project.columns.company), [ONLINE_COMPANY]))
-    days = snapshot(A.agent_days(offline, project.columns, own_purchases=True), "agent_days")
+    days = snapshot(A.agent_days(offline, project.columns, own_purchases=True), "agent_days", folder)
+    every_day = A.agent_days(offline, project.columns)
     registry = A.agent_registry(channels, company_channels)
     start, end = project.first_day, project.last_day
     registered = A.agent_registered(days, registry, start, end)
     return {
         "agent_registered": registered,
-        "agent_milestones": A.agent_milestones(days, start, end, project.ended),
+        "agent_milestones": A.agent_milestones(every_day, start, end, project.ended),
         "agents_below_average": A.agents_below_average(days, registry, end),
         "agent_summary": A.agent_summary(registered),
     }
@@ -188,15 +203,27 @@ def run(
     folder: str,
     fmt: str = "parquet",
 ) -> list[str]:
-    """Enrich, write the orders to the shared folder, run and write all reports."""
-    orders = snapshot(enrich(project, raw, lookups), f"orders_{project.city}_{project.year}")
+    """Enrich, write the orders to the shared folder, run and write the reports below.
+
+    What is kept in between lies in a folder of this run and is removed afterwards.
+    """
+    spark = raw["order_item"].sparkSession
+    scratch = run_folder(spark, f"{project.city}-{project.year}")
+    try:
+        return _run(project, raw, lookups, folder, fmt, scratch)
+    finally:
+        remove_folder(spark, scratch)
+
+
+def _run(project, raw, lookups, folder, fmt, scratch) -> list[str]:
+    orders = snapshot(enrich(project, raw, lookups), "orders", scratch)
     channels = E.channel_table(raw["sales_channel"]).withColumnsRenamed(
         {"sale_channel_id": "channel_id", "channel_date_created": "registered"}
     )
     reports = {
         **order_reports(orders, project),
         **people_reports(orders, project, R.region_codes(lookups["regions"])),
-        **agent_reports(orders, project, channels, lookups["company_channels"]),
+        **agent_reports(orders, project, channels, lookups["company_channels"], scratch),
     }
     shown = {name: in_row_order(name, report) for name, report in reports.items()}
     return write_reports(shown, f"{folder.rstrip('/')}/{project.city}/{project.year}", fmt)

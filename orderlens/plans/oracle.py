@@ -101,35 +101,43 @@ from t"""
 
 
 def net_channel3() -> str:
+    """Sold and refunded sides with their own names, joined on day, names and channel."""
     _, _, user, applicant = KINDS["all"]
-    counts = (
-        f"{distinct_na('u')} as users, {distinct_na('a')} as applicants, count(*) as orders"
-    )
-    names = "min(channel_1) as channel_1, min(channel_2) as channel_2, min(channel_3) as channel_3"
+    counts = f"{distinct_na('u')} as users, {distinct_na('a')} as applicants, count(*) as orders"
+    names = ("company", "channel_1", "channel_2", "channel_3", "channel_id")
+    same = " and ".join(f"s.{c} is not distinct from b.{c}" for c in ("d", *names))
+    either = ", ".join(f"coalesce(s.{c}, b.{c}) as {c}" for c in names)
     return with_fact(
         f""", base as (
-  select date_created, date_updated, {REFUND} as refunded, {user} as u, {applicant} as a, company,
-    sale_channel_id as channel_id, channel_1, channel_2, channel_3
+  select date_created as d, date_updated as upd, {REFUND} as refunded, {user} as u, {applicant} as a, company,
+    sale_channel_id as channel_id, channel_1, channel_2, channel_3, order_item_id
   from fact where sale_channel_id is not null
-), o as (
-  select date_created as d, company, channel_id, {counts} from base group by 1, 2, 3
-), r as (
-  select date_updated as d, company, channel_id, count(*) as n from base where refunded group by 1, 2, 3
-), names as (select channel_id, {names} from base group by channel_id), days as (
-  select coalesce(o.d, r.d) as d, coalesce(o.company, r.company) as company,
-    coalesce(o.channel_id, r.channel_id) as channel_id, users, applicants, orders, n
-  from o full join r on o.d = r.d and o.company is not distinct from r.company and o.channel_id = r.channel_id
+), sold_counts as (select d, company, channel_id, {counts} from base group by 1, 2, 3),
+back_counts as (select upd as d, company, channel_id, count(*) as n from base where refunded group by 1, 2, 3),
+sold as (
+  select p.*, users, applicants, orders
+  from (select distinct d, {', '.join(names)} from base) p join sold_counts c
+    on p.d = c.d and p.company is not distinct from c.company and p.channel_id = c.channel_id
+), back as (
+  select p.*, n
+  from (select distinct upd as d, {', '.join(names)} from base where refunded) p join back_counts c
+    on p.d is not distinct from c.d and p.company is not distinct from c.company and p.channel_id = c.channel_id
+), ranked as (
+  select *, row_number() over (
+    partition by channel_id order by d, cast(order_item_id as varchar), company nulls first, channel_1 nulls first,
+      channel_2 nulls first, channel_3 nulls first) as k
+  from base
+), totals as (
+  select channel_id, {counts}, count(*) filter (where refunded) as n from base group by channel_id
 )
-select {day('days.d')} as date, days.company as company, days.channel_id as channel_id, channel_1, channel_2,
-  channel_3, 0 as is_total, {long('coalesce(users, 0)')} as users,
+select {day('coalesce(s.d, b.d)')} as date, {either}, 0 as is_total, {long('coalesce(users, 0)')} as users,
   {long('coalesce(applicants, 0)')} as applicants, {long('coalesce(orders, 0)')} as orders,
   {long('coalesce(n, 0)')} as refunds, {long('coalesce(orders, 0) - coalesce(n, 0)')} as net_orders
-from days join names on days.channel_id = names.channel_id
+from sold s full join back b on {same}
 union all
-select null, min(company), channel_id, min(channel_1), min(channel_2), min(channel_3), 1,
-  {long(distinct_na('u'))}, {long(distinct_na('a'))}, count(*),
-  count(*) filter (where refunded), count(*) - count(*) filter (where refunded)
-from base group by channel_id"""
+select null, company, channel_1, channel_2, channel_3, t.channel_id, 1, {long('users')}, {long('applicants')}, {long('orders')},
+  {long('n')}, {long('orders - n')}
+from totals t join ranked r on t.channel_id = r.channel_id and r.k = 1"""
     )
 
 
@@ -742,7 +750,7 @@ from pairs join gains using (channel_3) where seller <> '线上平台'"""
     )
 
 
-YEARS = ", people as (select nullif(applicant_id_no % 1000, 7) as person, * from fact)" + "".join(
+YEARS = ", people as (select nullif(applicant_id_no, 7) as person, * from fact)" + "".join(
     f""", {name}_{group} as (
   select * from people where date_created between date '{year[0]}' and date '{year[1]}' and "group" = '{group}'
 )"""

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot join keys are split at run time from the shuffle's real sizes.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Tables kept between reports go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "Asia/Shanghai",
 }
 

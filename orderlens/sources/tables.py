@@ -4,28 +4,36 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Mapping, Sequence
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="orderlens-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it.
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only a session without a cluster may do without one.
+    Only a session without a cluster may come without one; it gets one here.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="orderlens-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A folder for one run alone, inside the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of :func:`run_folder`, wherever its store is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def snapshot(
@@ -41,13 +49,16 @@ def snapshot(
     return spark.read.parquet(path)
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table of its own in the shared folder.
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder as a checkpoint.
 
     For tables one report reads several times: the work behind them is done
-    once, and a lost executor has no long lineage to replay.
+    once, and a lost executor has no long lineage to replay. Spark removes the
+    files with the DataFrame where ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is set, as :mod:`orderlens.session` does.
     """
-    return snapshot(df, f"{name}-{uuid4().hex}")
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
 
 
 def read_snapshot(spark: SparkSession, name: str, folder: str | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Sources, sinks, enrichment and the nightly job."""
 
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,9 +167,14 @@ def test_nightly_run(spark, sf_dir, tmp_path):
     paths = nightly.run(project, raw_tables, lookup, str(tmp_path))
     assert len(paths) == len(set(paths)) > 30
     total = spark.read.parquet(str(tmp_path / "城/2000/daily_all")).filter("is_total = 1").first()
-    orders = tables.read_snapshot(spark, "orders_城_2000")
+    orders = nightly.enrich(project, raw_tables, lookup)
     dated = orders.filter(F.to_date("date_created").between("1996-01-01", "2000-12-31")).count()
     assert total.orders == dated > 0
     regions = [r.people for r in spark.read.parquet(str(tmp_path / "城/2000/regions")).collect()]
     assert regions == sorted(regions, reverse=True)
     assert project.days == 1826
+    com = spark.read.parquet(str(tmp_path / "城/2000/daily_com")).filter("is_total = 1").first()
+    ordered = orders.filter(F.col("group") == "com").filter(F.to_date("date_created_origin").between("1996-01-01", "2000-12-31"))
+    assert com.orders == ordered.count() > 0
+    assert {"duplicate_orders_self", "duplicate_orders_com"} <= {path.rsplit("/", 1)[1] for path in paths}
+    assert not list(pathlib.Path(tables.shared_folder(spark)).glob("城-2000-*"))
