@@ -156,11 +156,14 @@ def milestones(start: date, end: date, ended: bool) -> list[tuple[str, date]]:
     return [*points, ("投保期全长", end)]
 
 
-def agent_milestones(days: DataFrame, start: date, end: date, ended: bool = True) -> DataFrame:
+def agent_milestones(
+    days: DataFrame, start: date, end: date, ended: bool = True, registry: DataFrame | None = None
+) -> DataFrame:
     """Cumulative orders, refunds and agents up to each milestone.
 
     The few milestones meet the daily totals, not the orders; a company
-    without orders up to a milestone has no row for it.
+    without orders up to a milestone has no row for it. With a registry come
+    the agents registered by then and those below the company's average.
     """
     points = F.array(
         *[
@@ -169,7 +172,7 @@ def agent_milestones(days: DataFrame, start: date, end: date, ended: bool = True
         ]
     )
     reached = F.filter(points, lambda point: point["cutoff"] >= F.col("date"))
-    return (
+    report = (
         _company_days(days)
         .select("company", "orders", "refunds", "new_agents", F.inline(reached))
         .groupBy("company", "milestone", "cutoff")
@@ -181,6 +184,18 @@ def agent_milestones(days: DataFrame, start: date, end: date, ended: bool = True
         .filter("cum_orders > 0")
         .withColumn("cum_avg_orders", share(F.col("cum_orders"), F.col("cum_agents"), 1))
     )
+    if registry is None:
+        return report
+    dates = report.select("company", F.col("cutoff").alias("date"), F.col("cum_avg_orders").alias("need"))
+    known = _with_registered(dates.select("company", "date").distinct(), registry).drop("registered")
+    found = known.join(_reaching(days, registry, dates), ["company", "date"], "left")
+    found = found.select(
+        "company",
+        F.col("date").alias("cutoff"),
+        F.coalesce(F.col("cum_registered"), F.lit(0)).alias("cum_registered"),
+        (F.coalesce(F.col("cum_registered"), F.lit(0)) - F.coalesce(F.col("reaching"), F.lit(0))).alias("below_average"),
+    )
+    return report.join(found, ["company", "cutoff"])
 
 
 def _with_registered(report: DataFrame, registry: DataFrame) -> DataFrame:
@@ -209,12 +224,14 @@ def _with_registered(report: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
-def _agents_per_level(days: DataFrame, registry: DataFrame, last_day) -> DataFrame:
-    """How many registered agents stand at each number of orders, day by day.
+def _reaching(days: DataFrame, registry: DataFrame, asked: DataFrame) -> DataFrame:
+    """How many registered agents reach a number of orders by a date.
 
-    An agent's running count holds between two of its order days, so agents
-    are first counted per such stretch and level, and only those counts are
-    laid out over the days.
+    ``asked`` has company, date and ``need``. An agent stands at a running count
+    from one of its order days (or its registration) to the next, which is one
+    agent more on that level and later one less. These changes are summed per
+    company, level and day, and running sums meet the dates asked for: levels
+    times dates are the most rows, however many agents and days there are.
     """
     per_agent = Window.partitionBy("company", "channel_id").orderBy("date")
     levels = (
@@ -223,27 +240,28 @@ def _agents_per_level(days: DataFrame, registry: DataFrame, last_day) -> DataFra
         .withColumn("next_date", F.lead("date").over(per_agent))
     )
     since = registry.groupBy("company", "channel_id").agg(F.min("registered").alias("since"))
-    levels = levels.join(since, ["company", "channel_id"])
-    if isinstance(last_day, DataFrame):
-        levels = levels.join(last_day, "company")
-    else:
-        levels = levels.withColumn("last_date", F.lit(last_day).cast("date"))
-    stretches = (
-        levels.select(
-            "company",
-            "level",
-            F.greatest("date", "since").alias("from_date"),
-            F.least(F.date_sub("next_date", 1), F.col("last_date")).alias("to_date"),
-        )
-        .filter("from_date <= to_date")
-        .groupBy("company", "level", "from_date", "to_date")
-        .agg(count_rows().alias("n"))
+    stays = levels.join(since, ["company", "channel_id"]).select(
+        "company", "level", F.greatest("date", "since").alias("from_date"), "next_date"
     )
-    each_day = F.explode(F.sequence("from_date", "to_date")).alias("date")
+    stays = stays.filter("next_date is null or from_date < next_date")
+    arrival = F.struct(F.col("from_date").alias("date"), F.lit(1).alias("change"))
+    leaving = F.struct(F.col("next_date").alias("date"), F.lit(-1).alias("change"))
+    steps = F.when(F.col("next_date").isNull(), F.array(arrival)).otherwise(F.array(arrival, leaving))
+    changes = (
+        stays.select("company", "level", F.inline(steps))
+        .groupBy("company", "level", "date")
+        .agg(F.sum("change").alias("change"))
+    )
+    asked = asked.distinct()
+    shown = changes.select("company", "level").distinct().join(asked, "company")
+    both = changes.unionByName(shown.withColumn("change", F.lit(0).cast("long")), allowMissingColumns=True)
+    up_to_day = Window.partitionBy("company", "level").orderBy("date")
+    reached = F.when(F.col("level") >= F.col("need"), F.col("at_level")).otherwise(0)
     return (
-        stretches.select("company", "level", "n", each_day)
-        .groupBy("company", "date", "level")
-        .agg(F.sum("n").alias("at_level"))
+        both.withColumn("at_level", F.sum("change").over(up_to_day))
+        .filter("need is not null")
+        .groupBy("company", "date")
+        .agg(F.sum(reached).alias("reaching"))
     )
 
 
@@ -261,17 +279,11 @@ def agent_registered(
     ``fixed_average``).
     """
     report = agent_orders(days, start, end)
-    last_day = end
-    if end is None:
-        last_day = report.groupBy("company").agg(F.max("date").alias("last_date"))
-    levels = _agents_per_level(days, registry, last_day)
-    threshold = F.col("cum_avg_orders") if fixed_average is None else F.lit(float(fixed_average))
-    reaching = F.sum(F.when(F.col("level") >= threshold, F.col("at_level")).otherwise(0))
-    known = _with_registered(report, registry)
+    need = F.col("cum_avg_orders") if fixed_average is None else F.lit(float(fixed_average))
+    reaching = _reaching(days, registry, report.select("company", "date", need.alias("need")))
     return (
-        known.join(levels, ["company", "date"], "left")
-        .groupBy(*known.columns)
-        .agg(reaching.alias("reaching"))
+        _with_registered(report, registry)
+        .join(reaching, ["company", "date"], "left")
         .select(
             "company",
             "date",
@@ -285,7 +297,7 @@ def agent_registered(
             "cum_agents",
             share(F.col("cum_agents"), F.col("cum_registered"), 3).alias("producing_rate"),
             "cum_avg_orders",
-            (F.col("cum_registered") - F.col("reaching")).alias("below_average"),
+            (F.col("cum_registered") - F.coalesce(F.col("reaching"), F.lit(0))).alias("below_average"),
         )
     )
 

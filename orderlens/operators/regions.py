@@ -196,33 +196,40 @@ def region_wide(
     column: str = "period",
     group: str | None = None,
     groups: Sequence[str] = (),
+    shares: bool = False,
 ) -> DataFrame:
     """One row per region: total net orders, then one column per period, newest first.
 
     With ``group`` come the net orders of each of ``groups``, in that order, and
     their periods as ``<group>_<period>``; the premium is totalled if there is
-    one. The caller names periods and groups, so the columns do not depend on
-    the data and nothing is collected to find them.
+    one. ``shares`` adds ``share_<period>`` behind each period. The caller names
+    periods and groups, so the columns do not depend on the data and nothing
+    is collected to find them. Periods without orders show 0.
     """
-    net = F.col("net_orders")
-
-    def total(condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, net)), F.lit(0)).cast("long").alias(name)
-
-    newest_first = sorted(periods, reverse=True)
-    measures = [F.sum(net).cast("long").alias("net_orders")]
+    newest_first = [str(period) for period in sorted(periods, reverse=True)]
+    measures = [F.sum("net_orders").cast("long").alias("net_orders")]
     if "premium" in long.columns:
         measures.append(F.sum("premium").cast("decimal(18,2)").alias("premium"))
-    if group is None:
-        measures += [total(F.col(column) == period, str(period)) for period in newest_first]
-    else:
-        measures += [total(F.col(group) == name, f"{name}_total") for name in groups]
-        measures += [
-            total((F.col(group) == name) & (F.col(column) == period), f"{name}_{period}")
-            for name in groups
-            for period in newest_first
-        ]
-    return long.groupBy("region").agg(*measures)
+    of_group = [F.sum(F.when(F.col(group) == name, F.col("net_orders"))) for name in groups]
+    measures += [
+        F.coalesce(total, F.lit(0)).cast("long").alias(f"{name}_total") for name, total in zip(groups, of_group)
+    ]
+    period = F.col(column).cast("string")
+    place = period if group is None else F.concat(F.col(group), F.lit("_"), period)
+    names = newest_first if group is None else [f"{name}_{p}" for name in groups for p in newest_first]
+    values = [F.sum("net_orders").alias("net")] + ([F.max("share").alias("share")] if shares else [])
+    # A pivot holds one array per region, whatever the number of columns.
+    placed = long.select(F.col("region").alias("of_region"), place.alias("place"), "net_orders", *(["share"] if shares else []))
+    wide = placed.groupBy("of_region").pivot("place", names).agg(*values)
+
+    def shown(name: str) -> list[Column]:
+        net = F.coalesce(F.col(f"`{name}_net`" if shares else f"`{name}`"), F.lit(0)).cast("long").alias(name)
+        part = [F.coalesce(F.col(f"`{name}_share`"), F.lit(0.0)).alias(f"share_{name}")] if shares else []
+        return [net, *part]
+
+    totals = long.groupBy("region").agg(*measures)
+    joined = totals.join(wide, F.col("region").eqNullSafe(F.col("of_region")))
+    return joined.select(*totals.columns, *[c for name in names for c in shown(name)])
 
 
 def region_counts(

@@ -7,7 +7,7 @@ shown as ISO text and money as doubles, so results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +33,10 @@ START, END = date(1996, 1, 1), date(2000, 12, 31)
 LAST_YEAR = ("1999-01-01", "1999-12-31")
 THIS_YEAR = ("2000-01-01", "2000-12-31")
 RUN_DAYS = 2404
-MONTHS = [f"2000-{month:02d}" for month in range(1, 13)]
+# The sheets with a column per period cover all dates of the orders and refunds.
+DAYS = [str(date(1995, 1, 1) + timedelta(days=n)) for n in range((date(2001, 12, 31) - date(1995, 1, 1)).days + 1)]
+MONTHS = sorted({text[:7] for text in DAYS})
+SINCE = "1997-01-01"
 ONLINE_PATTERN = "线上平台|Brand#2"
 PRODUCTS = ("v0", "v1", "v2")
 REGION_NAMES = ("NATION_1", "NATION_2", "展E保")
@@ -126,6 +129,15 @@ def age_sex(spark, sf_dir):
     return P.age_sex(fact(spark, sf_dir, *AGE_ROLES))
 
 
+def _age_sex_of(spark, sf_dir, kind, gap):
+    rows = fact(spark, sf_dir, *AGE_ROLES, "group").filter(F.col("group") == kind)
+    return P.age_sex(rows, kind=kind, gap=gap)
+
+
+def age_sex_percent(spark, sf_dir):
+    return S.show_percent(age_sex(spark, sf_dir))
+
+
 def age_sex_company(spark, sf_dir):
     return P.age_sex(fact(spark, sf_dir, *AGE_ROLES, "company"), gap=10, by="company")
 
@@ -209,36 +221,46 @@ def region_net_daily(spark, sf_dir):
     return R.region_net_daily(fact(spark, sf_dir, *REGION_ROLES), _codes2(spark, sf_dir))
 
 
-def _region_money(spark, sf_dir):
+def _region_money(spark, sf_dir, since=SINCE):
     rows = fact(spark, sf_dir, *REGION_ROLES, "payment_amount", "product")
     return R.region_net_daily(
         rows.withColumnRenamed("product", "group"),
         _codes2(spark, sf_dir),
         group="group",
         price="price",
-        since="1997-01-01",
+        since=since,
     )
 
 
-def region_premium(spark, sf_dir):
-    return R.region_premium(_region_money(spark, sf_dir), group="group")
+def region_premium(spark, sf_dir, since=SINCE):
+    return R.region_premium(_region_money(spark, sf_dir, since), group="group")
 
 
 def _region_share(spark, sf_dir, grain):
     return R.region_share(fact(spark, sf_dir, *REGION_ROLES), _codes2(spark, sf_dir), grain=grain)
 
 
-def region_monthly_wide(spark, sf_dir):
+def _named(df, prefix=""):
+    """Periods without minus signs in the names of columns."""
+    kept = ("region", "net_orders", "premium")
+    return df.withColumnsRenamed({c: prefix + c.replace("-", "_") for c in df.columns if c not in kept})
+
+
+def region_period_wide(spark, sf_dir, grain, periods):
+    long = _region_share(spark, sf_dir, grain).filter("is_total = 0")
+    return _named(R.region_wide(long, periods), "net_")
+
+
+def region_share_monthly_wide(spark, sf_dir):
     long = _region_share(spark, sf_dir, "month").filter("is_total = 0")
-    wide = R.region_wide(long, MONTHS)
-    return wide.withColumnsRenamed({month: "net_" + month.replace("-", "_") for month in MONTHS})
+    wide = R.region_wide(long, MONTHS, shares=True)
+    return _named(wide.withColumnsRenamed({m: f"net_{m}" for m in MONTHS}))
 
 
 def region_group_wide(spark, sf_dir):
-    daily = _region_money(spark, sf_dir)
+    daily = _region_money(spark, sf_dir, since=None)
     monthly = daily.withColumn("period", F.date_format("date", "yyyy-MM"))
-    wide = R.region_wide(monthly, MONTHS[:3], group="group", groups=PRODUCTS)
-    return wide.withColumnsRenamed({name: name.replace("-", "_") for name in wide.columns})
+    return _named(R.region_wide(monthly, MONTHS, group="group", groups=PRODUCTS))
 
 
 def _region_counts(spark, sf_dir, top=None):
@@ -280,13 +302,13 @@ def agent_cumulative(spark, sf_dir):
     return A.agent_cumulative(_agent_days(spark, sf_dir), START, END)
 
 
-def agent_milestones(spark, sf_dir):
-    return A.agent_milestones(_agent_days(spark, sf_dir), START, END)
+def agent_milestones(spark, sf_dir, registered=False):
+    registry = _registry(spark, sf_dir) if registered else None
+    return A.agent_milestones(_agent_days(spark, sf_dir), START, END, registry=registry)
 
 
 def agent_registered(spark, sf_dir):
-    days = materialised(_agent_days(spark, sf_dir))
-    return A.agent_registered(days, _registry(spark, sf_dir), START, END)
+    return A.agent_registered(_agent_days(spark, sf_dir), _registry(spark, sf_dir), START, END)
 
 
 def agents_below_average(spark, sf_dir):
@@ -311,6 +333,10 @@ def agent_summary(spark, sf_dir):
     return A.agent_summary(agent_registered(spark, sf_dir), exclude=("FURNITURE",))
 
 
+def agents_long(spark, sf_dir):
+    return S.agents_long(agent_summary(spark, sf_dir))
+
+
 # Rebuying and renewals ----------------------------------------------------
 
 
@@ -365,9 +391,9 @@ def renewal_this_year_com(spark, sf_dir):
     return T.renewal_this_year(new_com, "com", old_self, old_com)
 
 
-def renewal_last_year(spark, sf_dir):
+def renewal_last_year(spark, sf_dir, zeros=True):
     return T.merge_renewals(
-        renewal_last_year_self(spark, sf_dir), renewal_last_year_com(spark, sf_dir)
+        renewal_last_year_self(spark, sf_dir), renewal_last_year_com(spark, sf_dir), zeros
     )
 
 
@@ -591,6 +617,9 @@ REPORTS: dict[str, Query] = {
     "age_sex": age_sex,
     "age_sex_company": age_sex_company,
     "age_sex_long": age_sex_long,
+    "age_sex_self": partial(_age_sex_of, kind="self", gap=1),
+    "age_sex_com": partial(_age_sex_of, kind="com", gap=5),
+    "age_sex_percent": age_sex_percent,
     "age_decades": age_decades,
     "fact_sheet": _facts,
     "top_age_band": top_age_band,
@@ -608,10 +637,14 @@ REPORTS: dict[str, Query] = {
     "region_net_daily": region_net_daily,
     "region_net_daily_price": _region_money,
     "region_premium": region_premium,
+    "region_premium_full": partial(region_premium, since=None),
+    "region_net_daily_price_full": partial(_region_money, since=None),
     "region_share_daily": partial(_region_share, grain="day"),
     "region_share_weekly": partial(_region_share, grain="week"),
     "region_share_monthly": partial(_region_share, grain="month"),
-    "region_monthly_wide": region_monthly_wide,
+    "region_daily_wide": partial(region_period_wide, grain="day", periods=DAYS),
+    "region_monthly_wide": partial(region_period_wide, grain="month", periods=MONTHS),
+    "region_share_monthly_wide": region_share_monthly_wide,
     "region_group_wide": region_group_wide,
     "region_counts": _region_counts,
     "region_counts_top3": partial(_region_counts, top=3),
@@ -621,7 +654,9 @@ REPORTS: dict[str, Query] = {
     "agent_cumulative": agent_cumulative,
     "agent_long": agent_long,
     "agent_milestones": agent_milestones,
+    "agent_milestones_registered": partial(agent_milestones, registered=True),
     "agent_registered": agent_registered,
+    "agents_long": agents_long,
     "agents_below_average": agents_below_average,
     "agent_order_rate": agent_order_rate,
     "agent_summary": agent_summary,
@@ -632,6 +667,7 @@ REPORTS: dict[str, Query] = {
     "renewal_this_year_self": renewal_this_year_self,
     "renewal_this_year_com": renewal_this_year_com,
     "renewal_last_year": renewal_last_year,
+    "renewal_last_year_nulls": partial(renewal_last_year, zeros=False),
     "renewal_this_year": renewal_this_year,
     "auto_deduct_remaining": auto_deduct_remaining,
     "deduction_stage_counts": _stage_counts,

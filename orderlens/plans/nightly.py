@@ -190,7 +190,7 @@ def agent_reports(
     registered = A.agent_registered(days, registry, start, end)
     return {
         "agent_registered": registered,
-        "agent_milestones": A.agent_milestones(every_day, start, end, project.ended),
+        "agent_milestones": A.agent_milestones(every_day, start, end, project.ended, registry),
         "agents_below_average": A.agents_below_average(days, registry, end),
         "agent_summary": A.agent_summary(registered),
     }

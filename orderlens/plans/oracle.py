@@ -207,7 +207,10 @@ AGE_COUNTS = (
 )
 
 
-def ages(gap: int, by: str | None = None) -> str:
+def ages(gap: int, by: str | None = None, kind: str = "all") -> str:
+    where, refund, _, _ = KINDS[kind]
+    source = f"""select date_created - birthday as age, * from fact
+  where {where} and (policy_order_status is null or policy_order_status not in {refund})"""
     key = f"{by}, " if by else ""
     first = f"coalesce({by}, 'NA') as {by}, " if by else ""
     match = f"using ({by})" if by else "on true"
@@ -215,7 +218,7 @@ def ages(gap: int, by: str | None = None) -> str:
     select = (
         f"{share('men', 'people', 2)} as men_share, {share('women', 'people', 2)} as women_share"
     )
-    return f""", sold as (select {first}{band_case(gap)} as band_start, sex from ({SOLD_AGES})),
+    return f""", sold as (select {first}{band_case(gap)} as band_start, sex from ({source})),
 bands as (select {key}band_start, {AGE_COUNTS} from sold group by {key}band_start),
 totals as (select {key}{AGE_COUNTS} from sold {group}),
 ages as (
@@ -456,8 +459,10 @@ from t"""
     )
 
 
-MONEY = f"""{PLACED.replace('fact.*', 'fact.*, product as grp, payment_amount as price')},
-{region_counts_by('{d}', 'grp, price', "date_created >= date '1997-01-01'")},
+def money(since: str | None) -> str:
+    where = f"date_created >= date '{since}'" if since else "true"
+    return f"""{PLACED.replace('fact.*', 'fact.*, product as grp, payment_amount as price')},
+{region_counts_by('{d}', 'grp, price', where)},
 money as (
   select region, period, grp, {long('sum(orders)')} as orders, {long('sum(refunds)')} as refunds,
     {long('sum(net_orders)')} as net_orders, sum(net_orders * price) / 100.0::double as premium
@@ -465,34 +470,67 @@ money as (
 )"""
 
 
-def region_wide() -> str:
-    columns = ", ".join(
-        f"{long(f'''coalesce(sum(case when period = '{m}' then net_orders end), 0)''')} as net_{m.replace('-', '_')}"
-        for m in C.MONTHS
-    )
+MONEY = money(C.SINCE)
+
+
+def total_of(condition: str, name: str) -> str:
+    return f"{long(f'coalesce(sum(case when {condition} then net_orders end), 0)')} as {name}"
+
+
+def named(period: str) -> str:
+    return period.replace("-", "_")
+
+
+def region_wide(grain: str, periods: list[str]) -> str:
+    columns = ", ".join(total_of(f"cast(period as varchar) = '{p}'", f"net_{named(p)}") for p in periods)
     return with_fact(
-        f""", {PLACED}, {region_counts_by(GRAINS['month'])}
+        f""", {PLACED}, {region_counts_by(GRAINS[grain])}
 select region, {long('sum(net_orders)')} as net_orders, {columns} from net group by region"""
     )
 
 
-def region_group_wide() -> str:
-    def total(condition: str, name: str) -> str:
-        return f"{long(f'coalesce(sum(case when {condition} then net_orders end), 0)')} as {name}"
+def region_share_wide() -> str:
+    def part(month: str) -> str:
+        own = f"sum(case when period = '{month}' then net_orders end)"
+        everyone = f"any_value(case when period = '{month}' then everyone end)"
+        return f"coalesce({share(own, everyone, 3)}, 0) as share_{named(month)}"
+
+    columns = ", ".join(f"{total_of(month_is(m), 'net_' + named(m))}, {part(m)}" for m in C.MONTHS)
+    return with_fact(
+        f""", {PLACED}, {region_counts_by(GRAINS['month'])},
+n2 as (select *, sum(net_orders) over (partition by period) as everyone from net)
+select region, {long('sum(net_orders)')} as net_orders, {columns} from n2 group by region"""
+    )
 
-    columns = [total(f"grp = '{p}'", f"{p}_total") for p in C.PRODUCTS]
+
+def month_is(month: str) -> str:
+    return f"period = '{month}'"
+
+
+def region_group_wide() -> str:
+    columns = [total_of(f"grp = '{p}'", f"{p}_total") for p in C.PRODUCTS]
     columns += [
-        total(f"grp = '{p}' and strftime(period, '%Y-%m') = '{m}'", f"{p}_{m.replace('-', '_')}")
+        total_of(f"grp = '{p}' and strftime(period, '%Y-%m') = '{m}'", f"{p}_{named(m)}")
         for p in C.PRODUCTS
-        for m in C.MONTHS[:3]
+        for m in C.MONTHS
     ]
     return with_fact(
-        f""", {MONEY}
+        f""", {money(None)}
 select region, {long('sum(net_orders)')} as net_orders, round(sum(premium), 2) as premium, {', '.join(columns)}
 from money group by region"""
     )
 
 
+def region_premium(since: str | None) -> str:
+    return with_fact(
+        f""", {money(since)}
+select region, grp as "group", 0 as is_total, {long('sum(net_orders)')} as net_orders, round(sum(premium), 2) as premium
+from money group by region, grp
+union all
+select region, null, 1, {long('sum(net_orders)')}, round(sum(premium), 2) from money group by region"""
+    )
+
+
 CODES6 = f"""{CODES2}, codes6 as (
   select region, code || tail as code from codes, (values ('0001'), ('0002')) as t(tail)
   union all select 'HARBOUR', '120001' where exists (select 1 from codes where code = '12')
@@ -582,7 +620,7 @@ CUMULATIVE = f"""{DAYS}, co as (
 )"""
 
 
-def milestones() -> str:
+def milestones(registered: bool = False) -> str:
     cutoffs = [
         ("前3天", f"{START} + 3"),
         ("前5天", f"{START} + 5"),
@@ -601,11 +639,23 @@ def milestones() -> str:
 from fact where company is not null group by company"""
         for name, cutoff in cutoffs
     ]
+    more, joins = "", ""
+    if registered:
+        more = """, (select count(*) from registry g where g.company = q.company and registered <= q.c) as cum_registered,
+  (select count(*) from registry g where g.company = q.company and registered <= q.c) - (
+    select count(*) from (
+      select g.channel_id from registry g join fact f on f.company = g.company and f.sale_channel_id = g.channel_id
+      where g.company = q.company and registered <= q.c and date_created <= q.c
+      group by g.channel_id having count(*) >= q.cum_avg_orders
+    )
+  ) as below_average"""
+        joins = f", {REGISTRY}"
     return with_fact(
-        f""", m as ({' union all '.join(parts)})
-select company, milestone, {day('c')} as cutoff, cum_orders, cum_refunds, cum_agents,
-  {share('cum_orders', 'cum_agents', 1)} as cum_avg_orders
-from m where cum_orders > 0"""
+        f"""{joins}, m as ({' union all '.join(parts)}), q as (
+  select *, {share('cum_orders', 'cum_agents', 1)} as cum_avg_orders from m where cum_orders > 0
+)
+select company, milestone, {day('c')} as cutoff, cum_orders, cum_refunds, cum_agents, cum_avg_orders{more}
+from q"""
     )
 
 
@@ -780,10 +830,11 @@ def renewal(orders: str, others: tuple[str, ...]) -> str:
     return with_fact(f"{YEARS}{NEW_VALID}, {renewal_rows('m', orders, others)} select * from m_rates")
 
 
-def merged_renewal(self_orders: str, com_orders: str, others: tuple[str, ...]) -> str:
+def merged_renewal(self_orders: str, com_orders: str, others: tuple[str, ...], zeros: bool = True) -> str:
     def side(name: str) -> str:
+        shown = "coalesce({}, 0)" if zeros else "{}"
         return ", ".join(
-            f"coalesce({name}_rates.{column}, 0) as {name}_{column}" for column in ("orders", "renewed", "rate")
+            f"{shown.format(f'{name}_rates.{column}')} as {name}_{column}" for column in ("orders", "renewed", "rate")
         )
 
     return with_fact(
@@ -1208,6 +1259,13 @@ from per_user group by least(n, 10)"""
 select band_start, age_band, 'men' as sex_group, men as people from age_sex where is_total = 0
 union all select band_start, age_band, 'women', women from age_sex where is_total = 0"""
         ),
+        "age_sex_self": with_fact(f"{ages(1, kind='self')} select * from age_sex"),
+        "age_sex_com": with_fact(f"{ages(5, kind='com')} select * from age_sex"),
+        "age_sex_percent": with_fact(
+            f"{ages(1)} select * replace ("
+            + ", ".join(f"format('{{:.1f}}%', {c} * 100) as {c}" for c in ("men_share", "women_share", "band_share"))
+            + ") from age_sex"
+        ),
         "age_decades": age_decades(),
         "fact_sheet": with_fact(fact_sheet()),
         "top_age_band": top_band(),
@@ -1240,17 +1298,17 @@ from fact where {VALID} group by 1"""
         "region_net_daily_price": with_fact(
             f", {MONEY} select region, {day('period')} as date, grp as \"group\", orders, refunds, net_orders, premium from money"
         ),
-        "region_premium": with_fact(
-            f""", {MONEY}
-select region, grp as "group", 0 as is_total, {long('sum(net_orders)')} as net_orders, round(sum(premium), 2) as premium
-from money group by region, grp
-union all
-select region, null, 1, {long('sum(net_orders)')}, round(sum(premium), 2) from money group by region"""
+        "region_premium": region_premium(C.SINCE),
+        "region_premium_full": region_premium(None),
+        "region_net_daily_price_full": with_fact(
+            f", {money(None)} select region, {day('period')} as date, grp as \"group\", orders, refunds, net_orders, premium from money"
         ),
         "region_share_daily": region_share("day"),
         "region_share_weekly": region_share("week"),
         "region_share_monthly": region_share("month"),
-        "region_monthly_wide": region_wide(),
+        "region_daily_wide": region_wide("day", C.DAYS),
+        "region_monthly_wide": region_wide("month", C.MONTHS),
+        "region_share_monthly_wide": region_share_wide(),
         "region_group_wide": region_group_wide(),
         "region_counts": with_fact(f", {CODES6} select * from regions"),
         "region_counts_top3": with_fact(
@@ -1271,9 +1329,12 @@ select company, {day('d')} as date, 'cum_agents' as measure, cast(cum_agents as
 union all select company, {day('d')}, 'cum_avg_orders', cum_avg_orders from cum"""
         ),
         "agent_milestones": milestones(),
+        "agent_milestones_registered": milestones(True),
         "agent_registered": with_fact(
             f", {REGISTERED} select * exclude (d), {day('d')} as date from registered_report"
         ),
+        "agents_long": f"""select company, 'agents' as state, agents as people from ({agents_summary()}) where is_total = 0
+union all select company, 'idle', idle from ({agents_summary()}) where is_total = 0""",
         "agents_below_average": below_average(),
         "agent_order_rate": order_rate(),
         "agent_summary": agents_summary(),
@@ -1284,6 +1345,7 @@ union all select company, {day('d')}, 'cum_avg_orders', cum_avg_orders from cum"
         "renewal_this_year_self": renewal("v_self", ("old_self", "old_com")),
         "renewal_this_year_com": renewal("v_com", ("old_self", "old_com")),
         "renewal_last_year": merged_renewal("old_self", "old_com", ("v_self", "v_com")),
+        "renewal_last_year_nulls": merged_renewal("old_self", "old_com", ("v_self", "v_com"), zeros=False),
         "renewal_this_year": merged_renewal("v_self", "v_com", ("old_self", "old_com")),
         "auto_deduct_remaining": remaining(),
         "deduction_stage_counts": with_fact(f", {STAGES} select * from stages"),
