@@ -348,11 +348,14 @@ def with_order_info(items: DataFrame, *per_order: DataFrame) -> DataFrame:
     """Add tables keyed by corporate order to its items.
 
     The tables are put together on the distinct orders first, so the items, of which
-    one company may hold a large part, are matched once.
+    one company may hold a large part, are matched once. The id's hash is a second
+    key, so that this join has shuffles of its own, where a large order can be split.
     """
     ids = items.select("order_id").distinct()
     info = reduce(lambda left, right: left.join(right, "order_id", "left"), per_order, ids)
-    return items.join(info, "order_id", "left")
+    coded = F.xxhash64("order_id")
+    joined = items.withColumn("order_hash", coded).join(info.withColumn("order_hash", coded), ["order_hash", "order_id"], "left")
+    return joined.drop("order_hash")
 
 
 def enrich_com_orders(

@@ -250,20 +250,20 @@ def region_counts(
         .groupBy(F.substring("id_no", 1, prefix_len).alias("code"))
         .agg(count_rows().alias("n"))
     )
-    everyone = per_code.agg(F.sum("n").alias("everyone"))
-    listed = (
-        codes.join(per_code, "code", "left")
-        .groupBy("region")
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("people"))
+    regions = codes.groupBy("code").agg(F.collect_list("region").alias("regions"))
+    nowhere = F.array(F.lit(None).cast("string"))
+    # Each code counts for its regions, and once more without one: the sum of all.
+    spread = lookup_join(per_code, regions, "code").select(
+        "n", F.explode(F.concat(F.coalesce("regions", F.slice(nowhere, 1, 0)), nowhere)).alias("region")
     )
-    # Both inputs hold at most one row per region or in all.
-    rest = (
-        listed.select("people", F.lit(0).alias("everyone"))
-        .unionByName(everyone.select(F.lit(0).alias("people"), "everyone"))
-        .agg((F.sum("everyone") - F.sum("people")).alias("people"))
-        .select(F.lit(REST).alias("region"), "people")
+    found = spread.unionByName(codes.select("region", F.lit(0).cast("long").alias("n")))
+    sums = found.groupBy("region").agg(F.sum("n").alias("n"))
+    # One row per region from here on.
+    placed = F.sum(F.when(F.col("region").isNotNull(), F.col("n")).otherwise(0)).over(Window.partitionBy())
+    both = sums.select(
+        F.coalesce("region", F.lit(REST)).alias("region"),
+        F.when(F.col("region").isNull(), F.col("n") - placed).otherwise(F.col("n")).alias("people"),
     )
-    both = listed.unionByName(rest)
     total = F.sum("people").over(Window.partitionBy())
     result = both.select(
         "region",

@@ -80,20 +80,36 @@ def lured_refunds_company(
     refunded order's creation, or its update.
     """
     rows, refunds, pairs = _lured_pairs(df, cols, kind, "company", [], refund_time)
-    losses = refunds.groupBy("company").agg(count_rows().alias("total_refunds"))
-    lured = pairs.groupBy("company").agg(count_rows().alias("lured_refunds"))
-    losses = lured.join(losses, "company", "left").withColumn(
-        "lured_refunds_share", share(F.col("lured_refunds"), F.col("total_refunds"), 4)
+    figures = ("total_orders", "lured_orders", "total_refunds", "lured_refunds")
+
+    def figure(company: str, name: str) -> Column:
+        """One company's count ``n`` as the figure of this name, others 0."""
+        return F.struct(
+            F.col(company).alias("company"), *[(F.col("n") if f == name else F.lit(0)).cast("long").alias(f) for f in figures]
+        )
+
+    # Pairs are counted once per loser and winner; both sides come from that small table.
+    moved = pairs.groupBy("company", "to").agg(count_rows().alias("n"))
+    sides = moved.select(F.inline(F.array(figure("company", "lured_refunds"), figure("to", "lured_orders"))))
+    lost = refunds.groupBy("company").agg(count_rows().alias("n"))
+    sold = rows.groupBy("company").agg(count_rows().alias("n"))
+    lost = lost.select(figure("company", "total_refunds").alias("f")).select("f.*")
+    sold = sold.select(figure("company", "total_orders").alias("f")).select("f.*")
+    sums = sides.unionByName(lost).unionByName(sold).groupBy("company").agg(*[F.sum(f).alias(f) for f in figures])
+    won, gone = F.col("lured_orders") > 0, F.col("lured_refunds") > 0
+    shown = sums.filter((won | gone) & F.col("company").isNotNull()).select(
+        "company",
+        *[F.when(won, F.col(f)).alias(f) for f in figures[:2]],
+        *[F.when(gone, F.col(f)).alias(f) for f in figures[2:]],
     )
-    gains = _gains(rows, pairs, "company")
-    return losses.join(gains, "company", "full").select(
+    return shown.select(
         "company",
         "total_orders",
         "lured_orders",
-        "lured_orders_share",
+        share(F.col("lured_orders"), F.col("total_orders"), 4).alias("lured_orders_share"),
         "total_refunds",
         "lured_refunds",
-        "lured_refunds_share",
+        share(F.col("lured_refunds"), F.col("total_refunds"), 4).alias("lured_refunds_share"),
     )
 
 
