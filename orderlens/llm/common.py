@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: The characters that separate words, as a regex class and as a list for ``translate``.
 SPACES = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
+#: Rows of a batch that goes to Python while a table is saved.
+ARROW_ROWS = 2_000
 #: Rows of narrow columns (an id, a hash, a few numbers) that are broadcast at most.
 BROADCAST_ROWS = 400_000
 
@@ -45,9 +47,19 @@ def remove_dir(spark: SparkSession, folder: str) -> None:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and kept in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """The same rows, computed once and kept in the shared folder.
+
+    Python tasks on the way get at most ``ARROW_ROWS`` rows at a time, so that long
+    texts do not add up in a batch.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    shared_dir(spark)
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), ARROW_ROWS) if int(before) > 0 else ARROW_ROWS))
+    try:
+        return df.checkpoint()
+    finally:
+        spark.conf.set(key, before)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import connected_components, saved, small
-from orderlens.llm.words import mix, odd_numbers, shingle_sets, signature
+from orderlens.llm.words import mix, odd_numbers, shingle_sets, signature, slices
 
 HASHES = 64
 #: Chance that a pair just at the threshold is beyond the signature distance.
@@ -57,16 +57,14 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = odd_numbers(HASHES, 91)
         for batch in batches:
-            sets = list(shingle_sets(batch.column(1), words))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([signature(s, factors).tobytes() if len(s) else None for s in sets], pa.binary()),
-                ],
-                names=["id", "n_shingles", "set_hash", "signature"],
-            )
+            for first, part in slices(batch.column(1)):
+                rows = [
+                    (len(s), xxhash.xxh3_128_digest(s), signature(s, factors).tobytes()) if len(s) else (0, None, None)
+                    for s in shingle_sets(part, words)
+                ]
+                columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))]
+                ids = batch.column(0).slice(first, len(part))
+                yield pa.RecordBatch.from_arrays([ids, *columns], names=["id", "n_shingles", "set_hash", "signature"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
     return rows.mapInArrow(sketch, SKETCH)

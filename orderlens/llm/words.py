@@ -12,7 +12,7 @@ import xxhash
 #: Bytes of text that are worked on at a time inside a batch.
 SLICE_BYTES = 4 << 20
 #: Rows of the product of shingles and hash functions held at a time.
-HASH_ROWS = 1 << 15
+HASH_ROWS = 1 << 13
 
 
 def mix(x: np.ndarray) -> np.ndarray:
