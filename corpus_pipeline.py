@@ -20,7 +20,7 @@ WORDS, PERCENT = 5, 80
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is among the dropped ids."""
+    """docs without the rows whose doc_id is among the dropped ids; rows without an id stay."""
     ids = dropped.select(F.col(dropped.columns[0]).alias("dropped_id")).filter("dropped_id is not null").distinct()
     return docs.join(small(ids), F.col("doc_id") == F.col("dropped_id"), "left_anti")
 
@@ -35,9 +35,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that are equal but for white space."""
+    """One document of each group of texts that are equal but for white space.
+
+    Of rows that repeat a doc_id with the same text one stays.
+    """
     found = saved(exact_dedup.exact_duplicates(docs).filter("not kept").select("id"))
-    return without(docs, found)
+    kept = without(docs, found)
+    repeated = kept.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    repeated = saved(repeated.select(F.col("doc_id").alias("repeated_id")))
+    if repeated.isEmpty():
+        return kept
+    again = F.col("doc_id") == F.col("repeated_id")
+    once = kept.join(small(repeated), again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(small(repeated), again, "left_anti").unionByName(once)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
