@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: The characters that separate words, as a regex class and as a list for ``translate``.
 SPACES = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -46,22 +50,30 @@ def remove_dir(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and kept in the shared folder.
-
-    Python tasks on the way get at most ``ARROW_ROWS`` rows at a time, so that long
-    texts do not add up in a batch.
-    """
-    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    shared_dir(spark)
+def with_short_batches(spark: SparkSession, action: Callable[[], T]) -> T:
+    """What the action returns; Python tasks meanwhile get at most ``ARROW_ROWS`` rows at a time,
+    so that long texts do not add up in a batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     spark.conf.set(key, str(min(int(before), ARROW_ROWS) if int(before) > 0 else ARROW_ROWS))
     try:
-        return df.checkpoint()
+        return action()
     finally:
         spark.conf.set(key, before)
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and kept in the shared folder."""
+    shared_dir(df.sparkSession)
+    return with_short_batches(df.sparkSession, df.checkpoint)
+
+
+def stored(df: DataFrame, folder: str) -> DataFrame:
+    """The same rows, written as Parquet and read again, so that later steps read only the columns they need."""
+    with_short_batches(df.sparkSession, lambda: df.write.parquet(folder))
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marked for broadcast if a count finds at most ``rows`` rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -14,13 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
+    attention_lm,
     exact_dedup,
     host_reputation,
     minhash_hamming,
     packing_ga,
     pca_tiles,
+    phrase_rollup,
     piece_codec,
     positive_unlabelled,
+    radix_audit,
     vector_packing,
     warc,
     weak_pii,
@@ -195,6 +198,19 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_of(table(spark, sf_dir, "documents"))
 
 
+def phrases_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_rollup.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, covered_percent=50, first=2000)
+
+
+def audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def language_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = attention_lm.scored(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folds=10)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator; each takes (spark, folder of the tables)."""
     return {
@@ -208,6 +224,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_vector_packing": sharding_query,
         "op9_minhash_hamming": minhash_query,
         "op10_packing_ga": packing_query,
+        "op11_phrase_rollup": phrases_query,
+        "op12_radix_audit": audit_query,
+        "op13_attention_lm": language_model_query,
     }
 
 
@@ -289,6 +308,81 @@ FROM parts LEFT JOIN bounds USING (host) LEFT JOIN (
 """
 
 
+BREAKS_SQL = "'.,;:!?' || chr(11) || chr(12) || chr(13) || chr(9)"
+
+PHRASES_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split(translate(coalesce(text, ''), '{phrase_rollup.UPPER}' || {BREAKS_SQL},
+    '{phrase_rollup.LOWER}' || repeat(chr(10), 9) || ' '), chr(10))) AS piece FROM documents
+), words AS (
+  SELECT lang, row_number() OVER () AS piece, unnest(string_split(piece, ' ')) AS word, generate_subscripts(string_split(piece, ' '), 1) AS nth FROM pieces
+), led AS (
+  SELECT lang, word, lead(word) OVER w AS second, lead(word, 2) OVER w AS third FROM words WHERE word <> '' WINDOW w AS (PARTITION BY piece ORDER BY nth)
+), f AS (
+  SELECT lang, 1 AS m, word AS first, '' AS rest, word AS phrase, count(*) AS f FROM led GROUP BY lang, word
+  UNION ALL SELECT lang, 2, word, second, word || ' ' || second, count(*) FROM led WHERE second IS NOT NULL GROUP BY lang, word, second
+  UNION ALL SELECT lang, 3, word || ' ' || second, second || ' ' || third, word || ' ' || second || ' ' || third, count(*)
+    FROM led WHERE third IS NOT NULL GROUP BY lang, word, second, third
+), c AS (SELECT * FROM f WHERE m > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, f AS a, 1 AS k, split_part(phrase, ' ', 1) AS one, rest AS other FROM c
+  UNION ALL SELECT lang, phrase, f, 2, first, split_part(phrase, ' ', 3) FROM c WHERE m = 3
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = one JOIN f y ON y.lang = cuts.lang AND y.phrase = other
+), lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored) WHERE place = 1
+), around AS (
+  SELECT lang, phrase, max(f) AS most FROM (SELECT lang, first AS phrase, f FROM c WHERE m = 3 UNION ALL SELECT lang, rest, f FROM c WHERE m = 3) GROUP BY ALL
+), kept AS (
+  SELECT lowest.lang, lowest.phrase, a, l, r, score FROM lowest LEFT JOIN around ON around.lang = lowest.lang AND around.phrase = lowest.phrase
+  WHERE 100 * coalesce(most, 0) < 50 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang)
+SELECT ranked.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+"""
+
+AUDIT_SQL = """
+WITH rows AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         list_filter(string_split(translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda x: x <> '') AS words
+  FROM documents
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(marks.toxic, 0) AS toxic,
+         CASE WHEN len(words) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(text) THEN 4 ELSE 0 END
+         + CASE WHEN length(translate(text, '#$%&*|', '')) < length(text) THEN 8 ELSE 0 END
+         + CASE WHEN rows.doc_id > min(rows.doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+  FROM rows LEFT JOIN marks ON marks.doc_id = rows.doc_id
+), sums AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, mask
+), names AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS names(name, bit)),
+orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM names a, names b, names c, names d, names e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, list_sum(bits[1:step]) - bits[step] AS before FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), counted AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT part, mask, n, good, toxic, filter_order, step, bit, CAST(before AS INTEGER) AS before FROM sums, steps) GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL that gives the same rows, for the queries that SQL can express."""
-    return {"op1_warc_chain": WARC_SQL, "op2_exact_dedup": EXACT_DEDUP_SQL, "op6_host_reputation": URL_SQL}
+    return {"op1_warc_chain": WARC_SQL, "op2_exact_dedup": EXACT_DEDUP_SQL, "op6_host_reputation": URL_SQL, "op11_phrase_rollup": PHRASES_SQL, "op12_radix_audit": AUDIT_SQL}
