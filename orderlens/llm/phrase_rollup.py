@@ -1,51 +1,113 @@
 """Phrase collocations from the counts of longest windows alone.
 
-Every word of a piece of text opens one window: the word and the next words beside it,
-by columns that lead the words, up to the longest phrase; windows at the end of a piece
-are padded, that is, shorter. Only these windows are counted. ROLLUP over the prefixes
-of a counted window then sums what shorter phrases need: a phrase occurs as often as
-windows begin with it. So no text is cut into n-grams a second time, and what is shuffled
-has been summed in its task before.
+Every word of a piece of text opens one window: the word and, in columns beside it that
+lead the column of words, the next words up to the longest phrase; at the end of a piece
+leads are padded. Only these windows are counted. ROLLUP over the prefixes of a counted
+window then sums what shorter phrases need: a phrase occurs as often as windows begin
+with it. So no text is cut into n-grams a second time, and what is shuffled has been
+summed in its task before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil, sqrt
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import saved, small
+from orderlens.llm.words import byte_table, bytes_of, slices, split_at_spaces
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Characters that end a piece, and those that separate words inside one.
+#: Characters that end a piece; spaces and tabs separate words inside one.
 BREAKS = ".,;:!?\n\x0b\x0c\r"
-BLANKS = " \t"
+#: Bytes of text whose windows a task counts at a time.
+SLICE_BYTES = 8 << 20
+#: Places at least over which the windows of one beginning are dealt.
+SPREAD = 32
 NO_LANG = "und"
 #: Factor of the scores, which are whole numbers.
 SCALE = 1_000_000
 
 
-def pieces_of(text: Column) -> Column:
-    """The pieces of a text with A-Z in lower case, its words separated by single kinds of space."""
-    plain = F.translate(text, UPPER + "\t" + BREAKS, LOWER + " " + "\n" * len(BREAKS))
-    return F.split(plain, "\n")
+def word_columns(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(row, piece, word) of all words in order; equal piece numbers mean the same piece of a text."""
+    offsets, data = bytes_of(texts)
+    table = byte_table(lower=True)
+    table[[ord(c) for c in BREAKS]] = ord("\n")
+    data = table[data]
+    ends = data == ord("\n")
+    apart = ends | (data == ord(" "))
+    opens = ~apart
+    opens[1:] &= apart[:-1]
+    first = offsets[:-1][offsets[:-1] < offsets[1:]]
+    opens[first] = ~apart[first]
+    starts = np.flatnonzero(opens)
+    data[ends] = ord(" ")
+    owner, words = split_at_spaces(offsets, data)
+    return owner, np.cumsum(ends)[starts] + owner, words
+
+
+def counted_windows(longest: int):
+    """A task's function from (lang, text) to (lang, window, n): each window of a slice of texts once, in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, part in slices(batch.column(1), SLICE_BYTES):
+                owner, piece, words = word_columns(part)
+                coded = words.dictionary_encode()
+                order = np.asarray(pc.array_sort_indices(coded.dictionary))
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order))
+                langs = batch.column(0).slice(first, len(part)).dictionary_encode()
+                # The leads of a word are the words behind it in its piece, 0 where there is none.
+                leads = [place[np.asarray(coded.indices)] + 1]
+                for k in range(1, longest):
+                    lead = np.zeros(len(piece), np.int64)
+                    lead[:-k] = np.where(piece[k:] == piece[:-k], leads[0][k:], 0)
+                    leads.append(lead)
+                lang = np.asarray(langs.indices, np.int64)[owner]
+                key, span = lang, max(1, len(langs.dictionary))
+                for lead in leads:
+                    if span * (len(order) + 1) >= 1 << 62:
+                        found, key = np.unique(key, return_inverse=True)
+                        span = len(found)
+                    key, span = key * (len(order) + 1) + lead, span * (len(order) + 1)
+                _, at, n = np.unique(key, return_index=True, return_counts=True)
+                names = coded.dictionary.take(pa.array(order)).cast(pa.binary())
+                columns = [names.take(pa.array(lead[at] - 1, mask=lead[at] == 0)) for lead in leads]
+                window = pc.binary_join_element_wise(*columns, pa.scalar(b" "), null_handling="skip")
+                yield pa.RecordBatch.from_arrays(
+                    [langs.dictionary.take(pa.array(lang[at])), window.cast(pa.string()), pa.array(n.astype(np.int64))], names=["lang", "window", "n"]
+                )
+
+    return run
 
 
 def windows(docs: DataFrame, longest: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, window): for every word of docs the words from it on, up to ``longest`` of its piece."""
+    """(lang, window, n): for every word of docs the words from it on, up to ``longest`` of its piece, each window once.
+
+    Tasks count their texts first. Windows with the same beginning then meet in few
+    partitions, so that prefixes are mostly summed where the windows are; a
+    beginning with very many windows is dealt over more of them the more there are.
+    """
+    spark = docs.sparkSession
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang")
-    pieces = docs.select(lang, F.explode(pieces_of(F.col(text_col))).alias("piece"))
-    words = pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("words")).filter(F.size("words") > 0)
-    leads = [F.slice("words", F.lit(k + 1), F.size("words")).alias(f"w{k}") for k in range(1, longest)]
-    led = words.select("lang", F.inline(F.arrays_zip(F.col("words").alias("w0"), *leads)))
-    # The padding of a lead is null, which the joined window leaves out.
-    return led.select("lang", F.concat_ws(" ", *[f"w{k}" for k in range(longest)]).alias("window"))
+    found = docs.select(lang, F.col(text_col).alias("text")).mapInArrow(counted_windows(longest), "lang string, window string, n long")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    turn = F.pmod(F.xxhash64("window"), F.lit(max(SPREAD, parts // SPREAD)))
+    place = F.pmod(F.xxhash64("lang", F.substring_index("window", " ", longest - 1), turn), F.lit(8 * parts)).cast("int")
+    dealt = found.withColumn("place", place).repartition("place")
+    return dealt.groupBy("place", "lang", "window").agg(F.sum("n").alias("n")).select("lang", "window", "n")
 
 
-def phrase_counts(counted: DataFrame, longest: int) -> DataFrame:
-    """(lang, words, phrase, f) of all phrases, and n of each lang under words 0.
+def phrase_counts(counted: DataFrame, longest: int, least: int = 1) -> DataFrame:
+    """(lang, words, phrase, f) of the phrases with f >= least, and n of each lang under words 0.
 
     counted has (lang, window, n), each window once.
     """
@@ -64,7 +126,9 @@ def phrase_counts(counted: DataFrame, longest: int) -> DataFrame:
         phrase = F.when(F.col("words") == k, F.col(name)).otherwise(phrase)
     # A window shorter than the prefix has none: its rows under null count no phrase.
     shorter = rolled.select("lang", F.col("words").cast("int").alias("words"), phrase.alias("phrase"), "f").filter("phrase is not null")
-    whole = counted.filter(size == longest).select("lang", F.lit(longest).alias("words"), F.col("window").alias("phrase"), F.col("n").alias("f"))
+    shorter = shorter.filter((F.col("f") >= least) | (F.col("words") == 0))
+    # One condition on both, so that it stays above the sums and these are shared with ROLLUP.
+    whole = counted.filter(F.when(F.col("n") >= least, size == longest)).select("lang", F.lit(longest).alias("words"), F.col("window").alias("phrase"), F.col("n").alias("f"))
     return shorter.unionByName(whole)
 
 
@@ -114,8 +178,7 @@ def collocations(
     """
     if longest < 2:
         raise ValueError(f"phrases have two words or more, got longest = {longest}")
-    counted = windows(docs, longest, lang_col, text_col).groupBy("lang", "window").agg(F.count("*").alias("n"))
-    counts = saved(phrase_counts(counted, longest).filter((F.col("f") >= least) | (F.col("words") == 0)))
+    counts = saved(phrase_counts(windows(docs, longest, lang_col, text_col), longest, least))
     totals = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
     phrases = counts.filter("words > 0")
     candidates = phrases.filter("words > 1")
