@@ -17,6 +17,8 @@ SPACES = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: Rows of a batch that goes to Python while a table is saved.
 ARROW_ROWS = 2_000
+#: Bytes of such a batch, but for one row of more.
+ARROW_BYTES = 8 << 20
 #: Rows of narrow columns (an id, a hash, a few numbers) that are broadcast at most.
 BROADCAST_ROWS = 400_000
 
@@ -51,15 +53,18 @@ def remove_dir(spark: SparkSession, folder: str) -> None:
 
 
 def with_short_batches(spark: SparkSession, action: Callable[[], T]) -> T:
-    """What the action returns; Python tasks meanwhile get at most ``ARROW_ROWS`` rows at a time,
-    so that long texts do not add up in a batch."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), ARROW_ROWS) if int(before) > 0 else ARROW_ROWS))
+    """What the action returns; Python tasks meanwhile get at most ``ARROW_ROWS`` rows and about
+    ``ARROW_BYTES`` at a time, so that long texts do not add up in a batch."""
+    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES}
+    before = {key: spark.conf.get(key) for key in keys}
+    for key, most in keys.items():
+        now = int(before[key].removesuffix("b"))
+        spark.conf.set(key, str(min(now, most) if now > 0 else most))
     try:
         return action()
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def saved(df: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ packings. A cell stops early once an elite meets the lower bound of its total.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -31,21 +31,26 @@ POPULATION = 4
 #: Share of a sequence that counts as well filled.
 WELL_FILLED = 0.995
 #: Bytes of text tokenized at a time.
-SLICE_BYTES = 8 << 20
-#: Words whose ids a task keeps at most.
-KEPT_WORDS = 400_000
+SLICE_BYTES = 1 << 20
+#: Words whose ids a task keeps at most, but for those of one slice.
+KEPT_WORDS = 200_000
 
 PIECES = "id long, piece int, start long, ids array<int>"
 STATE = "cell long, island int, lengths binary, packing binary, bins long, bound long, fitness double"
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class WordIds:
     """Token ids of texts, word by word.
 
     For a tokenizer whose normaliser and splitter drop white space and tell letters
     from signs, no token spans two words, nor a letter and a sign behind
-    it. A text's ids are then those of its parts in order, each part is encoded once,
-    and the ids of ``KEPT_WORDS`` parts are kept. Parts that normalising and splitting
+    it. A text's ids are then those of its parts in order. The ids of the last
+    ``KEPT_WORDS`` parts are kept, as bytes in two generations: what is met again moves to
+    the newer one, the older one is dropped when the newer is half full. Parts that normalising and splitting
     leave as they are go to the tokenizer's model directly; others are encoded many
     in one call, with a sign of one token between them.
     """
@@ -54,7 +59,8 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         ids = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
         self.mark = ids[0] if len(ids) == 1 else None
         # The visible sign that stands for each byte in a byte-level vocabulary.
@@ -67,12 +73,12 @@ class WordIds:
         for word in words:
             if word.isascii():
                 if word.isalpha() and word.islower():
-                    self.known[word] = [t.id for t in tokenize(word.decode())]
+                    self.known[word] = packed_ids([t.id for t in tokenize(word.decode())])
                     continue
             else:
                 text = word.decode("utf-8", "replace")
                 if max(text) < "\u0250" and text.isalpha() and text.islower() and is_normalized("NFC", text):
-                    self.known[word] = [t.id for t in tokenize(text.encode().decode("latin-1").translate(self.signs))]
+                    self.known[word] = packed_ids([t.id for t in tokenize(text.encode().decode("latin-1").translate(self.signs))])
                     continue
             others.append(word)
         words = others
@@ -83,10 +89,10 @@ class WordIds:
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
             cuts = np.flatnonzero(ids == self.mark)
             for word, first, stop in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
-                self.known[word] = ids[first:stop].tolist()
+                self.known[word] = ids[first:stop].tobytes()
         for word in words:
             if word not in self.known:
-                self.known[word] = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+                self.known[word] = packed_ids(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(bounds, ids): the ids of text k are ``ids[bounds[k] : bounds[k + 1]]``."""
@@ -103,14 +109,19 @@ class WordIds:
         owner, words = split_at_spaces(offsets, data)
         coded = words.dictionary_encode()
         names = coded.dictionary.to_pylist()
-        missing = [w for w in names if w not in self.known]
-        if len(self.known) + len(missing) > KEPT_WORDS:
-            self.known = {}
-            missing = names
+        if 2 * len(self.known) > KEPT_WORDS:
+            self.older, self.known = self.known, {}
+        missing = []
+        for word in names:
+            if word not in self.known:
+                if word in self.older:
+                    self.known[word] = self.older[word]
+                else:
+                    missing.append(word)
         self.learn(missing)
         codes = [self.known[w] for w in names]
-        sizes = np.array([len(c) for c in codes], np.int64)
-        flat = np.fromiter(chain.from_iterable(codes), np.int32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        flat = np.frombuffer(b"".join(codes), np.int32)
         which = np.asarray(coded.indices)
         lengths = sizes[which]
         ends = np.cumsum(lengths)

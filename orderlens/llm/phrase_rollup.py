@@ -16,20 +16,25 @@ from math import ceil, sqrt
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import saved, small
-from orderlens.llm.words import byte_table, bytes_of, slices, split_at_spaces
+from orderlens.llm.words import byte_table, bytes_of, mix, odd_numbers, slices, split_at_spaces
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters that end a piece; spaces and tabs separate words inside one.
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 #: Bytes of text whose windows a task counts at a time.
-SLICE_BYTES = 8 << 20
-#: Places at least over which the windows of one beginning are dealt.
-SPREAD = 32
+SLICE_BYTES = 4 << 20
+#: Words of all texts for which there is one place where windows meet.
+PLACE_WORDS = 1_000_000
+#: A word is hot if it is at least this part of all words.
+HOT_PARTS = 1_000
+
+WINDOWS = "place int, spread boolean, lang string, head string, tail string, n long"
 NO_LANG = "und"
 #: Factor of the scores, which are whole numbers.
 SCALE = 1_000_000
@@ -53,57 +58,118 @@ def word_columns(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return owner, np.cumsum(ends)[starts] + owner, words
 
 
-def counted_windows(longest: int):
-    """A task's function from (lang, text) to (lang, window, n): each window of a slice of texts once, in order."""
+def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) of each slice of texts."""
+    for batch in batches:
+        for _, part in slices(batch.column(0), SLICE_BYTES):
+            coded = word_columns(part)[2].dictionary_encode()
+            n = np.bincount(np.asarray(coded.indices), minlength=len(coded.dictionary))
+            yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.binary()), pa.array(n)], names=["word", "n"])
+
+
+def counted_windows(longest: int, places: int, hot: set[bytes]):
+    """A task's function from (lang, text) to ``WINDOWS``: each window of a slice of texts once.
+
+    The head of a window is all but its last word, which is the tail if the window is a longest one.
+    Windows with the same head have the same place, but for heads of ``hot`` words alone.
+    """
+    factors = odd_numbers(longest + 1, 23)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in slices(batch.column(1), SLICE_BYTES):
                 owner, piece, words = word_columns(part)
                 coded = words.dictionary_encode()
-                order = np.asarray(pc.array_sort_indices(coded.dictionary))
-                place = np.empty(len(order), np.int64)
-                place[order] = np.arange(len(order))
+                names = coded.dictionary.cast(pa.binary())
                 langs = batch.column(0).slice(first, len(part)).dictionary_encode()
                 # The leads of a word are the words behind it in its piece, 0 where there is none.
-                leads = [place[np.asarray(coded.indices)] + 1]
+                leads = [np.asarray(coded.indices, np.int64) + 1]
                 for k in range(1, longest):
                     lead = np.zeros(len(piece), np.int64)
                     lead[:-k] = np.where(piece[k:] == piece[:-k], leads[0][k:], 0)
                     leads.append(lead)
                 lang = np.asarray(langs.indices, np.int64)[owner]
-                key, span = lang, max(1, len(langs.dictionary))
+                key, span, size = lang, max(1, len(langs.dictionary)), len(names) + 1
                 for lead in leads:
-                    if span * (len(order) + 1) >= 1 << 62:
+                    if span * size >= 1 << 62:
                         found, key = np.unique(key, return_inverse=True)
                         span = len(found)
-                    key, span = key * (len(order) + 1) + lead, span * (len(order) + 1)
+                    key, span = key * size + lead, span * size
                 _, at, n = np.unique(key, return_index=True, return_counts=True)
-                names = coded.dictionary.take(pa.array(order)).cast(pa.binary())
-                columns = [names.take(pa.array(lead[at] - 1, mask=lead[at] == 0)) for lead in leads]
-                window = pc.binary_join_element_wise(*columns, pa.scalar(b" "), null_handling="skip")
+                leads, lang = [lead[at] for lead in leads], lang[at]
+                spelled = names.to_pylist()
+                hashes = np.array([0] + [xxhash.xxh3_64_intdigest(w) for w in spelled], np.uint64)
+                common = np.array([True] + [w in hot for w in spelled])
+                # Of the langs the names count, not their numbers in this slice.
+                named = np.array([xxhash.xxh3_64_intdigest(x) for x in langs.dictionary.to_pylist()], np.uint64)
+                spread = np.logical_and.reduce([common[lead] for lead in leads[:-1]])
+                place = named[lang] * factors[0] if len(lang) else np.empty(0, np.uint64)
+                for lead, factor in zip(leads[:-1], factors[1:]):
+                    place = place + hashes[lead] * factor
+                place = mix(place + np.where(spread, hashes[leads[-1]] * factors[-1], np.uint64(0)))
+                columns = [names.take(pa.array(lead - 1, mask=lead == 0)) for lead in leads]
+                head = pc.binary_join_element_wise(*columns[:-1], pa.scalar(b" "), null_handling="skip")
                 yield pa.RecordBatch.from_arrays(
-                    [langs.dictionary.take(pa.array(lang[at])), window.cast(pa.string()), pa.array(n.astype(np.int64))], names=["lang", "window", "n"]
+                    [
+                        pa.array((place % np.uint64(places)).astype(np.int32)),
+                        pa.array(spread),
+                        langs.dictionary.take(pa.array(lang)),
+                        head.cast(pa.string()),
+                        columns[-1].cast(pa.string()),
+                        pa.array(n.astype(np.int64)),
+                    ],
+                    names=["place", "spread", "lang", "head", "tail", "n"],
                 )
 
     return run
 
 
-def windows(docs: DataFrame, longest: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def merged_windows(longest: int, least: int):
+    """A task's function from the ``WINDOWS`` of a place to (lang, window, n).
+
+    A head that all its windows together show less than ``least`` times begins no phrase;
+    its windows are padded from the last word of the head on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches).group_by(["spread", "lang", "head", "tail"], use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+        head, n = table["head"].combine_chunks(), np.asarray(table["n_sum"])
+        lang, heads = table["lang"].combine_chunks().dictionary_encode(), head.dictionary_encode()
+        key = np.asarray(lang.indices, np.int64) * len(heads.dictionary) + np.asarray(heads.indices)
+        found, which = np.unique(key, return_inverse=True)
+        rare = (np.bincount(which, n, len(found)) < least)[which] & ~np.asarray(table["spread"])
+        rare &= np.asarray(pc.count_substring(head, " ")) == longest - 2
+        rare &= longest > 2
+        whole = pc.binary_join_element_wise(head, table["tail"].combine_chunks(), " ", null_handling="skip")
+        shorter = pc.replace_substring_regex(head, " [^ ]*$", "")
+        window = pc.if_else(pa.array(rare), shorter, whole)
+        out = pa.table([table["lang"], window, table["n_sum"]], names=["lang", "window", "n"])
+        out = out.group_by(["lang", "window"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["lang", "window", "n"])
+        yield from out.to_batches(max_chunksize=1 << 16)
+
+    return run
+
+
+def windows(docs: DataFrame, longest: int, least: int = 1, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, window, n): for every word of docs the words from it on, up to ``longest`` of its piece, each window once.
 
-    Tasks count their texts first. Windows with the same beginning then meet in few
-    partitions, so that prefixes are mostly summed where the windows are; a
-    beginning with very many windows is dealt over more of them the more there are.
+    Windows whose head occurs less than ``least`` times are padded earlier, see ``merged_windows``.
+    Tasks count their texts first; then the windows of one head meet. A head that
+    may be frequent beyond ``1 / HOT_PARTS`` of all words consists of words that are, of which
+    there are at most ``HOT_PARTS``: its windows are dealt by all their words and stay as they are.
     """
-    spark = docs.sparkSession
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang")
-    found = docs.select(lang, F.col(text_col).alias("text")).mapInArrow(counted_windows(longest), "lang string, window string, n long")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    turn = F.pmod(F.xxhash64("window"), F.lit(max(SPREAD, parts // SPREAD)))
-    place = F.pmod(F.xxhash64("lang", F.substring_index("window", " ", longest - 1), turn), F.lit(8 * parts)).cast("int")
-    dealt = found.withColumn("place", place).repartition("place")
-    return dealt.groupBy("place", "lang", "window").agg(F.sum("n").alias("n")).select("lang", "window", "n")
+    words = saved(docs.select(F.col(text_col).alias("text")).mapInArrow(counted_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    total = words.agg(F.sum("n")).first()[0] or 0
+    hot = {bytes(row["word"]) for row in words.filter(F.col("n") * HOT_PARTS >= total).collect()}
+    places = max(1, ceil(total / PLACE_WORDS))
+    found = docs.select(lang, F.col(text_col).alias("text")).mapInArrow(counted_windows(longest, places, hot), WINDOWS)
+    dealt = found.repartitionById(places, F.col("place"))
+    merged = dealt.mapInArrow(merged_windows(longest, least), "lang string, window string, n long")
+    return merged.groupBy("lang", "window").agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(counted: DataFrame, longest: int, least: int = 1) -> DataFrame:
@@ -178,7 +244,7 @@ def collocations(
     """
     if longest < 2:
         raise ValueError(f"phrases have two words or more, got longest = {longest}")
-    counts = saved(phrase_counts(windows(docs, longest, lang_col, text_col), longest, least))
+    counts = saved(phrase_counts(windows(docs, longest, least, lang_col, text_col), longest, least))
     totals = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
     phrases = counts.filter("words > 0")
     candidates = phrases.filter("words > 1")

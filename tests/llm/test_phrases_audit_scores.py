@@ -201,22 +201,24 @@ def small_model(n=40, seed=3):
 
 def test_class_probabilities_sum_to_one_over_subwords():
     classes, w, rng = small_model(500)
-    z = rng.standard_normal((4, attention_lm.WIDTH)).astype(np.float32)
-    logs = attention_lm.log_classes(w, z)
-    assert np.allclose(np.exp(logs[:, classes.of] + classes.log_share).sum(axis=1), 1, atol=1e-5)
+    z = np.repeat(rng.standard_normal((1, attention_lm.WIDTH)).astype(np.float32), 500, axis=0)
+    assert math.isclose(np.exp(attention_lm.log_classes(w, z, classes.of) + classes.log_share).sum(), 1, abs_tol=1e-4)
 
 
 def test_gradients_equal_differences():
     classes, w, rng = small_model()
     w = {k: v.astype(np.float64) for k, v in w.items()}
     rows = rng.integers(0, 40, (3, attention_lm.WINDOW))
-    targets, counted = rng.integers(0, classes.n, rows.shape), rng.random(rows.shape) < 0.8
+    there = np.ones(rows.shape, bool)
+    there[0, : attention_lm.BEFORE] = there[1, -5:] = False
+    targets, new = rng.integers(0, classes.n, (3, attention_lm.FRESH)), there[:, attention_lm.BEFORE :]
 
     def loss():
-        logs = attention_lm.log_classes(w, attention_lm.attended(w, rows)["z"].reshape(-1, attention_lm.WIDTH))
-        return -(logs[np.arange(rows.size), targets.ravel()] * counted.ravel()).sum() / counted.sum()
+        z = attention_lm.attended(w, rows, there)["z"]
+        return -attention_lm.log_classes(w, z[new], targets[new]).mean()
 
-    g = attention_lm.gradients(w, rows, targets, counted)
+    g = attention_lm.gradients(w, rows, there, targets)
+    assert set(g) == set(w)
     for name, weight in w.items():
         at = np.unravel_index(np.argmax(np.abs(g[name])), weight.shape)
         before = weight[at]
@@ -231,32 +233,42 @@ def test_gradients_equal_differences():
 def test_no_place_sees_a_later_one_and_each_is_scored_once():
     classes, w, rng = small_model()
     rows = rng.integers(0, 40, (2, attention_lm.WINDOW))
+    there = np.ones(rows.shape, bool)
     other = rows.copy()
     other[:, 20:] = 7
-    a, b = attention_lm.attended(w, rows)["z"], attention_lm.attended(w, other)["z"]
-    assert np.array_equal(a[:, :20], b[:, :20]) and not np.array_equal(a[:, 20:], b[:, 20:])
-    sizes = np.array([1, 31, 32, 33, 56, 57, 200])
+    a, b = attention_lm.attended(w, rows, there)["z"], attention_lm.attended(w, other, there)["z"]
+    cut = 20 - attention_lm.BEFORE
+    assert np.allclose(a[:, :cut], b[:, :cut], atol=1e-6) and not np.allclose(a[:, cut:], b[:, cut:])
+    sizes = np.array([1, 23, 24, 25, 48, 57, 200])
     windows = attention_lm.Windows(sizes)
-    place, there, new = windows.places(np.arange(len(windows.doc)))
-    assert sorted(place[new].tolist()) == list(range(sizes.sum()))
+    place, there = windows.places(np.arange(len(windows.doc)))
+    assert sorted(place[:, attention_lm.BEFORE :][there[:, attention_lm.BEFORE :]].tolist()) == list(range(sizes.sum()))
     assert np.bincount(windows.doc).tolist() == windows.number.tolist()
 
 
-def test_score_is_that_of_each_window_by_itself():
+def test_score_is_that_of_plain_attention_place_by_place():
     classes, w, rng = small_model()
     sizes = np.array([1, 50, 77])
     flat = rng.integers(0, 40, sizes.sum())
     got = attention_lm.log_probabilities(w, classes, sizes, flat, 0)
+    half = attention_lm.WIDTH // attention_lm.HEADS
     for doc, stop in enumerate(np.cumsum(sizes)):
         own = flat[stop - sizes[doc] : stop]
         seen, total = np.concatenate(([0], own[:-1])), 0.0
         for at in range(len(own)):
-            turn = max(0, -(-(at + 1 - attention_lm.WINDOW) // attention_lm.FRESH))
-            window = np.zeros(attention_lm.WINDOW, int)
-            part = seen[turn * attention_lm.FRESH :][: attention_lm.WINDOW]
-            window[: len(part)] = part
-            z = attention_lm.attended(w, classes.row[window][None])["z"][0, at - turn * attention_lm.FRESH]
-            total += attention_lm.log_classes(w, z[None])[0, classes.of[own[at]]] + classes.log_share[own[at]]
+            begin = at // attention_lm.FRESH * attention_lm.FRESH - attention_lm.BEFORE
+            keys = np.arange(max(0, begin), at + 1)
+            x = w["token"][classes.row[seen[keys]]] + w["place"][keys - begin]
+            heads = []
+            for h in range(attention_lm.HEADS):
+                part = slice(h * half, (h + 1) * half)
+                score = (x @ w["key"][:, part]) @ (x[-1] @ w["query"][:, part]) / math.sqrt(half)
+                weight = np.exp(score) / np.exp(score).sum()
+                heads.append(weight @ (x @ w["value"][:, part]))
+            y = x[-1] + np.concatenate(heads) @ w["joined"]
+            z = y + np.maximum(y @ w["up"] + w["up_bias"], 0) @ w["down"]
+            logits = z @ w["out"] + w["out_bias"]
+            total += logits[classes.of[own[at]]] - np.log(np.exp(logits).sum()) + classes.log_share[own[at]]
         assert math.isclose(got[doc], total / math.log(10), rel_tol=1e-4)
 
 
