@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,7 +35,8 @@ PLACE_WORDS = 1_000_000
 #: A word is hot if it is at least this part of all words.
 HOT_PARTS = 1_000
 
-WINDOWS = "place int, spread boolean, lang string, head string, tail string, n long"
+#: Windows of one place and lang: heads, tails and counts in order, each packed.
+WINDOWS = "place int, spread boolean, lang string, heads binary, tails binary, counts binary"
 NO_LANG = "und"
 #: Factor of the scores, which are whole numbers.
 SCALE = 1_000_000
@@ -107,18 +109,31 @@ def counted_windows(longest: int, places: int, hot: set[bytes]):
                 for lead, factor in zip(leads[:-1], factors[1:]):
                     place = place + hashes[lead] * factor
                 place = mix(place + np.where(spread, hashes[leads[-1]] * factors[-1], np.uint64(0)))
-                columns = [names.take(pa.array(lead - 1, mask=lead == 0)) for lead in leads]
+                place = (place % np.uint64(places)).astype(np.int64)
+                order = np.lexsort((np.arange(len(n)), spread, lang, place))
+                place, lang, spread = place[order], lang[order], spread[order]
+                opens = np.ones(len(n), bool)
+                opens[1:] = (place[1:] != place[:-1]) | (lang[1:] != lang[:-1]) | (spread[1:] != spread[:-1])
+                starts = np.flatnonzero(opens)
+                bounds = np.append(starts, len(n))
+                columns = [names.take(pa.array(lead[order] - 1, mask=lead[order] == 0)) for lead in leads]
                 head = pc.binary_join_element_wise(*columns[:-1], pa.scalar(b" "), null_handling="skip")
+                heads, tails = (
+                    pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), column), b"\n").to_pylist()
+                    for column in (head, pc.fill_null(columns[-1], b""))
+                )
+                counts = n[order]
+                squeeze = zstandard.ZstdCompressor().compress
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array((place % np.uint64(places)).astype(np.int32)),
-                        pa.array(spread),
-                        langs.dictionary.take(pa.array(lang)),
-                        head.cast(pa.string()),
-                        columns[-1].cast(pa.string()),
-                        pa.array(n.astype(np.int64)),
+                        pa.array(place[starts].astype(np.int32)),
+                        pa.array(spread[starts]),
+                        langs.dictionary.take(pa.array(lang[starts])),
+                        pa.array([squeeze(x) for x in heads], pa.binary()),
+                        pa.array([squeeze(x) for x in tails], pa.binary()),
+                        pa.array([squeeze(counts[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
                     ],
-                    names=["place", "spread", "lang", "head", "tail", "n"],
+                    names=["place", "spread", "lang", "heads", "tails", "counts"],
                 )
 
     return run
@@ -127,26 +142,38 @@ def counted_windows(longest: int, places: int, hot: set[bytes]):
 def merged_windows(longest: int, least: int):
     """A task's function from the ``WINDOWS`` of a place to (lang, window, n).
 
-    A head that all its windows together show less than ``least`` times begins no phrase;
-    its windows are padded from the last word of the head on.
+    Windows that occur less than ``least`` times are no phrases: they are padded from the tail
+    on, and from the last word of the head on if that begins no phrase, either.
     """
 
+    def lines(packed: bytes) -> pa.Array:
+        text = pa.array([zstandard.ZstdDecompressor().decompress(packed)], pa.large_binary())
+        return pc.list_flatten(pc.split_pattern(text, b"\n"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = list(batches)
-        if not batches:
+        parts = []
+        for batch in batches:
+            for spread, lang, heads, tails, counts in zip(*(batch.column(k).to_pylist() for k in range(1, 6))):
+                n = np.frombuffer(zstandard.ZstdDecompressor().decompress(counts), np.int64)
+                same = [pa.array(np.full(len(n), spread)), pa.DictionaryArray.from_arrays(np.zeros(len(n), np.int32), [lang])]
+                parts.append(pa.table([*same, lines(heads), lines(tails), pa.array(n)], names=["spread", "lang", "head", "tail", "n"]))
+        if not parts:
             return
-        table = pa.Table.from_batches(batches).group_by(["spread", "lang", "head", "tail"], use_threads=False).aggregate([("n", "sum")]).combine_chunks()
-        head, n = table["head"].combine_chunks(), np.asarray(table["n_sum"])
+        table = pa.concat_tables(parts).unify_dictionaries()
+        table = table.set_column(1, "lang", table["lang"].cast(pa.string()))
+        table = table.group_by(["spread", "lang", "head", "tail"], use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+        head, tail, n = table["head"].combine_chunks(), table["tail"].combine_chunks(), np.asarray(table["n_sum"])
         lang, heads = table["lang"].combine_chunks().dictionary_encode(), head.dictionary_encode()
         key = np.asarray(lang.indices, np.int64) * len(heads.dictionary) + np.asarray(heads.indices)
         found, which = np.unique(key, return_inverse=True)
         rare = (np.bincount(which, n, len(found)) < least)[which] & ~np.asarray(table["spread"])
-        rare &= np.asarray(pc.count_substring(head, " ")) == longest - 2
-        rare &= longest > 2
-        whole = pc.binary_join_element_wise(head, table["tail"].combine_chunks(), " ", null_handling="skip")
-        shorter = pc.replace_substring_regex(head, " [^ ]*$", "")
-        window = pc.if_else(pa.array(rare), shorter, whole)
-        out = pa.table([table["lang"], window, table["n_sum"]], names=["lang", "window", "n"])
+        rare &= (np.asarray(pc.count_substring(head, b" ")) == longest - 2) & (longest > 2)
+        kept = (n >= least) & np.asarray(pc.greater(pc.binary_length(tail), 0))
+        whole = pc.binary_join_element_wise(head, tail, pa.scalar(b" ", pa.large_binary()))
+        names = heads.dictionary.cast(pa.large_string())
+        shorter = pc.replace_substring_regex(names, " [^ ]*$", "").cast(pa.large_binary()).take(heads.indices)
+        window = pc.if_else(pa.array(kept), whole, pc.if_else(pa.array(rare), shorter, head))
+        out = pa.table([table["lang"], window.cast(pa.large_string()).cast(pa.string()), table["n_sum"]], names=["lang", "window", "n"])
         out = out.group_by(["lang", "window"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["lang", "window", "n"])
         yield from out.to_batches(max_chunksize=1 << 16)
 
@@ -156,7 +183,7 @@ def merged_windows(longest: int, least: int):
 def windows(docs: DataFrame, longest: int, least: int = 1, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, window, n): for every word of docs the words from it on, up to ``longest`` of its piece, each window once.
 
-    Windows whose head occurs less than ``least`` times are padded earlier, see ``merged_windows``.
+    Windows that occur less than ``least`` times are padded earlier, see ``merged_windows``.
     Tasks count their texts first; then the windows of one head meet. A head that
     may be frequent beyond ``1 / HOT_PARTS`` of all words consists of words that are, of which
     there are at most ``HOT_PARTS``: its windows are dealt by all their words and stay as they are.
