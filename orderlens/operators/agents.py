@@ -145,6 +145,38 @@ def agent_cumulative(days: DataFrame, start=None, end=None) -> DataFrame:
     )
 
 
+def agent_calendar(days: DataFrame, start: date | str | None = None, end: date | str | None = None) -> DataFrame:
+    """Every company on every day of the period, with what it sold and what it had sold by then.
+
+    Days without orders carry the cumulative figures of the day before; before a
+    company's first order they are 0 and the average is NULL. Without ``start`` or
+    ``end`` a company's own first or last day counts. A day's zeros are added as rows of
+    their own, so the calendar needs no join: one row per company and day is summed.
+    """
+    sums = _company_days(days)
+    own = sums.filter("date is not null").groupBy("company").agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    first = F.col("first") if start is None else day_of(start)
+    last = F.col("last") if end is None else day_of(end)
+    calendar = own.filter(first <= last).select("company", F.explode(F.sequence(first, last)).alias("date"))
+    figures = ("orders", "refunds", "agents", "new_agents")
+    empty = calendar.withColumns({**{f: F.lit(0).cast("long") for f in figures}, "shown": F.lit(True)})
+    both = sums.withColumn("shown", F.lit(False)).unionByName(empty)
+    filled = both.groupBy("company", "date").agg(
+        *[F.sum(f).cast("long").alias(f) for f in figures], F.max("shown").alias("shown")
+    )
+    return _running(filled).filter("shown").select(
+        "company",
+        "date",
+        "orders",
+        "refunds",
+        "agents",
+        "cum_orders",
+        "cum_refunds",
+        "cum_agents",
+        share(F.col("cum_orders"), F.col("cum_agents"), 1).alias("cum_avg_orders"),
+    )
+
+
 def milestones(start: date, end: date, ended: bool) -> list[tuple[str, date]]:
     """Names and cut-off days of the milestone report."""
     # Milestone names and their distance in days from the start or end.
@@ -224,44 +256,60 @@ def _with_registered(report: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
+def _places(needs: DataFrame, levels: DataFrame) -> DataFrame:
+    """How many of a company's different needs lie at or below each of its needs and levels.
+
+    Both have company and ``value``; the result adds ``is_need`` and ``place``. What goes in is
+    distinct, so the window holds a company's different averages and order counts.
+    """
+    marks = needs.withColumn("is_need", F.lit(1)).unionByName(levels.withColumn("is_need", F.lit(0)))
+    # Equal values are peers: a level that meets a need exactly reaches it.
+    return marks.withColumn("place", F.sum("is_need").over(Window.partitionBy("company").orderBy("value")))
+
+
 def _reaching(days: DataFrame, registry: DataFrame, asked: DataFrame) -> DataFrame:
     """How many registered agents reach a number of orders by a date.
 
-    ``asked`` has company, date and ``need``. An agent stands at a running count
-    from one of its order days (or its registration) to the next, which is one
-    agent more on that level and later one less. These changes are summed per
-    company, level and day, and running sums meet the dates asked for: levels
-    times dates are the most rows, however many agents and days there are.
+    ``asked`` has company, date and ``need``. An agent's orders only grow, so it passes
+    each of the company's different needs once: on an order day, or when it is
+    registered later. Passings are summed per company, place of the need and day; each
+    date asked for is a row in the one place that it needs, and a running sum over a
+    place gives its answer. Nothing multiplies order counts with dates.
     """
     per_agent = Window.partitionBy("company", "channel_id").orderBy("date")
     levels = (
         days.filter("orders > 0 and channel_id is not null and date is not null")
-        .withColumn("level", F.sum("orders").over(per_agent))
-        .withColumn("next_date", F.lead("date").over(per_agent))
+        .withColumn("to", F.sum("orders").over(per_agent))
+        .withColumn("from", F.col("to") - F.col("orders"))
     )
     since = registry.groupBy("company", "channel_id").agg(F.min("registered").alias("since"))
-    stays = levels.join(since, ["company", "channel_id"]).select(
-        "company", "level", F.greatest("date", "since").alias("from_date"), "next_date"
-    )
-    stays = stays.filter("next_date is null or from_date < next_date")
-    arrival = F.struct(F.col("from_date").alias("date"), F.lit(1).alias("change"))
-    leaving = F.struct(F.col("next_date").alias("date"), F.lit(-1).alias("change"))
-    steps = F.when(F.col("next_date").isNull(), F.array(arrival)).otherwise(F.array(arrival, leaving))
-    changes = (
-        stays.select("company", "level", F.inline(steps))
-        .groupBy("company", "level", "date")
-        .agg(F.sum("change").alias("change"))
+    moves = levels.join(since, ["company", "channel_id"])
+    moves = moves.groupBy("company", F.greatest("date", "since").alias("date"), "from", "to").agg(count_rows().alias("n"))
+    asked = asked.filter("need is not null").distinct()
+    met = moves.select("company", F.explode(F.array(F.col("from").cast("double"), F.col("to").cast("double"))).alias("value")).distinct()
+    places = _places(asked.select("company", F.col("need").alias("value")).distinct(), met)
+
+    def place_of(value: str, name: str, is_need: int) -> DataFrame:
+        return places.filter(F.col("is_need") == is_need).select("company", F.col("value").alias(value), F.col("place").alias(name))
+
+    passed = (
+        moves.select("company", "date", "n", F.col("from").cast("double").alias("from"), F.col("to").cast("double").alias("to"))
+        .join(place_of("from", "above", 0), ["company", "from"])
+        .join(place_of("to", "up_to", 0), ["company", "to"])
+        .filter("above < up_to")
+        .groupBy("company", "date", "above", "up_to")
+        .agg(F.sum("n").alias("n"))
+        .select("company", "date", "n", F.explode(F.sequence(F.col("above") + 1, F.col("up_to"))).alias("place"))
+        .groupBy("company", "place", "date")
+        .agg(F.sum("n").alias("n"))
     )
-    asked = asked.distinct()
-    shown = changes.select("company", "level").distinct().join(asked, "company")
-    both = changes.unionByName(shown.withColumn("change", F.lit(0).cast("long")), allowMissingColumns=True)
-    up_to_day = Window.partitionBy("company", "level").orderBy("date")
-    reached = F.when(F.col("level") >= F.col("need"), F.col("at_level")).otherwise(0)
+    shown = asked.join(place_of("need", "place", 1), ["company", "need"]).select("company", "place", "date", F.lit(True).alias("shown"))
+    up_to_day = Window.partitionBy("company", "place").orderBy("date")
     return (
-        both.withColumn("at_level", F.sum("change").over(up_to_day))
-        .filter("need is not null")
-        .groupBy("company", "date")
-        .agg(F.sum(reached).alias("reaching"))
+        passed.unionByName(shown, allowMissingColumns=True)
+        .withColumn("reaching", F.coalesce(F.sum("n").over(up_to_day), F.lit(0)))
+        .filter("shown")
+        .select("company", "date", "reaching")
     )
 
 

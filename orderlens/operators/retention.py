@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.columns import Columns, pick, refund_statuses
+from orderlens.columns import Columns, as_day, pick, refund_statuses
 from orderlens.functions.labels import ONLINE_COMPANY
 from orderlens.functions.nulls import count_rows, is_in, na_text, not_in, null_safe
 from orderlens.functions.numbers import share
+from orderlens.operators.netting import in_period
 
 MEDICAL_PAYWAY = "医保个账"
 PERSON_FIELDS = ("name", "id_type", "id_no", "birthday", "sex")
@@ -138,118 +141,131 @@ def member_flag(df: DataFrame, keys: DataFrame, on: str, name: str) -> DataFrame
     )
 
 
-def _person_flags(parts: dict[str, DataFrame]) -> DataFrame:
-    """One row per id_no with a 0/1 flag for each part it occurs in."""
-    tagged = [
-        part.select("id_no", *[F.lit(int(name == other)).alias(other) for other in parts])
-        for name, part in parts.items()
-    ]
-    union = reduce(DataFrame.unionByName, tagged)
-    return union.groupBy("id_no").agg(*[F.max(name).alias(name) for name in parts])
-
-
-def _with_flags(counts: DataFrame, flags: DataFrame, names) -> DataFrame:
-    joined = counts.join(flags, null_safe(counts, flags, ["id_no"]), "left").drop(flags["id_no"])
-    return joined.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in names})
+#: Bits of a person's state: in which year, and how, the person bought.
+OLD_SELF, OLD_COM, NEW_SELF, NEW_COM = 1, 2, 4, 8
+YEAR_BITS = {"old": {"self": OLD_SELF, "com": OLD_COM}, "new": {"self": NEW_SELF, "com": NEW_COM}}
+Year = tuple[date | str, date | str]
 
 
-def _valid(df: DataFrame, cols: Columns, kind: str, *fields: str) -> DataFrame:
-    rows = pick(df, cols, *dict.fromkeys([*fields, "status"]))
-    return rows.filter(not_in(F.col("status"), refund_statuses(kind)))
+def _valid(kind: str) -> Column:
+    return (F.col("group") == kind) & not_in(F.col("status"), refund_statuses(kind))
 
 
-def renewals(orders: DataFrame, others: list[DataFrame], cols: Columns = Columns()) -> DataFrame:
-    """Per company: orders, those whose person occurs in ``others``, and the rate.
+def person_years(orders: DataFrame, last_year: Year, this_year: Year, cols: Columns = Columns()) -> DataFrame:
+    """Per company and person: orders of both years and kinds, and the person's state everywhere.
 
-    Each of ``others`` brings a column ``id_no``; NULL matches NULL.
-    Orders are first counted per company and person, so a person with very
-    many orders is a single row when it meets the other side.
+    The orders are read once. ``old_self`` and ``old_com`` count all orders of last year,
+    ``new_self`` and ``new_com`` the valid ones of this year; ``state`` holds the bits of
+    all companies' orders of the person, NULL being a person like any other. Orders
+    are summed per company and person before the state is spread, so the window sees at
+    most one row per company for each person.
     """
-    per_person = pick(orders, cols, "company", "id_no").groupBy("company", "id_no").agg(
-        count_rows().alias("n")
-    )
-    flags = _person_flags({f"p{i}": other for i, other in enumerate(others)})
-    names = [f"p{i}" for i in range(len(others))]
-    counted = _with_flags(per_person, flags, names)
-    renewed = F.greatest(*names, F.lit(0))
-    return (
-        counted.rollup("company")
-        .agg(
-            F.grouping("company").cast("int").alias("is_total"),
-            F.sum("n").cast("long").alias("orders"),
-            F.sum(F.col("n") * renewed).cast("long").alias("renewed"),
-        )
-        .withColumn("rate", share(F.col("renewed"), F.col("orders"), 3))
-    )
-
-
-def renewal_last_year(old: DataFrame, new_self: DataFrame, new_com: DataFrame, cols=Columns()):
-    """Share of last year's orders renewed in this year's valid orders."""
-    this_year = [_valid(new_self, cols, "self", "id_no"), _valid(new_com, cols, "com", "id_no")]
-    return renewals(old, this_year, cols)
-
-
-def renewal_this_year(new: DataFrame, kind: str, old_self: DataFrame, old_com: DataFrame, cols=Columns()):
-    """Share of this year's valid orders whose person had an order last year."""
-    valid = new.filter(not_in(F.col(cols.status), refund_statuses(kind)))
-    return renewals(valid, [pick(old_self, cols, "id_no"), pick(old_com, cols, "id_no")], cols)
+    rows = pick(orders, cols, "company", "id_no", "date_created", "group", "status")
+    created = as_day("date_created")
+    old, new = in_period(created, *last_year), in_period(created, *this_year)
+    parts = {
+        "old_self": old & (F.col("group") == "self"),
+        "old_com": old & (F.col("group") == "com"),
+        "new_self": new & _valid("self"),
+        "new_com": new & _valid("com"),
+    }
+    counted = rows.filter(old | new).groupBy("company", "id_no").agg(*[F.count_if(c).alias(n) for n, c in parts.items()])
+    bits = [F.when(F.col(f"{y}_{k}") > 0, bit).otherwise(0) for y, kinds in YEAR_BITS.items() for k, bit in kinds.items()]
+    state = reduce(lambda x, y: x.bitwiseOR(y), bits)
+    return counted.withColumn("state", F.bit_or(state).over(Window.partitionBy("id_no")))
+
+
+def _renewed(states: DataFrame, year: str, kinds: Sequence[str]) -> DataFrame:
+    """Orders of ``year`` per company, and those whose person also bought in the other year, by kind."""
+    other = sum(YEAR_BITS["new" if year == "old" else "old"].values())
+    again = F.col("state").bitwiseAND(F.lit(other)) != 0
+    measures = []
+    for kind in kinds:
+        n = F.col(f"{year}_{kind}")
+        measures += [F.sum(n).cast("long").alias(f"{kind}_orders"), F.sum(F.when(again, n).otherwise(0)).cast("long").alias(f"{kind}_renewed")]
+    bought = reduce(lambda x, y: x | y, [F.col(f"{year}_{kind}") > 0 for kind in kinds])
+    return states.filter(bought).rollup("company").agg(F.grouping("company").cast("int").alias("is_total"), *measures)
+
+
+def renewals(states: DataFrame, year: str, kind: str) -> DataFrame:
+    """Per company: orders of a year and kind, those whose person bought in the other year, and the rate.
+
+    ``states`` comes from :func:`person_years`; ``year`` is ``old`` (renewed this year) or ``new``
+    (bought last year).
+    """
+    orders, renewed = F.col(f"{kind}_orders"), F.col(f"{kind}_renewed")
+    found = _renewed(states, year, [kind])
+    return found.select("company", "is_total", orders.alias("orders"), renewed.alias("renewed"), share(renewed, orders, 3).alias("rate"))
 
 
-def merge_renewals(self_part: DataFrame, com_part: DataFrame, zeros: bool = True) -> DataFrame:
+def merged_renewals(states: DataFrame, year: str, zeros: bool = True) -> DataFrame:
     """Individual and corporate renewals side by side.
 
     A company absent from one side gets zeros there, or NULL without ``zeros``.
     """
-    both = self_part.withColumn("side", F.lit("self")).unionByName(
-        com_part.withColumn("side", F.lit("com"))
-    )
+    found = _renewed(states, year, ["self", "com"])
 
-    def of(side: str, column: str, kind: str) -> Column:
-        value = F.sum(F.when(F.col("side") == side, F.col(column)))
-        shown = F.coalesce(value, F.lit(0)) if zeros else value
-        return shown.cast(kind).alias(f"{side}_{column}")
+    def of(kind: str) -> list[Column]:
+        orders, renewed = F.col(f"{kind}_orders"), F.col(f"{kind}_renewed")
+        shown = [orders, renewed, share(renewed, orders, 3)]
+        shown = [F.coalesce(c, F.lit(0)) if zeros else F.when(orders > 0, c) for c in shown]
+        return [c.alias(f"{kind}_{name}") for c, name in zip(shown, ("orders", "renewed", "rate"))]
 
-    return both.groupBy("company", "is_total").agg(
-        *[
-            of(side, column, kind)
-            for side in ("self", "com")
-            for column, kind in (("orders", "long"), ("renewed", "long"), ("rate", "double"))
-        ]
-    )
+    return found.select("company", "is_total", *of("self"), *of("com"))
 
 
-def auto_deduct_remaining(
-    old: DataFrame,
-    new_self: DataFrame,
-    new_com: DataFrame,
-    cols: Columns = Columns(),
-    by_payment: bool = False,
+def deduction_states(
+    orders: DataFrame, last_year: Year, this_year: Year, cols: Columns = Columns(), by_payment: bool = False
 ) -> DataFrame:
+    """The orders that matter to deduction agreements, summed by what they say about a person.
+
+    ``part`` is ``signed`` for last year's individual orders with an agreement, which keep their
+    company and payment, and ``own``, ``ad``, ``com`` or ``ad_refund`` for this year's; of valid
+    individual ones the order id is kept, since a deducted order is not an own purchase.
+    """
+    paid = ["medical_flag", "payway"] if by_payment else []
+    fields = ["company", "id_no", "date_created", "group", "status", "order_item_id", "auto_deduct", "is_auto_deduct", *paid]
+    rows = pick(orders, cols, *fields)
+    created = as_day("date_created")
+    old, new = in_period(created, *last_year), in_period(created, *this_year)
+    own, ad = F.col("group") == "self", F.col("is_auto_deduct") == 1
+    # An order of both years, should they overlap, counts in both.
+    parts = F.array(
+        F.when(old & own & (F.col("auto_deduct") == 1), "signed"),
+        F.when(new & _valid("self"), F.when(ad, "ad").otherwise("own")),
+        F.when(new & _valid("com"), "com"),
+        F.when(new & own & ad & is_in(F.col("status"), refund_statuses("self")), "ad_refund"),
+    )
+    signed, valid = F.col("part") == "signed", F.col("part").isin("own", "ad")
+    spread = rows.select("*", F.explode(F.array_compact(parts)).alias("part"))
+    return spread.groupBy(
+        "part",
+        "id_no",
+        F.when(valid, F.col("order_item_id")).alias("order_item_id"),
+        *[F.when(signed, F.col(c)).alias(c) for c in ("company", *paid)],
+    ).agg(count_rows().alias("n"))
+
+
+def auto_deduct_remaining(states: DataFrame, by_payment: bool = False) -> DataFrame:
     """Per company: deduction agreements of last year and what became of them.
 
     Counted in this order: bought again in a corporate order, else in an
     individual one (not by deduction), deducted and kept, and, only where none
     of these holds, deducted and refunded. What is left is the remainder; the
     first and the third overlap, as in the original definition. ``by_payment``
-    splits the people left by how they had paid.
+    splits the people left by how they had paid. ``states`` comes from
+    :func:`deduction_states`; write it once, it is read several times here.
     """
-    fields = ["company", "id_no", *(["medical_flag", "payway"] if by_payment else [])]
-    signed = pick(old, cols, *fields, "auto_deduct").filter("auto_deduct = 1").groupBy(*fields).agg(
-        count_rows().alias("n")
-    )
-    new = pick(new_self, cols, "order_item_id", "id_no", "status", "is_auto_deduct")
-    valid = new.filter(not_in(F.col("status"), refund_statuses("self")))
-    deducted = valid.filter("is_auto_deduct = 1")
-    deducted_ids = deducted.select("order_item_id").distinct()
-    own = valid.join(deducted_ids, null_safe(valid, deducted_ids, ["order_item_id"]), "left_anti")
-    refunded = new.filter(
-        (F.col("is_auto_deduct") == 1) & is_in(F.col("status"), refund_statuses("self"))
-    )
+    paid = ["medical_flag", "payway"] if by_payment else []
+    signed = states.filter("part = 'signed'").groupBy("company", "id_no", *paid).agg(F.sum("n").alias("n"))
+    ids = states.filter("part = 'ad'").select("order_item_id").distinct()
+    bought = states.filter("part = 'own'")
+    own = bought.join(ids, null_safe(bought, ids, ["order_item_id"]), "left_anti").withColumn("part", F.lit("self"))
     names = ["com", "self", "ad", "ad_refund"]
-    flags = _person_flags(
-        dict(zip(names, [_valid(new_com, cols, "com", "id_no"), own, deducted, refunded]))
-    )
-    counted = _with_flags(signed, flags, names)
+    marks = states.filter("part in ('com', 'ad', 'ad_refund')").select("part", "id_no").unionByName(own.select("part", "id_no"))
+    flags = marks.groupBy("id_no").agg(*[F.max((F.col("part") == name).cast("int")).alias(name) for name in names])
+    joined = signed.join(flags, null_safe(signed, flags, ["id_no"]), "left").drop(flags["id_no"])
+    counted = joined.withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in names})
     n = F.col("n")
     com, ad = F.col("com") == 1, F.col("ad") == 1
     bought_self = ~com & (F.col("self") == 1)

@@ -287,7 +287,8 @@ def _agent_days(spark, sf_dir, own_purchases=False):
         spark, sf_dir, "company", "sale_channel_id", "date_created", "date_updated",
         "policy_order_status", "is_automatic_deduction",
     )
-    return A.agent_days(rows, own_purchases=own_purchases)
+    # Reports read this table several times; it is much smaller than the orders.
+    return materialised(A.agent_days(rows, own_purchases=own_purchases))
 
 
 def _registry(spark, sf_dir):
@@ -302,6 +303,10 @@ def agent_cumulative(spark, sf_dir):
     return A.agent_cumulative(_agent_days(spark, sf_dir), START, END)
 
 
+def agent_calendar(spark, sf_dir):
+    return A.agent_calendar(_agent_days(spark, sf_dir), START, END)
+
+
 def agent_milestones(spark, sf_dir, registered=False):
     registry = _registry(spark, sf_dir) if registered else None
     return A.agent_milestones(_agent_days(spark, sf_dir), START, END, registry=registry)
@@ -355,60 +360,29 @@ def lured_refunds_channel(spark, sf_dir):
     return T.lured_refunds_channel(rows, SELLER)
 
 
-def _years(spark, sf_dir, *roles):
-    """Orders of last and this year, individual and corporate; id is the applicant."""
+def _orders_of_people(spark, sf_dir, *roles):
+    """Orders of both years; id is the applicant."""
     rows = fact(
-        spark, sf_dir, "date_created", "policy_order_status", "group", "company",
-        "applicant_id_no", *roles,
-    ).withColumn("id_no", F.expr("nullif(applicant_id_no, 7)"))
-
-    def part(year, group):
-        return rows.filter(F.col("date_created").between(*year) & (F.col("group") == group))
-
-    return (
-        part(LAST_YEAR, "self"), part(LAST_YEAR, "com"),
-        part(THIS_YEAR, "self"), part(THIS_YEAR, "com"),
+        spark, sf_dir, "date_created", "policy_order_status", "group", "company", "applicant_id_no", *roles,
     )
+    return rows.withColumn("id_no", F.expr("nullif(applicant_id_no, 7)"))
 
 
-def renewal_last_year_self(spark, sf_dir):
-    old_self, _, new_self, new_com = _years(spark, sf_dir)
-    return T.renewal_last_year(old_self, new_self, new_com)
-
-
-def renewal_last_year_com(spark, sf_dir):
-    _, old_com, new_self, new_com = _years(spark, sf_dir)
-    return T.renewal_last_year(old_com, new_self, new_com)
-
+def renewal(spark, sf_dir, year, kind):
+    return T.renewals(T.person_years(_orders_of_people(spark, sf_dir), LAST_YEAR, THIS_YEAR), year, kind)
 
-def renewal_this_year_self(spark, sf_dir):
-    old_self, old_com, new_self, _ = _years(spark, sf_dir)
-    return T.renewal_this_year(new_self, "self", old_self, old_com)
 
-
-def renewal_this_year_com(spark, sf_dir):
-    old_self, old_com, _, new_com = _years(spark, sf_dir)
-    return T.renewal_this_year(new_com, "com", old_self, old_com)
-
-
-def renewal_last_year(spark, sf_dir, zeros=True):
-    return T.merge_renewals(
-        renewal_last_year_self(spark, sf_dir), renewal_last_year_com(spark, sf_dir), zeros
-    )
-
-
-def renewal_this_year(spark, sf_dir):
-    return T.merge_renewals(
-        renewal_this_year_self(spark, sf_dir), renewal_this_year_com(spark, sf_dir)
-    )
+def merged_renewal(spark, sf_dir, year, zeros=True):
+    return T.merged_renewals(T.person_years(_orders_of_people(spark, sf_dir), LAST_YEAR, THIS_YEAR), year, zeros)
 
 
 def auto_deduct_remaining(spark, sf_dir):
-    old_self, _, new_self, new_com = _years(
+    orders = _orders_of_people(
         spark, sf_dir, "order_item_id", "automatic_deduction", "is_automatic_deduction",
         "medical_insure_flag", "payway",
     )
-    return T.auto_deduct_remaining(old_self, new_self, new_com, by_payment=True)
+    states = T.deduction_states(orders, LAST_YEAR, THIS_YEAR, by_payment=True)
+    return T.auto_deduct_remaining(materialised(states), by_payment=True)
 
 
 # Deduction ----------------------------------------------------------------
@@ -652,6 +626,7 @@ REPORTS: dict[str, Query] = {
     "top_regions": top_regions,
     "agent_daily": agent_daily,
     "agent_cumulative": agent_cumulative,
+    "agent_calendar": agent_calendar,
     "agent_long": agent_long,
     "agent_milestones": agent_milestones,
     "agent_milestones_registered": partial(agent_milestones, registered=True),
@@ -662,13 +637,13 @@ REPORTS: dict[str, Query] = {
     "agent_summary": agent_summary,
     "lured_refunds_company": lured_refunds_company,
     "lured_refunds_channel": lured_refunds_channel,
-    "renewal_last_year_self": renewal_last_year_self,
-    "renewal_last_year_com": renewal_last_year_com,
-    "renewal_this_year_self": renewal_this_year_self,
-    "renewal_this_year_com": renewal_this_year_com,
-    "renewal_last_year": renewal_last_year,
-    "renewal_last_year_nulls": partial(renewal_last_year, zeros=False),
-    "renewal_this_year": renewal_this_year,
+    "renewal_last_year_self": partial(renewal, year="old", kind="self"),
+    "renewal_last_year_com": partial(renewal, year="old", kind="com"),
+    "renewal_this_year_self": partial(renewal, year="new", kind="self"),
+    "renewal_this_year_com": partial(renewal, year="new", kind="com"),
+    "renewal_last_year": partial(merged_renewal, year="old"),
+    "renewal_last_year_nulls": partial(merged_renewal, year="old", zeros=False),
+    "renewal_this_year": partial(merged_renewal, year="new"),
     "auto_deduct_remaining": auto_deduct_remaining,
     "deduction_stage_counts": _stage_counts,
     "deduction_funnel": deduction_funnel,

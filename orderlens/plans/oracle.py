@@ -620,6 +620,34 @@ CUMULATIVE = f"""{DAYS}, co as (
 )"""
 
 
+def agent_calendar() -> str:
+    """Every day of the period against the daily figures up to it."""
+    return with_fact(
+        f""", o as (
+  select company, date_created as d, count(*) as n, {distinct_na('sale_channel_id')} as agents
+  from fact where company is not null group by 1, 2
+), r as (select company, date_updated as d, count(*) as n from fact where company is not null and {REFUND} group by 1, 2),
+a as (
+  select company, d, count(*) as n
+  from (select company, sale_channel_id, min(date_created) as d from fact where company is not null group by 1, 2) group by 1, 2
+), days as (
+  select company, cast(unnest(generate_series({START}, {END}, interval 1 day)) as date) as d
+  from (select distinct company from o)
+), so_far as (
+  select days.company as company, days.d as d, {', '.join(f"coalesce(sum(n) filter (kind = '{k}'), 0) as {name}" for k, name in (('o', 'cum_orders'), ('r', 'cum_refunds'), ('a', 'cum_agents')))}
+  from days left join (
+    select 'o' as kind, company, d, n from o union all select 'r', company, d, n from r union all select 'a', company, d, n from a
+  ) x on x.company = days.company and x.d <= days.d
+  group by 1, 2
+)
+select so_far.company as company, {day('so_far.d')} as date, coalesce(o.n, 0) as orders, coalesce(r.n, 0) as refunds,
+  {long('coalesce(agents, 0)')} as agents, {long('cum_orders')} as cum_orders, {long('cum_refunds')} as cum_refunds,
+  {long('cum_agents')} as cum_agents, {share('cum_orders', 'cum_agents', 1)} as cum_avg_orders
+from so_far left join o on o.company = so_far.company and o.d = so_far.d
+left join r on r.company = so_far.company and r.d = so_far.d"""
+    )
+
+
 def milestones(registered: bool = False) -> str:
     cutoffs = [
         ("前3天", f"{START} + 3"),
@@ -1328,6 +1356,7 @@ select * from named where (select count(*) from named x where x.people > named.p
 select company, {day('d')} as date, 'cum_agents' as measure, cast(cum_agents as double) as value from cum
 union all select company, {day('d')}, 'cum_avg_orders', cum_avg_orders from cum"""
         ),
+        "agent_calendar": agent_calendar(),
         "agent_milestones": milestones(),
         "agent_milestones_registered": milestones(True),
         "agent_registered": with_fact(

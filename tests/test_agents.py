@@ -82,6 +82,31 @@ def test_last_day_holds_everything(days, data):
     assert last[2] == sum(r[1] == "B" for r in data)
 
 
+def test_calendar_has_every_day(days, data):
+    found = {(r.company, r.date): r for r in A.agent_calendar(days, START, END).collect()}
+    every = [START + dt.timedelta(days=n) for n in range((END - START).days + 1)]
+    assert sorted(found) == sorted((c, day) for c in ("A", "B") for day in every)
+    for (company, day), row in found.items():
+        own = [o for o in data if o[1] == company]
+        so_far = [o for o in own if o[3] <= day]
+        assert row.orders == sum(o[3] == day for o in own)
+        assert row.refunds == sum(o[4] == day for o in own if o[5] in ("04", "05"))
+        assert (row.cum_orders, row.cum_agents) == (len(so_far), len({o[2] for o in so_far}))
+        assert row.cum_refunds == sum(o[4] <= day for o in own if o[5] in ("04", "05"))
+
+
+def test_calendar_bounds(spark):
+    made = [("1", "A", "a1", d("2022-01-03"), None, "00", 0, "n", "b", "s"), ("2", "A", None, d("2022-01-06"), d("2022-01-08"), "04", 0, "n", "b", "s")]
+    days = A.agent_days(spark.createDataFrame(made, SCHEMA))
+    own = rows(A.agent_calendar(days), "date", "orders", "cum_orders", "cum_agents", "cum_avg_orders")
+    assert [r[0].day for r in own] == [3, 4, 5, 6, 7, 8]
+    assert [r[2:] for r in own] == [(1, 1, 1.0)] * 3 + [(2, 2, 1.0)] * 3
+    early = rows(A.agent_calendar(days, "2022-01-01", "2022-01-03"), "orders", "cum_orders", "cum_avg_orders")
+    assert early == [(0, 0, None), (0, 0, None), (1, 1, 1.0)]
+    assert A.agent_calendar(days, "2022-02-01", "2022-01-01").count() == 0
+    assert A.agent_calendar(days.filter("false")).count() == 0
+
+
 def test_milestones(days, data):
     found = rows(A.agent_milestones(days, START, END), "company", "milestone", "cutoff", "cum_orders", "cum_refunds", "cum_agents")
     points = A.milestones(START, END, True)

@@ -39,6 +39,19 @@ def test_net_orders_reads_the_orders_once(spark, sf_dir):
     assert len(re.findall(r"Location: .*lineitem\.parquet", text)) == 1
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("renewal_")])
+def test_renewals_read_the_orders_once(name, spark, sf_dir):
+    text = plan(QUERIES[name](spark, sf_dir), spark)
+    assert len(re.findall(r"Location: .*lineitem\.parquet", text)) == 1
+
+
+@pytest.mark.parametrize("name", ["agent_registered", "agent_milestones_registered", "agent_calendar", "auto_deduct_remaining"])
+def test_reports_on_saved_tables_leave_the_orders_alone(name, spark, sf_dir):
+    """What the orders say was written once before; the report reads that."""
+    text = plan(QUERIES[name](spark, sf_dir), spark)
+    assert "lineitem.parquet" not in text
+
+
 def test_windows_never_run_over_the_orders_in_one_partition(spark, sf_dir):
     """A window without partition keys only ever sees an aggregate."""
     for name in ("company_rank", "surname_counts", "region_share_weekly", "age_sex"):

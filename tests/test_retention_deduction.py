@@ -60,29 +60,44 @@ def test_person_key_writes_absent_parts(spark):
     assert df.select(T.person_key(F.col("x"), F.col("y"))).first()[0] == "a_NA"
 
 
-def people(spark, *data):
-    schema = "order_item_id string, company string, id_no string, policy_order_status string, automatic_deduction int, is_automatic_deduction int, medical_insure_flag int, payway string"
-    return spark.createDataFrame(list(data), schema)
+YEARS = (("2021-01-01", "2021-12-31"), ("2022-01-01", "2022-12-31"))
+PEOPLE = (
+    "order_item_id string, date_created date, group string, company string, id_no string, policy_order_status string, "
+    "automatic_deduction int, is_automatic_deduction int, medical_insure_flag int, payway string"
+)
 
 
 def person(number, company, id_no, status="00", signed=1, deducted=0, medical=0, payway="微信"):
     return (str(number), company, id_no, status, signed, deducted, medical, payway)
 
 
+def both_years(spark, old_self=(), old_com=(), new_self=(), new_com=()):
+    """One table of orders, with two that lie in neither year."""
+    sides = (("2021-12-31", "self", old_self), ("2021-01-01", "com", old_com), ("2022-01-01", "self", new_self), ("2022-12-31", "com", new_com))
+    outside = [("2020-12-31", "self", [person(90, "A", "p2")]), ("2023-01-01", "self", [person(91, "Z", "p1")])]
+    data = [(n, d(day), kind, *rest) for day, kind, orders in (*sides, *outside) for n, *rest in orders]
+    return spark.createDataFrame(data, PEOPLE)
+
+
 def test_renewals(spark):
-    old = people(spark, person(1, "A", "p1"), person(2, "A", "p2"), person(3, None, None), person(4, "B", "p4"))
-    new_self = people(spark, person(5, "A", "p1", "04"), person(6, "A", "p2"), person(7, "A", None))
-    new_com = people(spark, person(8, "A", "p4", "05"), person(9, "B", "p9"))
-    last = T.renewal_last_year(old, new_self, new_com)
-    assert rows(last, "company", "is_total", "orders", "renewed", "rate") == [
+    orders = both_years(
+        spark,
+        old_self=[person(1, "A", "p1"), person(2, "A", "p2"), person(3, None, None), person(4, "B", "p4")],
+        new_self=[person(5, "A", "p1", "04"), person(6, "A", "p2"), person(7, "A", None)],
+        new_com=[person(8, "A", "p4", "05"), person(9, "B", "p9")],
+    )
+    states = T.person_years(orders, *YEARS)
+    assert rows(T.renewals(states, "old", "self"), "company", "is_total", "orders", "renewed", "rate") == [
         (None, 0, 1, 1, 1.0), (None, 1, 4, 2, 0.5), ("A", 0, 2, 1, 0.5), ("B", 0, 1, 0, 0.0),
     ]
-    this = T.renewal_this_year(new_self, "self", old, new_com)
-    assert rows(this, "company", "is_total", "orders", "renewed") == [(None, 1, 2, 2), ("A", 0, 2, 2)]
-    merged = T.merge_renewals(last, T.renewals(new_com, [old.select("id_no")]))
-    assert rows(merged, "company", "is_total", "self_orders", "com_orders") == [
-        (None, 0, 1, 0), (None, 1, 4, 2), ("A", 0, 2, 1), ("B", 0, 1, 1),
+    assert rows(T.renewals(states, "new", "self"), "company", "is_total", "orders", "renewed") == [(None, 1, 2, 2), ("A", 0, 2, 2)]
+    assert rows(T.merged_renewals(states, "new"), "company", "is_total", "self_orders", "self_rate", "com_orders", "com_rate") == [
+        (None, 1, 2, 1.0, 1, 0.0), ("A", 0, 2, 1.0, 0, 0.0), ("B", 0, 0, 0.0, 1, 0.0),
+    ]
+    assert rows(T.merged_renewals(states, "new", zeros=False), "company", "is_total", "self_orders", "com_orders", "com_rate") == [
+        (None, 1, 2, 1, 0.0), ("A", 0, 2, None, None), ("B", 0, None, 1, 0.0),
     ]
+    assert T.renewals(T.person_years(both_years(spark).filter("false"), *YEARS), "old", "self").filter("is_total = 0").count() == 0
 
 
 def test_member_flag(spark):
@@ -92,31 +107,35 @@ def test_member_flag(spark):
 
 
 def test_auto_deduct_remaining(spark):
-    old = people(
-        spark,
+    old = [
         person(1, "A", "com"), person(2, "A", "self"), person(3, "A", "both"), person(4, "A", "ad"),
         person(5, "A", "back"), person(6, "A", "left1"), person(7, "A", "left2", medical=1),
         person(8, "A", "left3", medical=1, payway="医保个账"), person(9, "A", "unsigned", signed=0),
-    )
-    new_self = people(
-        spark,
+    ]
+    new_self = [
         person(11, "A", "self"), person(12, "A", "both"), person(13, "A", "ad", deducted=1),
         person(14, "A", "back", "04", deducted=1), person(15, "A", "left1", "04"),
-    )
-    new_com = people(spark, person(21, "A", "com"), person(22, "A", "both"))
-    found = T.auto_deduct_remaining(old, new_self, new_com, by_payment=True).filter("is_total = 1").first().asDict()
+        # The id of a deducted order counts as no own purchase, whoever else it names.
+        person(13, "A", "left2"),
+    ]
+    orders = both_years(spark, old_self=old, new_self=new_self, new_com=[person(21, "A", "com"), person(22, "A", "both")])
+    states = T.deduction_states(orders, *YEARS, by_payment=True)
+    found = T.auto_deduct_remaining(states, by_payment=True).filter("is_total = 1").first().asDict()
     del found["company"], found["is_total"]
     assert found == {
         "signed": 8, "bought_com": 2, "bought_self": 1, "deducted": 1, "deducted_refunded": 1,
         "left_own_money": 1, "left_medical_failed": 1, "left_medical_paid": 1,
         "remaining": 3, "remaining_share": 0.375,
     }
+    plain = T.auto_deduct_remaining(T.deduction_states(orders, *YEARS)).filter("is_total = 1").first()
+    assert (plain["signed"], plain["remaining"]) == (8, 3)
 
 
 def test_hot_person_counts_once_per_company(spark):
     """A third of the old orders belongs to one person, another third to nobody known."""
     data = [person(i, "A", "hot" if i % 3 == 0 else None if i % 3 == 1 else f"p{i}") for i in range(900)]
-    found = rows(T.renewal_last_year(people(spark, *data), people(spark, person(1, "A", "hot")), people(spark, person(2, "A", "q"))), "is_total", "orders", "renewed")
+    orders = both_years(spark, old_self=data, new_self=[person(1, "A", "hot")], new_com=[person(2, "A", "q")])
+    found = rows(T.renewals(T.person_years(orders, *YEARS), "old", "self"), "is_total", "orders", "renewed")
     assert found == [(0, 900, 300), (1, 900, 300)]
 
 
