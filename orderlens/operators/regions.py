@@ -190,23 +190,50 @@ def region_share(
     )
 
 
+#: Columns that a wide table has for its periods at most.
+MOST_PERIODS = 10_000
+
+
+def found_periods(
+    long: DataFrame, column: str = "period", group: str | None = None, most: int = MOST_PERIODS
+) -> list[tuple[str | None, str]]:
+    """(group, period) of all rows with a period, as texts, newest first; group is None without one.
+
+    One small aggregation of ``long``; with more than ``most`` of them it raises
+    instead of leaving any out.
+    """
+    kind = F.col(group).cast("string") if group else F.lit(None).cast("string")
+    pairs = long.filter(F.col(column).isNotNull()).groupBy(kind.alias("kind"), F.col(column).alias("period")).agg(F.lit(1))
+    found = pairs.orderBy(F.desc("period")).select("kind", F.col("period").cast("string").alias("period")).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} periods for columns; take a coarser period or a shorter time")
+    return [(row["kind"], row["period"]) for row in found]
+
+
 def region_wide(
     long: DataFrame,
-    periods: Sequence,
+    periods: Sequence | None = None,
     column: str = "period",
     group: str | None = None,
     groups: Sequence[str] = (),
     shares: bool = False,
+    most: int = MOST_PERIODS,
 ) -> DataFrame:
     """One row per region: total net orders, then one column per period, newest first.
 
     With ``group`` come the net orders of each of ``groups``, in that order, and
     their periods as ``<group>_<period>``; the premium is totalled if there is
-    one. ``shares`` adds ``share_<period>`` behind each period. The caller names
-    periods and groups, so the columns do not depend on the data and nothing
-    is collected to find them. Periods without orders show 0.
+    one. ``shares`` adds ``share_<period>`` behind each period. Periods without orders show 0.
+
+    Without ``periods`` the columns are those found in ``long`` (see :func:`found_periods`; each
+    group has its own), which is then read twice and should be a written table. The total
+    holds all rows, also those without a period and those of periods the caller did not name.
     """
-    newest_first = [str(period) for period in sorted(periods, reverse=True)]
+    if periods is None:
+        found = found_periods(long, column, group, most)
+    else:
+        newest = [str(period) for period in sorted(periods, reverse=True)]
+        found = [(name, period) for name in (groups if group else [None]) for period in newest]
     measures = [F.sum("net_orders").cast("long").alias("net_orders")]
     if "premium" in long.columns:
         measures.append(F.sum("premium").cast("decimal(18,2)").alias("premium"))
@@ -216,7 +243,7 @@ def region_wide(
     ]
     period = F.col(column).cast("string")
     place = period if group is None else F.concat(F.col(group), F.lit("_"), period)
-    names = newest_first if group is None else [f"{name}_{p}" for name in groups for p in newest_first]
+    names = [p for _, p in found] if group is None else [f"{name}_{p}" for name in groups for kind, p in found if kind == name]
     values = [F.sum("net_orders").alias("net")] + ([F.max("share").alias("share")] if shares else [])
     # A pivot holds one array per region, whatever the number of columns.
     placed = long.select(F.col("region").alias("of_region"), place.alias("place"), "net_orders", *(["share"] if shares else []))

@@ -7,7 +7,7 @@ shown as ISO text and money as doubles, so results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +33,6 @@ START, END = date(1996, 1, 1), date(2000, 12, 31)
 LAST_YEAR = ("1999-01-01", "1999-12-31")
 THIS_YEAR = ("2000-01-01", "2000-12-31")
 RUN_DAYS = 2404
-# The sheets with a column per period cover all dates of the orders and refunds.
-DAYS = [str(date(1995, 1, 1) + timedelta(days=n)) for n in range((date(2001, 12, 31) - date(1995, 1, 1)).days + 1)]
-MONTHS = sorted({text[:7] for text in DAYS})
 SINCE = "1997-01-01"
 ONLINE_PATTERN = "线上平台|Brand#2"
 PRODUCTS = ("v0", "v1", "v2")
@@ -246,21 +243,21 @@ def _named(df, prefix=""):
     return df.withColumnsRenamed({c: prefix + c.replace("-", "_") for c in df.columns if c not in kept})
 
 
-def region_period_wide(spark, sf_dir, grain, periods):
-    long = _region_share(spark, sf_dir, grain).filter("is_total = 0")
-    return _named(R.region_wide(long, periods), "net_")
+def region_period_wide(spark, sf_dir, grain):
+    long = materialised(_region_share(spark, sf_dir, grain).filter("is_total = 0"))
+    return _named(R.region_wide(long), "net_")
 
 
 def region_share_monthly_wide(spark, sf_dir):
-    long = _region_share(spark, sf_dir, "month").filter("is_total = 0")
-    wide = R.region_wide(long, MONTHS, shares=True)
-    return _named(wide.withColumnsRenamed({m: f"net_{m}" for m in MONTHS}))
+    long = materialised(_region_share(spark, sf_dir, "month").filter("is_total = 0"))
+    wide = R.region_wide(long, shares=True)
+    return _named(wide.withColumnsRenamed({c: f"net_{c}" for c in wide.columns if c[0].isdigit()}))
 
 
 def region_group_wide(spark, sf_dir):
     daily = _region_money(spark, sf_dir, since=None)
-    monthly = daily.withColumn("period", F.date_format("date", "yyyy-MM"))
-    return _named(R.region_wide(monthly, MONTHS, group="group", groups=PRODUCTS))
+    monthly = materialised(daily.withColumn("period", F.date_format("date", "yyyy-MM")))
+    return _named(R.region_wide(monthly, group="group", groups=PRODUCTS))
 
 
 def _region_counts(spark, sf_dir, top=None):
@@ -616,8 +613,8 @@ REPORTS: dict[str, Query] = {
     "region_share_daily": partial(_region_share, grain="day"),
     "region_share_weekly": partial(_region_share, grain="week"),
     "region_share_monthly": partial(_region_share, grain="month"),
-    "region_daily_wide": partial(region_period_wide, grain="day", periods=DAYS),
-    "region_monthly_wide": partial(region_period_wide, grain="month", periods=MONTHS),
+    "region_daily_wide": partial(region_period_wide, grain="day"),
+    "region_monthly_wide": partial(region_period_wide, grain="month"),
     "region_share_monthly_wide": region_share_monthly_wide,
     "region_group_wide": region_group_wide,
     "region_counts": _region_counts,

@@ -477,47 +477,44 @@ def total_of(condition: str, name: str) -> str:
     return f"{long(f'coalesce(sum(case when {condition} then net_orders end), 0)')} as {name}"
 
 
-def named(period: str) -> str:
-    return period.replace("-", "_")
+def pivoted(rows: str, prefix: str, value: str, of: str = "period") -> str:
+    """One row per region and a column per period of the data; ``rows`` has region, the period and the value."""
+    return f"""(pivot (
+  select region, '{prefix}' || replace(cast({of} as varchar), '-', '_') as place, {value} as value from {rows} where {of} is not null
+) on place using sum(value) group by region)"""
 
 
-def region_wide(grain: str, periods: list[str]) -> str:
-    columns = ", ".join(total_of(f"cast(period as varchar) = '{p}'", f"net_{named(p)}") for p in periods)
+def region_wide(grain: str) -> str:
     return with_fact(
         f""", {PLACED}, {region_counts_by(GRAINS[grain])}
-select region, {long('sum(net_orders)')} as net_orders, {columns} from net group by region"""
+select t.region, net_orders, cast(coalesce(columns(w.* exclude (region)), 0) as bigint)
+from (select region, {long('sum(net_orders)')} as net_orders from net group by region) t
+left join {pivoted('net', 'net_', 'net_orders')} w on t.region = w.region"""
     )
 
 
 def region_share_wide() -> str:
-    def part(month: str) -> str:
-        own = f"sum(case when period = '{month}' then net_orders end)"
-        everyone = f"any_value(case when period = '{month}' then everyone end)"
-        return f"coalesce({share(own, everyone, 3)}, 0) as share_{named(month)}"
-
-    columns = ", ".join(f"{total_of(month_is(m), 'net_' + named(m))}, {part(m)}" for m in C.MONTHS)
     return with_fact(
         f""", {PLACED}, {region_counts_by(GRAINS['month'])},
-n2 as (select *, sum(net_orders) over (partition by period) as everyone from net)
-select region, {long('sum(net_orders)')} as net_orders, {columns} from n2 group by region"""
+n2 as (select region, period, net_orders, {share('net_orders', 'everyone', 3)} as part from (
+  select *, sum(net_orders) over (partition by period) as everyone from net
+))
+select t.region, net_orders, cast(coalesce(columns(w.* exclude (region)), 0) as bigint), coalesce(columns(p.* exclude (region)), 0)
+from (select region, {long('sum(net_orders)')} as net_orders from net group by region) t
+left join {pivoted('n2', 'net_', 'net_orders')} w on t.region = w.region
+left join {pivoted('n2', 'share_', 'part')} p on t.region = p.region"""
     )
 
 
-def month_is(month: str) -> str:
-    return f"period = '{month}'"
-
-
 def region_group_wide() -> str:
-    columns = [total_of(f"grp = '{p}'", f"{p}_total") for p in C.PRODUCTS]
-    columns += [
-        total_of(f"grp = '{p}' and strftime(period, '%Y-%m') = '{m}'", f"{p}_{named(m)}")
-        for p in C.PRODUCTS
-        for m in C.MONTHS
-    ]
+    totals = ", ".join(total_of(f"grp = '{p}'", f"{p}_total") for p in C.PRODUCTS)
+    grouped = "(select region, net_orders, grp || '_' || strftime(period, '%Y-%m') as place from money where grp in ({}))"
     return with_fact(
         f""", {money(None)}
-select region, {long('sum(net_orders)')} as net_orders, round(sum(premium), 2) as premium, {', '.join(columns)}
-from money group by region"""
+select t.region, net_orders, premium, {', '.join(f't."{p}_total"' for p in C.PRODUCTS)}, cast(coalesce(columns(w.* exclude (region)), 0) as bigint)
+from (
+  select region, {long('sum(net_orders)')} as net_orders, round(sum(premium), 2) as premium, {totals} from money group by region
+) t left join {pivoted(grouped.format(', '.join(f"'{p}'" for p in C.PRODUCTS)), '', 'net_orders', 'place')} w on t.region = w.region"""
     )
 
 
@@ -1334,8 +1331,8 @@ from fact where {VALID} group by 1"""
         "region_share_daily": region_share("day"),
         "region_share_weekly": region_share("week"),
         "region_share_monthly": region_share("month"),
-        "region_daily_wide": region_wide("day", C.DAYS),
-        "region_monthly_wide": region_wide("month", C.MONTHS),
+        "region_daily_wide": region_wide("day"),
+        "region_monthly_wide": region_wide("month"),
         "region_share_monthly_wide": region_share_wide(),
         "region_group_wide": region_group_wide(),
         "region_counts": with_fact(f", {CODES6} select * from regions"),

@@ -193,6 +193,26 @@ def test_region_wide_by_group(orders, codes):
     ]
 
 
+def test_region_wide_finds_its_periods(spark):
+    data = [("东", "2005-03", 2), ("东", "1999-12", 1), ("西", "2022-01", 4), ("西", None, 8), (None, "2022-01", 16)]
+    long = spark.createDataFrame(data, "region string, period string, net_orders long")
+    wide = R.region_wide(long)
+    assert wide.columns == ["region", "net_orders", "2022-01", "2005-03", "1999-12"]
+    assert rows(wide) == [(None, 16, 16, 0, 0), ("东", 3, 0, 2, 1), ("西", 12, 4, 0, 0)]
+    assert R.region_wide(long, most=3).columns == wide.columns
+    with pytest.raises(ValueError, match="more than 2 periods"):
+        R.region_wide(long, most=2)
+    assert R.region_wide(long.filter("false")).columns == ["region", "net_orders"]
+
+
+def test_region_wide_finds_the_periods_of_each_group(spark):
+    data = [("东", d("2022-01-01"), "A", 1), ("东", d("2022-01-03"), "B", 2), ("西", d("2022-01-03"), "C", 4), ("西", d("2022-01-02"), "A", 8)]
+    long = spark.createDataFrame(data, "region string, date date, company string, net_orders long")
+    wide = R.region_wide(long, column="date", group="company", groups=["B", "A"])
+    assert wide.columns == ["region", "net_orders", "B_total", "A_total", "B_2022-01-03", "A_2022-01-02", "A_2022-01-01"]
+    assert rows(wide) == [("东", 3, 2, 1, 2, 0, 1), ("西", 12, 0, 8, 0, 8, 0)]
+
+
 def test_region_counts_with_a_shared_code(orders, codes, spark):
     shared = codes.union(spark.createDataFrame([("港", "4401")], "region string, code string"))
     assert rows(R.region_counts(orders, shared, prefix_len=4)) == [
