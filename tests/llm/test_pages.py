@@ -145,7 +145,7 @@ SQL = queries.oracle_sql()
 @pytest.mark.parametrize("name", list(SQL))
 def test_query_matches_sql(name, spark, sf_dir):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels"):
         duck.sql(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
     df = queries.queries()[name](spark, sf_dir)
     relation = duck.sql(SQL[name])
