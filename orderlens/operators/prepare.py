@@ -268,14 +268,15 @@ def with_channels_by_prefix(
     """Fill missing channel names from a channel that shares an id prefix.
 
     Prefixes are tried in order; per prefix the channel with the smallest id
-    stands for all, so the join never adds rows. The id of a filled order is
+    stands for all, so the join never adds rows. Ids that share a prefix share every shorter one,
+    so a length behind a shorter one finds nothing new and is left out: rising lengths take one join. The id of a filled order is
     cut to the prefix that matched. The prefix's hash is a second key, so that
     a join without broadcast gives both sides a shuffle of their own, where the
     many orders with nothing to fill can be split.
     """
     known = channels.filter("channel_1 is not null")
     filled = orders
-    for length in lengths:
+    for length in [n for i, n in enumerate(lengths) if all(n < m for m in lengths[:i])]:
         lookup = known.groupBy(
             F.substring("sale_channel_id", 1, length).alias("prefix")
         ).agg(F.min_by(F.struct(*NAMES), "sale_channel_id").alias("hit"))

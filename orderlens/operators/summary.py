@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.numbers import percent_text, share
+from orderlens.sources.tables import materialised
 
 # Payment methods paid in cash, and the medical account.
 CASH_LABELS = ("微信支付", "支付宝支付", "银联支付")
@@ -99,6 +100,31 @@ def show_totals(df: DataFrame, text: str, column: str = "date") -> DataFrame:
     return df.withColumn(column, label)
 
 
+def numbered(df: DataFrame, *keys: Column) -> DataFrame:
+    """Rows with their place ``row_no``, from 1, in the order of the keys and then of all columns.
+
+    The order is kept where files are read in any order. Rows are dealt to tasks by ranges and
+    numbered inside them; ranges start behind the rows of those before, so no task sees all rows.
+    """
+    order = [*keys, *[F.col(name).asc_nulls_first() for name in df.columns]]
+    place = F.monotonically_increasing_id().alias("at")
+    ranged = materialised(df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", place))
+    # An id has its task in the upper bits and counts within it in the lower 33.
+    ranged = ranged.withColumns({"task": F.shiftright("at", 33), "at": F.col("at").bitwiseAND((1 << 33) - 1)})
+    sizes = ranged.groupBy("task").agg(F.count("*").alias("rows"))
+    starts = sizes.select("task", (F.sum("rows").over(Window.orderBy("task")) - F.col("rows")).alias("start"))
+    # One row per task of the sort.
+    placed = ranged.join(F.broadcast(starts), "task")
+    return placed.select(*df.columns, (F.col("start") + F.col("at") + 1).alias("row_no"))
+
+
+def numbered_report(df: DataFrame, ranks: DataFrame, *then: str) -> DataFrame:
+    """A report with ``row_no``, in the order of :func:`sorted_report`."""
+    ranked = df.join(ranks.select("company", "sort_key"), "company", "left")
+    keys = [F.col("sort_key").asc_nulls_last(), *[F.col(name).asc_nulls_first() for name in then], F.asc("is_total")]
+    return numbered(ranked, *keys, F.col("date").asc_nulls_last()).drop("sort_key")
+
+
 def sorted_report(df: DataFrame, ranks: DataFrame | None, *then: str) -> DataFrame:
     """Order a report by company rank, further keys, and totals after their days."""
     if ranks is None:

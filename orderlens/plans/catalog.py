@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from orderlens.columns import Columns
+from orderlens.functions.dates import parse_timestamp
 from orderlens.operators import agents as A
 from orderlens.operators import deduction as D
 from orderlens.operators import demography as P
@@ -24,8 +25,10 @@ from orderlens.operators import prepare as E
 from orderlens.operators import regions as R
 from orderlens.operators import retention as T
 from orderlens.operators import summary as S
+from orderlens.plans.nightly import row_order
 from orderlens.plans.roles import fact, raw, table
-from orderlens.sources.tables import materialised
+from orderlens.sources.lookups import LOOKUPS, of_project, read_lookup, rejected_rows
+from orderlens.sources.tables import materialised, newest, publish, read_published, remove_folder, run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -557,6 +560,96 @@ def latest_created(spark, sf_dir):
     return E.latest_created(raw(spark, sf_dir, "order_item"))
 
 
+def latest_in_files(spark, sf_dir):
+    return newest(spark, f"{sf_dir}/orders.parquet", "o_orderdate")
+
+
+def com_items_unpaid(spark, sf_dir):
+    return E.com_order_items(raw(spark, sf_dir, "com_order_item"), str(START), str(END), PRICES, SKUS, unpaid=True)
+
+
+def company_profiles(spark, sf_dir):
+    return E.company_profiles(raw(spark, sf_dir, "com_info"))
+
+
+def parsed_stamps(spark, sf_dir):
+    return raw(spark, sf_dir, "stamps").select("event_id", parse_timestamp(F.col("stamp")).alias("stamp"))
+
+
+def replaced_rows(spark, sf_dir):
+    """Every tenth order comes again, as two rows with a new amount."""
+    items = raw(spark, sf_dir, "order_item").select("id", "payment_amount", "sku_code")
+    newer = items.filter("id % 10 = 0").withColumn("payment_amount", F.explode(F.array(F.lit("1"), F.lit("2"))))
+    return E.replace_rows(items, newer, "id")
+
+
+# Sources and sinks --------------------------------------------------------
+
+
+def _from_folder(spark, name, work):
+    """What ``work`` reads from a folder of its own, which is removed afterwards."""
+    folder = run_folder(spark, name)
+    try:
+        return materialised(work(folder))
+    finally:
+        remove_folder(spark, folder)
+
+
+def _written_lookup(spark, sf_dir, folder):
+    """The companies as a CSV file, line by line as they are."""
+    header = ",".join(LOOKUPS["companies"])
+    lines = raw(spark, sf_dir, "company_lines").withColumnRenamed("line", header)
+    # A line is one field here, with a separator and a quote that it does not hold.
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "\x02").csv(f"{folder}/companies")
+    return f"{folder}/companies"
+
+
+def lookup_read_back(spark, sf_dir):
+    def work(folder):
+        lookup = read_lookup(spark, "companies", _written_lookup(spark, sf_dir, folder))
+        return of_project(lookup, "徐州", "2022", "self")
+
+    return _from_folder(spark, "lookup", work)
+
+
+def lookup_rejected(spark, sf_dir):
+    return _from_folder(
+        spark, "lookup", lambda folder: rejected_rows(spark, "companies", _written_lookup(spark, sf_dir, folder))
+    )
+
+
+def published_ranks(spark, sf_dir):
+    """Two cities and three runs, one of which is written twice."""
+    rows = fact(spark, sf_dir, "company", "group")
+
+    def ranks(kind=None):
+        return N.company_rank(rows if kind is None else rows.filter(F.col("group") == kind))
+
+    def work(folder):
+        for city, run, kind in (("甲", "007", None), ("乙", "007", "com"), ("甲", "007", "self"), ("甲", "010", None)):
+            publish({"company_rank": ranks(kind)}, folder, city, run, per_company=("company_rank",))
+        return read_published(spark, folder, "company_rank", latest=False)
+
+    return _from_folder(spark, "published", work)
+
+
+# Row order ----------------------------------------------------------------
+
+
+def daily_company_ordered(spark, sf_dir):
+    daily = materialised(_net(spark, sf_dir, by=("company",), report=N.daily_company_net))
+    return S.numbered_report(daily, company_rank(spark, sf_dir))
+
+
+def surnames_ordered(spark, sf_dir):
+    return S.numbered(surname_counts(spark, sf_dir), F.desc("people"))
+
+
+def lured_channels_ordered(spark, sf_dir):
+    report = lured_refunds_channel(spark, sf_dir)
+    return S.numbered(report, *row_order("lured_refunds_channel", report))
+
+
 def _self_net(by, report):
     return partial(_net, kind="self", by=by, report=report)
 
@@ -663,6 +756,17 @@ REPORTS: dict[str, Query] = {
     "enriched_com_orders": _com_orders,
     "all_orders": all_orders,
     "latest_created": latest_created,
+    "latest_in_files": latest_in_files,
+    "com_items_unpaid": com_items_unpaid,
+    "company_profiles": company_profiles,
+    "parsed_stamps": parsed_stamps,
+    "replaced_rows": replaced_rows,
+    "lookup_read_back": lookup_read_back,
+    "lookup_rejected": lookup_rejected,
+    "published_ranks": published_ranks,
+    "daily_company_ordered": daily_company_ordered,
+    "surnames_ordered": surnames_ordered,
+    "lured_channels_ordered": lured_channels_ordered,
 }
 
 

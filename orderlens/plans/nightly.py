@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.columns import Columns
@@ -19,7 +19,7 @@ from orderlens.operators import prepare as E
 from orderlens.operators import regions as R
 from orderlens.operators import retention as T
 from orderlens.operators import summary as S
-from orderlens.sources.tables import remove_folder, run_folder, snapshot, write_reports
+from orderlens.sources.tables import publish, remove_folder, run_folder, snapshot, write_reports
 
 
 # Row order of the written reports; a minus sign means largest first.
@@ -38,17 +38,33 @@ ROW_ORDER = {
 }
 
 
-def in_row_order(name: str, report: DataFrame) -> DataFrame:
-    """The report sorted as it is shown; reports without an entry stay as they are."""
+#: Reports of which each company gets its own list.
+COMPANY_LISTS = ("agents_below_average",)
+
+
+def row_order(name: str, report: DataFrame) -> list[Column]:
+    """The keys that a report is sorted by where it is shown; none if it has no order."""
     keys = [
         F.desc(key[1:]) if key.startswith("-") else F.asc(key) for key in ROW_ORDER.get(name, ())
     ]
     if name.startswith("age_sex"):
         by = ["company"] if "company" in report.columns else []
         keys = [*map(F.asc, by), F.asc("is_total"), F.asc_nulls_last("band_start")]
+    return keys
+
+
+def in_row_order(name: str, report: DataFrame) -> DataFrame:
+    """The report sorted as it is shown; reports without an order stay as they are."""
+    keys = row_order(name, report)
     return report.orderBy(*keys) if keys else report
 
 
+def with_row_order(name: str, report: DataFrame) -> DataFrame:
+    """The report with the places of its rows as ``row_no``, if it has an order."""
+    keys = row_order(name, report)
+    return S.numbered(report, *keys) if keys else report
+
+
 #: Creation time of a corporate order; its creation column holds the payment time.
 ORDER_TIME = "date_created_origin"
 
@@ -202,20 +218,23 @@ def run(
     lookups: Mapping[str, DataFrame],
     folder: str,
     fmt: str = "parquet",
+    run_time: str | None = None,
 ) -> list[str]:
     """Enrich, write the orders to the shared folder, run and write the reports below.
 
-    What is kept in between lies in a folder of this run and is removed afterwards.
+    With ``run_time`` the reports go into tables that hold all cities and runs (see
+    :func:`orderlens.sources.tables.publish`), those of ``COMPANY_LISTS`` apart by company;
+    without it, into a folder of the city and year. What is kept in between lies in a folder of this run and is removed afterwards.
     """
     spark = raw["order_item"].sparkSession
     scratch = run_folder(spark, f"{project.city}-{project.year}")
     try:
-        return _run(project, raw, lookups, folder, fmt, scratch)
+        return _run(project, raw, lookups, folder, fmt, scratch, run_time)
     finally:
         remove_folder(spark, scratch)
 
 
-def _run(project, raw, lookups, folder, fmt, scratch) -> list[str]:
+def _run(project, raw, lookups, folder, fmt, scratch, run_time) -> list[str]:
     orders = snapshot(enrich(project, raw, lookups), "orders", scratch)
     channels = E.channel_table(raw["sales_channel"]).withColumnsRenamed(
         {"sale_channel_id": "channel_id", "channel_date_created": "registered"}
@@ -225,5 +244,8 @@ def _run(project, raw, lookups, folder, fmt, scratch) -> list[str]:
         **people_reports(orders, project, R.region_codes(lookups["regions"])),
         **agent_reports(orders, project, channels, lookups["company_channels"], scratch),
     }
+    if run_time is not None:
+        numbered = {name: with_row_order(name, report) for name, report in reports.items()}
+        return publish(numbered, folder, project.city, run_time, COMPANY_LISTS)
     shown = {name: in_row_order(name, report) for name, report in reports.items()}
     return write_reports(shown, f"{folder.rstrip('/')}/{project.city}/{project.year}", fmt)

@@ -1241,6 +1241,57 @@ def prefix_fallback() -> str:
 select * from f3"""
 
 
+SURNAMES = with_fact(
+    f"""select substring(name, 1, 1) as surname, count(*) as people,
+  {share('count(*)', f'(select count(*) from fact where {VALID})', 3)} as share
+from fact where {VALID} group by 1"""
+)
+COM_UNPAID = f"""select i.id as order_item_id, cast(i.date_created as varchar) as date_created,
+  cast(date_updated as varchar) as date_updated, product_id as sku_code, substring(sale_channel_id, 1, 16) as sale_channel_id,
+  policy_status as policy_order_status, payment_status, amount as payment_amount, com_id, order_id, 'com' as "group"
+from {table('com_order_item')} i
+where order_status <> '02' and payment_status in ('00', '01', '02') and amount in ({quoted(C.PRICES)})
+  and product_id in ({quoted(C.SKUS)})"""
+PROFILES = f"""select com_id, business_name,
+  case cast(business_type as varchar) {' '.join(f"when '{k}' then '{v}'" for k, v in L.BUSINESS_TYPES.items())} end as business_type,
+  credit_code, name as business_contact, phone_num as contact_tel, mail as contact_mail, address as business_address
+from ({raw_sql('com_info')})"""
+REPLACED = f"""select id, payment_amount, sku_code from ({raw_sql('order_item')}) where id % 10 <> 0
+union all select id, amount, sku_code from ({raw_sql('order_item')}), (values ('1'), ('2')) as v(amount) where id % 10 = 0"""
+LINES = f"(select line, string_split(line, ',') as f from ({raw_sql('company_lines')}))"
+READ_BACK = f"""select f[4] as sku_code, nullif(f[5], '') as company from {LINES}
+where len(f) = 5 and f[1] = '徐州' and f[2] = '2022' and f[3] = '个人'"""
+REJECTED = f"select 'companies' as lookup, f[1] as first_field, line as rejected from {LINES} where len(f) <> 5"
+
+
+def published() -> str:
+    def of(city: str, run: str, where: str) -> str:
+        return (
+            f"select '{city}' as city, '{run}' as run, company, count(*) as orders, "
+            "cast(row_number() over (order by count(*) desc, company) as int) as sort_key "
+            f"from fact where company is not null and {where} group by company"
+        )
+
+    runs = (("甲", "007", "\"group\" = 'self'"), ("乙", "007", "\"group\" = 'com'"), ("甲", "010", "true"))
+    return with_fact(" union all ".join(of(*run) for run in runs))
+
+
+def ordered(rows: str, keys: str, columns: tuple[str, ...]) -> str:
+    """Rows of a query with their places by the keys, then by the columns."""
+    then = ", ".join(f"{c} nulls first" for c in columns)
+    return f"select {', '.join(columns)}, row_number() over (order by {keys}, {then}) as row_no from ({rows})"
+
+
+def daily_company_ordered() -> str:
+    columns = ("company", "date", "is_total", "users", "applicants", "orders", "refunds", "net_orders")
+    ranks = with_fact(
+        "select company, row_number() over (order by count(*) desc, company) as sort_key "
+        "from fact where company is not null group by company"
+    )
+    rows = f"select d.*, sort_key from ({net('all', ('company',))}) d left join ({ranks}) r on r.company = d.company"
+    return ordered(rows, "sort_key nulls last, is_total, date nulls last", columns)
+
+
 def oracle_sql() -> dict[str, str]:
     stars, animals = [name for _, name in P.STAR_SIGNS], list(P.ZODIAC)
     return {
@@ -1310,11 +1361,7 @@ select {long('cash')} as cash, {long('medical')} as medical, {long('everyone - c
         "relationship_share": relationship(),
         "relationship_by_customer": relationship_customer(),
         "youngest_oldest": extremes(),
-        "surname_counts": with_fact(
-            f"""select substring(name, 1, 1) as surname, count(*) as people,
-  {share('count(*)', f'(select count(*) from fact where {VALID})', 3)} as share
-from fact where {VALID} group by 1"""
-        ),
+        "surname_counts": SURNAMES,
         "hour_profile": hours(),
         "region_net_daily": with_fact(
             f", {PLACED}, {region_counts_by('{d}')} "
@@ -1395,5 +1442,19 @@ union all select company, 'idle', idle from ({agents_summary()}) where is_total
         "enriched_orders": f"with {CHANNELS}, {SELF_ORDERS} select {SELF_OUT} from self_orders",
         "enriched_com_orders": f"with {CHANNELS}, {COM_ORDERS} select {COM_OUT} from com_orders",
         "all_orders": everything(),
+        "latest_in_files": f"select {day('max(o_orderdate)')} as newest from orders",
+        "com_items_unpaid": COM_UNPAID,
+        "company_profiles": PROFILES,
+        "parsed_stamps": "select event_id, case when event_id % 7 <> 0 then cast(date_trunc('second', ts) as varchar) end as stamp from events",
+        "replaced_rows": REPLACED,
+        "lookup_read_back": READ_BACK,
+        "lookup_rejected": REJECTED,
+        "published_ranks": published(),
+        "daily_company_ordered": daily_company_ordered(),
+        "surnames_ordered": ordered(SURNAMES, "people desc", ("surname", "people", "share")),
+        "lured_channels_ordered": ordered(
+            lured_channel(), "company nulls first, channel_1 nulls first, channel_2 nulls first, total_orders desc",
+            ("company", "channel_1", "channel_2", "channel_3", "total_orders", "lured_orders", "lured_orders_share"),
+        ),
         "latest_created": f"select {day('max(o_orderdate)')} as latest_created from orders",
     }

@@ -184,6 +184,31 @@ SIDE: dict[str, tuple[str, dict[str, str]]] = {
             "start_deduction_time": "'2022-03-1' || cast(r_regionkey as string) || ' 10:00:00'",
         },
     ),
+    # Lines of a lookup as somebody wrote them, some with too many fields or too few.
+    "company_lines": (
+        "customer",
+        {
+            "line": (
+                "case when c_custkey % 3 = 0 then '徐州' else '昆明' end || "
+                "case when c_custkey % 2 = 0 then ',2022' else ',2021' end || "
+                "case when c_custkey % 89 = 1 then '' else "
+                "case when c_custkey % 5 = 0 then ',企业,' else ',个人,' end || "
+                "lpad(cast(c_custkey as string), 8, '0') || ',' || "
+                "case when c_mktsegment = 'HOUSEHOLD' then '' else c_mktsegment end || "
+                "case when c_custkey % 97 = 0 then ',x' else '' end end"
+            ),
+        },
+    ),
+    "stamps": (
+        "events",
+        {
+            "event_id": "event_id",
+            "stamp": (
+                "case when event_id % 7 = 0 then 'n/a' else cast(date_trunc('second', ts) as string) || "
+                "case when event_id % 2 = 0 then ' CST' else '' end end"
+            ),
+        },
+    ),
     "task_totals": (
         "orders",
         {
@@ -331,6 +356,19 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
             "date_created": "cast(date '1998-01-01' + cast(c_custkey % 1100 as int) as timestamp)",
         },
     ),
+    "com_info": (
+        "customer",
+        {
+            "com_id": "c_custkey",
+            "business_name": "c_name",
+            "business_type": "cast(c_custkey % 11 as int)",
+            "credit_code": "lpad(cast(c_custkey as string), 18, '0')",
+            "name": "case when c_custkey % 29 <> 0 then c_name end",
+            "phone_num": "'1' || lpad(cast(c_custkey as string), 10, '0')",
+            "mail": "cast(c_custkey as string) || '@example.com'",
+            "address": "c_mktsegment",
+        },
+    ),
     "order_trade_record": (
         "lineitem",
         {

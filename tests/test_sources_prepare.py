@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.operators import prepare as E
+from orderlens.operators import summary as S
 from orderlens.plans import catalog, nightly
 from orderlens.plans.roles import raw
 from orderlens.sources import jdbc, lookups, tables
@@ -51,6 +52,100 @@ def test_snapshot_goes_to_the_shared_folder(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "agents").glob("company=*")) == ["company=A", "company=B"]
 
 
+def test_lookup_rows_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    path = tmp_path / "companies.csv"
+    path.write_text("city,year,group,sku_code,company\n徐州,2022,个人,1,A\n徐州,2022\n,2022,个人,2,\"B,C\"\n徐州,2022,个人,3,D,x\n")
+    lookup = lookups.read_lookup(spark, "companies", str(path))
+    assert lookup.count() == 2
+    assert rows(lookup, "sku_code", "company") == [("1", "A"), ("2", "B,C")]
+    rejected = lookups.rejected_rows(spark, "companies", str(path))
+    assert rejected.count() == 2
+    assert rows(rejected) == [("companies", "徐州", "徐州,2022"), ("companies", "徐州", "徐州,2022,个人,3,D,x")]
+    assert lookups.rejected_rows(spark, "companies", str(path)).filter("rejected like '%x'").count() == 1
+
+
+def test_lookup_with_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "wrong.csv").write_text("city,year,kind,sku_code,company\n徐州,2022,个人,1,A\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        lookups.read_lookup(spark, "companies", str(tmp_path / "wrong.csv")).collect()
+    spark.createDataFrame([("a", 1)], "region string, code int").write.parquet(str(tmp_path / "regions"))
+    with pytest.raises(ValueError, match="lacks codes"):
+        lookups.read_lookup(spark, "regions", str(tmp_path / "regions"), "parquet")
+
+
+def test_a_run_that_is_published_again_replaces_itself_only(spark, tmp_path):
+    folder = str(tmp_path / "reports")
+
+    def report(*companies):
+        return spark.createDataFrame([(c, i) for i, c in enumerate(companies)], "company string, n int")
+
+    assert tables.publish({}, folder, "A", "1") == []
+    tables.publish({"one": report("x", "y"), "two": report("x")}, folder, "A", "007", per_company=["two"])
+    tables.publish({"one": report("z")}, folder, "B", "007")
+    tables.publish({"one": report("x", None)}, folder, "A", "010")
+    kept = ("city", "run", "company", "n")
+    assert rows(tables.read_published(spark, folder, "one"), *kept) == [("A", "010", None, 1), ("A", "010", "x", 0), ("B", "007", "z", 0)]
+    # An empty report leaves its old files, but no row of them is seen.
+    tables.publish({"one": report("w"), "two": report()}, folder, "A", "007", per_company=["two"])
+    assert rows(tables.read_published(spark, folder, "one", latest=False), *kept) == [
+        ("A", "007", "w", 0), ("A", "010", None, 1), ("A", "010", "x", 0), ("B", "007", "z", 0),
+    ]
+    assert rows(tables.read_published(spark, folder, "two", latest=False)) == []
+    with pytest.raises(ValueError, match="column run"):
+        tables.publish({"one": report("x").withColumn("run", F.lit(1))}, folder, "B", "007")
+    # That run did not end.
+    assert rows(tables.read_published(spark, folder, "one", latest=False).filter("city = 'B'")) == []
+
+
+def test_newest_comes_from_the_footers(spark, sf_dir):
+    df = tables.newest(spark, f"{sf_dir}/orders.parquet", "o_orderdate")
+    assert "PushedAggregation: [MAX(o_orderdate)]" in df._jdf.queryExecution().executedPlan().toString()
+    read = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    assert df.first()[0] == read.agg(F.max("o_orderdate")).first()[0]
+    assert tables.newest(spark, f"{sf_dir}/orders.parquet", "o_orderkey").first()[0] == read.agg(F.max("o_orderkey")).first()[0]
+    assert tables.newest(spark, f"{sf_dir}/orders.parquet", "o_orderpriority").first()[0] == read.agg(F.max("o_orderpriority")).first()[0]
+
+
+@pytest.mark.parametrize("lengths", [(2, 4, 6), (6, 4, 2), (4, 2, 6), (4, 4)])
+def test_lengths_left_out_of_the_prefix_fallback_find_nothing(spark, lengths):
+    known = [(x, f"one {x}", None, f"three {x}") for x in ("aabbcc", "aabbdd", "aaxx", "bb", "b", "ccddee")] + [("ddeeff", None, None, None)]
+    channels = spark.createDataFrame(known, "sale_channel_id string, channel_1 string, channel_2 string, channel_3 string")
+    ids = ["aabbcc", "aabbzz", "aazz", "aa", "a", "b", "bbx", "ccddff", "ddeeff", "", None]
+    orders = [(i, None, None, None) for i in ids] + [("aabbcc", "own", "own", "own")]
+    df = spark.createDataFrame(orders, "sale_channel_id string, channel_1 string, channel_2 string, channel_3 string")
+
+    def filled(order):
+        for length in lengths:
+            if order[1] is None and order[0] is not None:
+                hits = sorted(c for c in known if c[1] and c[0][:length] == order[0][:length])
+                if hits:
+                    order = (order[0][:length], *hits[0][1:])
+        return order
+
+    found = E.with_channels_by_prefix(df, channels, lengths)
+    columns = ("sale_channel_id", "channel_1", "channel_2", "channel_3")
+    assert sorted(map(repr, rows(found, *columns))) == sorted(map(repr, map(filled, orders)))
+
+
+def test_rising_prefix_lengths_take_one_join(spark):
+    names = "sale_channel_id string, channel_1 string, channel_2 string, channel_3 string"
+    channels, orders = spark.createDataFrame([("a", "1", "2", "3")], names), spark.createDataFrame([("a", None, None, None)], names)
+
+    def joins(*lengths):
+        found = E.with_channels_by_prefix(orders, channels, lengths)
+        return found._jdf.queryExecution().analyzed().toString().count("Join LeftOuter")
+
+    assert joins(10, 12, 16) == 1 and joins(16, 12, 10) == 3
+
+
+def test_row_numbers(spark):
+    data = [("b", 2), ("a", 1), ("a", None), (None, 3), ("a", 1), ("c", 2)]
+    df = spark.createDataFrame(data, "k string, n int").repartition(4)
+    found = [tuple(r) for r in S.numbered(df, F.desc("n")).orderBy("row_no").collect()]
+    assert found == [(None, 3, 1), ("b", 2, 2), ("c", 2, 3), ("a", 1, 4), ("a", 1, 5), ("a", None, 6)]
+    assert S.numbered(df.limit(0), F.desc("n")).collect() == []
+
+
 def test_created_between(spark):
     df = spark.createDataFrame([(d("2022-01-01"),), (d("2022-01-02"),), (None,)], "date_created date")
     assert E.created_between(df, "2022-01-01", "2022-01-02").count() == 1
@@ -165,6 +260,13 @@ def test_nightly_run(spark, sf_dir, tmp_path):
         catalog.ONLINE_SKUS, ended=True, with_relation=True,
     )
     paths = nightly.run(project, raw_tables, lookup, str(tmp_path))
+    published = nightly.run(project, raw_tables, lookup, str(tmp_path / "all"), run_time="2001-01-02 03:00")
+    assert {path.rsplit("/", 1)[1] for path in published} == {path.rsplit("/", 1)[1] for path in paths}
+    numbers = tables.read_published(spark, str(tmp_path / "all"), "regions").orderBy("row_no").collect()
+    assert [r.row_no for r in numbers] == list(range(1, len(numbers) + 1)) and numbers[0].run == "2001-01-02 03:00"
+    assert [r.people for r in numbers] == sorted((r.people for r in numbers), reverse=True)
+    lists = [p.name for p in (tmp_path / "all" / "agents_below_average").glob("city=*/run=*/company=*")]
+    assert len(lists) == spark.read.parquet(paths[0].rsplit("/", 1)[0] + "/agents_below_average").select("company").distinct().count()
     assert len(paths) == len(set(paths)) > 30
     total = spark.read.parquet(str(tmp_path / "城/2000/daily_all")).filter("is_total = 1").first()
     orders = nightly.enrich(project, raw_tables, lookup)
