@@ -11,6 +11,8 @@ can be are never compared.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -52,6 +54,8 @@ def principal_axes(units: DataFrame, size: int) -> np.ndarray:
 def unit_rows(vectors: pa.Array, size: int) -> np.ndarray:
     """Rows of length one, in double precision."""
     x = np.asarray(pc.list_flatten(vectors), np.float64).reshape(-1, size)
+    # Powers of two change no digits; squares of very large or small parts stay in range.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
@@ -117,32 +121,13 @@ def linked_pairs(left: np.ndarray, right: np.ndarray, left_units: np.ndarray, ri
                 yield i[sure], j[sure]
 
 
-def near_vectors(
-    vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding"
-) -> DataFrame:
-    """(id, n_links, component, kept) for every row of vectors.
+def links_of(distinct: DataFrame, size: int, threshold: float) -> DataFrame:
+    """(rep, links, root) from the comparison of different vectors of one length, a row per tile pair and vector.
 
-    Rows are linked when the cosine of their vectors is at least the threshold, in double
-    precision. Null and zero vectors, those with null or non-finite parts, and those whose
-    length is not that of most vectors link with nothing. component is the smallest id reachable
-    over links, kept marks that row. Identical vectors are compared once and counted
-    with their number. Rows that repeat an id are rows of their own for n_links and share a
-    component; rows without an id come back with no links, kept.
+    distinct has vector, rep and n, the number of rows with that vector; links counts these rows.
+    root is a vector that rep is linked with.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
-    if rows.schema["vector"].dataType.simpleString() != "array<float>":
-        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
-    kind = rows.schema["vector"].dataType.simpleString()
-    finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(1e150)))
-    sound = F.coalesce(F.col("id").isNotNull() & finite & F.exists("vector", lambda v: F.abs(v) > 1e-150), F.lit(False))
-    rows = saved(rows.withColumn("sound", sound))
-    sizes = rows.filter("sound").groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    size = sizes["size"] if sizes else 0
-    sound_rows = rows.filter(F.col("sound") & (F.size("vector") == size))
-    distinct = saved(sound_rows.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
-    nothing = F.lit(0).cast("long")
-    if not sizes:
-        return rows.select("id", nothing.alias("n_links"), F.col("id").alias("component"), F.lit(True).alias("kept"))
+    kind = distinct.schema["vector"].dataType.simpleString()
     axes = principal_axes(distinct, size)
 
     def along(batches):
@@ -185,7 +170,35 @@ def near_vectors(
         columns = {"rep": reps[some], "links": links[some].astype(np.int64), "root": reps[label[some]]}
         return pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()})
 
-    found = saved(spread.groupBy("a", "b").applyInArrow(compare, "rep long, links long, root long"))
+    return saved(spread.groupBy("a", "b").applyInArrow(compare, "rep long, links long, root long"))
+
+
+def near_vectors(
+    vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding"
+) -> DataFrame:
+    """(id, n_links, component, kept) for every row of vectors.
+
+    Rows are linked when the cosine of their vectors is at least the threshold, in double
+    precision. Null and zero vectors and those with null or non-finite parts link with nothing,
+    vectors of different lengths not with each other; each length is compared on axes
+    of its own, one after another. component is the smallest id reachable
+    over links, kept marks that row. Identical vectors are compared once and counted
+    with their number. Rows that repeat an id are rows of their own for n_links and share a
+    component; rows without an id come back with no links, kept.
+    """
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
+    if rows.schema["vector"].dataType.simpleString() != "array<float>":
+        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
+    finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+    sound = F.coalesce(F.col("id").isNotNull() & finite & F.exists("vector", lambda v: v != 0), F.lit(False))
+    rows = saved(rows.withColumn("sound", sound))
+    nothing = F.lit(0).cast("long")
+    sound_rows = rows.filter("sound")
+    distinct = saved(sound_rows.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
+    sizes = [r["size"] for r in distinct.select(F.size("vector").alias("size")).distinct().orderBy("size").collect()]
+    if not sizes:
+        return rows.select("id", nothing.alias("n_links"), F.col("id").alias("component"), F.lit(True).alias("kept"))
+    found = reduce(DataFrame.unionByName, [links_of(distinct.filter(F.size("vector") == size), size, threshold) for size in sizes])
     components = connected_components(found, "rep", "root")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     known = distinct.select("vector", "rep", "n").join(links, "rep", "left").join(components.withColumnRenamed("id", "rep"), "rep", "left")
@@ -193,6 +206,6 @@ def near_vectors(
         "vector", (F.coalesce("links", nothing) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component")
     )
     sound_rows = sound_rows.select("id", "vector").join(known, "vector").select("id", "n_links", "component")
-    others = rows.filter(~F.col("sound") | (F.size("vector") != size) | F.col("vector").isNull())
+    others = rows.filter(~F.col("sound"))
     answer = sound_rows.unionByName(others.select("id", nothing.alias("n_links"), F.col("id").alias("component")))
     return answer.withColumn("kept", F.col("id").eqNullSafe(F.col("component")))

@@ -3,7 +3,7 @@
 Features of a text are shares of character classes, repetition of words and lines,
 and lengths, cut into bins by quantiles. A logistic model over the bins is fitted
 by minimising the non-negative unbiased risk of Kiryo et al. (2017): trusted
-positives on one side, unlabelled text on the other, weighted by the share of
+positives on one side, all unlabelled text on the other, weighted by the share of
 positives in unlabelled text. That share is estimated over all unlabelled rows, as
 the smallest ratio between how much of the unlabelled and of the positive scores
 lies above a cut, for models that tell the two sides apart, each scoring the half
@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import saved
 from orderlens.llm.words import slices, word_lists
 
-#: Rows of each side that the model is fitted on at most.
+#: Trusted rows that models are fitted on at most, unless the caller says so, and unlabelled rows that they start from.
 FIT_ROWS = 30_000
 BINS = 16
 STEPS = 400
 RATE = 0.05
+#: Steps over all unlabelled rows after those over the rows it starts from, and their rates.
+WHOLE_RATES = (0.02, 0.02, 0.01, 0.01, 0.005, 0.005)
 #: Weight of the squared weights in the risk, over the number of rows fitted on.
 DECAY = 3.0
 #: Cuts of the scores between which the share of positives is estimated.
@@ -173,6 +175,52 @@ class BinnedLogistic:
             self.weights -= RATE * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
 
 
+def whole_sums(table: DataFrame, model: BinnedLogistic) -> tuple[np.ndarray, float, int]:
+    """(gradient, loss, rows) of taking all rows of a feature table for negative, as sums over them."""
+    size = len(model.weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size + 2)
+        for batch in batches:
+            x = np.asarray(pc.list_flatten(batch.column(0)), np.float32).reshape(-1, FEATURES).astype(float)
+            cells = model.cells(x)
+            p = 1 / (1 + np.exp(-(model.weights[cells].sum(axis=1) + model.weights[-1])))
+            total[:size] += np.bincount(cells.ravel(), np.repeat(p, cells.shape[1]), size)
+            total[size - 1] += p.sum()
+            total[size] -= np.log(np.maximum(1 - p, 1e-12)).sum()
+            total[size + 1] += len(x)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 2)), pa.array(total)], names=["at", "x"])
+
+    total = np.zeros(size + 2)
+    for row in table.select("x").mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect():
+        total[row["at"]] = row["x"]
+    return total[:size], float(total[size]), int(total[size + 1])
+
+
+def fit_whole(model: BinnedLogistic, positive: np.ndarray, unlabelled: DataFrame, prior: float) -> None:
+    """Go on minimising the non-negative risk, with the unlabelled side's part of it from all its rows."""
+    size = len(model.weights)
+    cells, share = model.cells(positive), 1 / max(len(positive), 1)
+    moment, square = np.zeros(size), np.zeros(size)
+
+    for step, rate in enumerate(WHOLE_RATES, start=1):
+        g, loss, rows = whole_sums(unlabelled, model)
+        g, loss = g / max(rows, 1), loss / max(rows, 1)
+        p = 1 / (1 + np.exp(-(model.weights[cells].sum(axis=1) + model.weights[-1])))
+        # Taking the positives for negative, and the difference that taking them for positive makes.
+        negative = np.bincount(cells.ravel(), np.repeat(p * share, cells.shape[1]), size)
+        negative[-1] = p.sum() * share
+        ones = np.bincount(cells.ravel(), minlength=size) * share
+        ones[-1] = len(positive) * share
+        if loss + prior * np.log(np.maximum(1 - p, 1e-12)).sum() * share < 0:
+            g = prior * negative - g
+        else:
+            g = g - prior * ones
+        g += DECAY / max(1, len(positive) + rows) * model.weights
+        moment, square = 0.9 * moment + 0.1 * g, 0.999 * square + 0.001 * g * g
+        model.weights -= rate * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+
+
 def half(id_col: str = "id") -> Column:
     """0 or 1 by a hash of the id; rows without one are in half 0."""
     return F.pmod(F.xxhash64(id_col, F.lit("half")), F.lit(2)).cast("int")
@@ -262,17 +310,19 @@ def quality_scores(
     id_col: str = "doc_id",
     text_col: str = "text",
     fit_on: Column | None = None,
+    fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """(id, score) for every row of docs: the probability that its text is good.
 
     ``positives`` has the ids of trusted good documents, ``labelled`` those of all
     documents somebody judged (default: the positives); the rest of docs is the
-    unlabelled side. ``fit_on``, a condition on column id, keeps rows out of fitting
-    altogether. The model is fitted on at most ``FIT_ROWS`` rows of each side, taken
-    by a hash of the id; bin edges come from the same rows, the class prior from all
-    rows. Null and empty texts are scored as texts without characters; rows that
-    repeat an id or have none are scored one by one. If a side has no row, every
-    score is 0.5.
+    unlabelled side, and all of docs where nothing is left. ``fit_on``, a condition on
+    column id, keeps rows out of fitting altogether. Of the trusted rows at most ``fit_rows`` are
+    fitted on, taken by a hash of the id. Bin edges and first weights come from these and as
+    many unlabelled rows; then the risk over all unlabelled rows is minimised, and the class
+    prior and the calibration come from all rows. Null and empty texts are scored as
+    texts without characters; rows that repeat an id or have none are scored one by
+    one. Without a trusted row or without any to fit on, every score is 0.5.
     """
     table = saved(feature_table(docs, id_col, text_col))
     usable = table.filter("id is not null")
@@ -280,13 +330,16 @@ def quality_scores(
     ids = positives.select(F.col(positives.columns[0]).cast("long").alias("id")).distinct()
     judged = ids if labelled is None else labelled.select(F.col(labelled.columns[0]).cast("long").alias("id")).union(ids).distinct()
     positive = usable.join(ids, "id", "left_semi")
-    unlabelled = usable.join(judged, "id", "left_anti")
-    (good, good_half), (other, other_half) = sample(positive, FIT_ROWS), sample(unlabelled, FIT_ROWS)
+    unlabelled = saved(usable.join(judged, "id", "left_anti"))
+    if unlabelled.isEmpty():
+        unlabelled = usable
+    (good, good_half), (other, other_half) = sample(positive, fit_rows), sample(unlabelled, FIT_ROWS)
     if not len(good) or not len(other):
         return table.select("id", F.lit(0.5).alias("score"))
     models = told_apart(good, good_half, other, other_half)
     prior = class_prior(histogram(scores(positive, models)), histogram(scores(unlabelled, models)))
     model = BinnedLogistic(np.concatenate((good, other)))
     model.fit(good, other, prior)
+    fit_whole(model, good, unlabelled, prior)
     chance = calibration(histogram(scores(positive, [model])), histogram(scores(unlabelled, [model])), prior)
     return scores(table, [model], chance)

@@ -24,6 +24,10 @@ LARGE_SHARE = 1 / 256
 CELL_GROUPS = 20_000
 #: Rows that one task numbers at a time, on average.
 NUMBERED_ROWS = 100_000
+#: Exchanges a shard on average after placing, the least gain of one, and what shifts of the other sizes cost in it.
+SWAPS = 24
+LEAST_GAIN = 1e-7
+OTHERS_WEIGHT = 1.0
 #: Bytes counted for a document beside its text.
 ROW_BYTES = 16
 
@@ -31,27 +35,57 @@ ROW_BYTES = 16
 def place(sizes: np.ndarray, room: np.ndarray, scale: np.ndarray) -> np.ndarray:
     """Shard of each size vector; ``room`` (shards x dimensions) is what is left and changes.
 
-    Vectors are taken by falling first dimension. Room and sizes are compared after
-    dividing by ``scale``; a shard whose first dimension is full is taken only if all are.
+    Room and sizes are compared after dividing by ``scale``; vectors are taken by the falling sum
+    of their parts. A vector goes to the shard with the highest dot product of both among
+    those that it fits into as a whole; if there is none, where it exceeds the room of no dimension
+    by much. Then the first dimension is made even.
     """
     out = np.zeros(len(sizes), np.int64)
-    order = np.lexsort((-sizes[:, 1], -sizes[:, 0]))
     unit, left = sizes / scale, room / scale
+    order = np.lexsort((-sizes[:, 1], -sizes[:, 0], -unit.sum(axis=1)))
     for k in order:
-        score = np.maximum(left, 0) @ unit[k]
-        fits = left[:, 0] >= unit[k, 0]
+        after = left - unit[k]
+        fits = (after >= 0).all(axis=1)
         if fits.any():
-            # Dimensions beyond the first only break ties between shards with like room.
-            near = left[:, 0] >= left[:, 0].max() - unit[k, 0]
-            best = int(np.argmax(np.where(near, score, -np.inf)))
+            best = int(np.argmax(np.where(fits, left @ unit[k], -np.inf)))
         else:
-            best = int(np.argmax(left[:, 0]))
+            best = int(np.argmax(after.min(axis=1)))
         out[k] = best
         left[best] -= unit[k]
+    even_out(out, unit, left)
     room[:] = left * scale
     return out
 
 
+def even_out(out: np.ndarray, unit: np.ndarray, left: np.ndarray) -> None:
+    """Move or exchange vectors until the shards' rooms in the first dimension are as even as that makes them.
+
+    Each step takes the shards with most and least room and, among the exchanges that bring the two
+    closer, one near the middle that shifts little of the other dimensions.
+    """
+    for _ in range(SWAPS * len(left)):
+        full, free = int(np.argmin(left[:, 0])), int(np.argmax(left[:, 0]))
+        gap = (left[free, 0] - left[full, 0]) / 2
+        mine, theirs = np.flatnonzero(out == full), np.flatnonzero(out == free)
+        theirs = theirs[np.argsort(unit[theirs, 0], kind="stable")]
+        # The first partner is none: the vector moves alone.
+        other = np.vstack((np.zeros((1, unit.shape[1])), unit[theirs]))
+        at = np.searchsorted(other[:, 0], unit[mine, 0] - gap)
+        i = np.concatenate((mine, mine))
+        j = np.concatenate((np.maximum(at - 1, 0), np.minimum(at, len(theirs))))
+        shift = unit[i] - other[j]
+        good = np.flatnonzero((shift[:, 0] > LEAST_GAIN) & (shift[:, 0] < 2 * gap - LEAST_GAIN))
+        if not len(good):
+            return
+        cost = np.abs(shift[good, 0] - gap) + OTHERS_WEIGHT * np.abs(shift[good, 1:]).sum(axis=1)
+        best = good[int(np.argmin(cost))]
+        out[i[best]] = free
+        if j[best]:
+            out[theirs[j[best] - 1]] = full
+        left[full] += shift[best]
+        left[free] -= shift[best]
+
+
 def spaced_parts(text: Column) -> Column:
     """How many parts single spaces cut the text into: a cheap stand-in for its tokens."""
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit(""))) + 1

@@ -107,6 +107,25 @@ def test_near_vectors_of_nothing(spark):
     assert sorted((str(r.id), r.n_links, r.kept) for r in got) == [("2", 1, True), ("2", 1, True), ("None", 0, True)]
 
 
+def test_near_vectors_of_several_lengths_and_sizes(spark):
+    rows = [(1, [1.0, 2.0]), (2, [2.0, 4.01]), (3, [5.0, -1.0]), (4, [1.0, 0.0, 1.0]), (5, [3.0, 0.01, 3.0]), (6, [2.0])]
+    rows += [(7, [-1.0]), (8, [4.0]), (9, [3e300, 0.0, 3.1e300]), (10, [5e-324, 0.0, 5e-324]), (11, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.id: (r.n_links, r.component) for r in pca_tiles.near_vectors(df, 0.95).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (3, 4), 5: (3, 4), 6: (1, 6), 7: (0, 7), 8: (1, 6), 9: (3, 4), 10: (3, 4), 11: (0, 11)}
+
+
+def test_placing_balances_all_sizes_together():
+    rng = np.random.default_rng(3)
+    sizes = np.column_stack((rng.lognormal(6, 1, 4000), rng.lognormal(4, 1, 4000), np.ones(4000)))
+    room = np.tile(sizes.sum(axis=0) / 16, (16, 1))
+    shard = vector_packing.place(sizes, room, sizes.sum(axis=0) / 16)
+    held = np.array([np.bincount(shard, column, 16) for column in sizes.T])
+    spread = (held.max(axis=1) - held.min(axis=1)) / held.mean(axis=1)
+    assert spread[0] < 1e-3 and spread[1] < 0.05 and spread[2] < 0.02
+    assert np.allclose(room, sizes.sum(axis=0) / 16 - held.T)
+
+
 def check_shards(rows, got, shards):
     slots, size, homes = {}, {}, {}
     for (i, t), r in zip(sorted(rows), sorted(got, key=lambda r: r.id)):

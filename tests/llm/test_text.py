@@ -106,6 +106,9 @@ def test_quality_of_awkward_tables(spark):
     assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
     assert positive_unlabelled.quality_scores(documents(spark, []), ids).count() == 0
     assert {r.score for r in positive_unlabelled.quality_scores(docs, ids.limit(0)).collect()} == {0.5}
+    # With every document judged, all of them are the other side.
+    every = docs.select("doc_id")
+    assert len({r.score for r in positive_unlabelled.quality_scores(docs, ids, every).collect()}) > 1
 
 
 def test_features_of_many_slices_are_those_of_one(monkeypatch):
