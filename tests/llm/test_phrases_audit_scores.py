@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from orderlens.llm import attention_lm, phrase_rollup, queries, radix_audit
@@ -246,6 +247,37 @@ def test_no_place_sees_a_later_one_and_each_is_scored_once():
     assert np.bincount(windows.doc).tolist() == windows.number.tolist()
 
 
+def test_rounds_take_every_window_of_training_documents_once():
+    sizes = np.array([1, 16, 17, 40, 500, 3000, 90])
+    windows, trains = attention_lm.Windows(sizes), np.array([True, True, False, True, True, True, False])
+    rounds = [attention_lm.taken(windows, trains, number) for number in range(attention_lm.ROUNDS)]
+    assert sorted(np.concatenate(rounds).tolist()) == np.flatnonzero(trains[windows.doc]).tolist()
+
+
+def test_scores_do_not_depend_on_blocks_and_slices(spark, monkeypatch):
+    docs = table_of(spark, [(k, "en", t) for k, t in enumerate(texts() + [prose(50 + k, 90) for k in range(60)])]).coalesce(1)
+    columns = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    monkeypatch.setattr(attention_lm, "ROUNDS", 0)
+
+    def scores():
+        return sorted((*r[:5], round(r[5], 6), round(r[6], 2)) for r in attention_lm.scored(docs, TOKENIZER).select(columns).collect())
+
+    whole = scores()
+    monkeypatch.setattr(attention_lm, "SLICE_BYTES", 700)
+    monkeypatch.setattr(attention_lm, "BLOCK_BYTES", 4000)
+    cut = scores()
+    assert [r[:6] for r in cut] == [r[:6] for r in whole]
+    assert all(math.isclose(a[6], b[6], rel_tol=1e-4) for a, b in zip(cut, whole))
+
+
+def test_words_go_to_the_join_once_for_several_slices(spark, monkeypatch):
+    monkeypatch.setattr(attention_lm, "SLICE_BYTES", 700)
+    run = attention_lm.block_rows(TOKENIZER, 10)
+    docs = table_of(spark, [(k, "en", prose(50, 90)) for k in range(60)]).coalesce(1)
+    rows = docs.select(F.col("id"), F.col("text")).mapInArrow(run, attention_lm.BLOCK).select("ids", "words").collect()
+    assert [len(r["ids"]) for r in rows] == [60] and len(rows[0]["words"]) == len(set(prose(50, 90).split()))
+
+
 def test_score_is_that_of_plain_attention_place_by_place():
     classes, w, rng = small_model()
     sizes = np.array([1, 50, 77])
