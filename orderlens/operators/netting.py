@@ -115,19 +115,25 @@ def _buyer_days(df, cols, kind, start, end, by, total_by, required, path=()) ->
     return days.withColumn("is_first", has_orders & (F.row_number().over(own_days) == 1))
 
 
-def _counted(days: DataFrame, kind: str, by: list[str], total_by: list[str]) -> DataFrame:
-    """Daily rows and totals from :func:`_buyer_days`; no distinct is left to count."""
+def _per_day(days: DataFrame, kind: str, by: list[str], *more: Column) -> DataFrame:
+    """One row per day and ``by`` from :func:`_buyer_days`; no distinct is left to count."""
     of_user, has_orders = F.col("role") == "user", F.col("orders") > 0
     other = "user" if kind == "com" else "applicant"
     of_applicant = F.col("role") == other
-    keys = ["date", *by]
-    daily = days.groupBy(*keys).agg(
+    return days.groupBy("date", *by).agg(
         F.count_if(of_user & has_orders).alias("users"),
         F.count_if(of_applicant & has_orders).alias("applicants"),
         F.count_if(of_user & F.col("is_first")).alias("first_users"),
         F.count_if(of_applicant & F.col("is_first")).alias("first_applicants"),
         *[F.sum(F.when(of_user, F.col(name)).otherwise(0)).alias(name) for name in ("orders", "refunds", "deduct")],
+        *more,
     )
+
+
+def _counted(days: DataFrame, kind: str, by: list[str], total_by: list[str]) -> DataFrame:
+    """Daily rows and totals from :func:`_buyer_days`."""
+    keys = ["date", *by]
+    daily = _per_day(days, kind, by)
     total = F.grouping("date") == 1
     counts = [
         *[F.when(total, F.sum(f"first_{name}")).otherwise(F.sum(name)).alias(name) for name in ("users", "applicants")],
@@ -192,31 +198,48 @@ def daily_channel3_net(df, cols=Columns(), kind="all", start=None, end=None) ->
     the channel's first order.
     """
     by, names = ["company", "channel_id"], ["channel_1", "channel_2", "channel_3"]
-    days = _buyer_days(df, cols, kind, start, end, by, ["channel_id"], ["channel_id"], ["company", *names])
-    counts = _counted(days, kind, by, ["channel_id"])
-    paths = days.filter("role = 'path'")
-    measures = [c for c in counts.columns if c not in ("date", "company", "channel_id")]
-    daily = counts.filter("is_total = 0").withColumnsRenamed({c: f"day_{c}" for c in ("date", *by)})
-    same = (
-        F.col("day_date").eqNullSafe(F.col("date"))
-        & F.col("day_company").eqNullSafe(F.col("company"))
-        & (F.col("day_channel_id") == F.col("channel_id"))
+    days = _buyer_days(df, cols, kind, start, end, by, ["channel_id"], ["channel_id"], names)
+    # Each day's row carries the combinations of names of its orders and refunds, so that neither
+    # these nor the totals read the orders again.
+    path = F.when(F.col("role") == "path", F.struct("path", "first", "orders", "refunds"))
+    cells = _per_day(days, kind, by, F.collect_list(path).alias("paths"))
+    measures = ["users", "applicants", "orders", "refunds", "deduct"]
+
+    def row(is_total, date, company, named, best, *counts) -> Column:
+        return F.struct(
+            F.lit(is_total).alias("is_total"),
+            date.alias("date"),
+            company.alias("company"),
+            *[named[n].alias(n) for n in names],
+            best.alias("best"),
+            *[F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in zip(measures, counts)],
+        )
+
+    def best_of(p) -> Column:
+        return F.struct(p["first"].alias("first"), F.struct(F.col("company"), *[p["path"][n].alias(n) for n in names]).alias("path"))
+
+    best = F.array_min(F.transform(F.filter("paths", lambda p: p["orders"] > 0), best_of))
+
+    def of_path(p) -> Column:
+        sold, back = p["orders"] > 0, p["refunds"] > 0
+        shown = [F.when(back if n == "refunds" else sold, F.col(n)) for n in measures]
+        return row(0, F.col("date"), F.col("company"), p["path"], F.when(F.lit(False), best), *shown)
+
+    nowhere = F.struct(*[F.when(F.lit(False), F.get("paths", F.lit(0))["path"][n]).alias(n) for n in names])
+    nothing, nobody = F.when(F.lit(False), F.col("date")), F.when(F.lit(False), F.col("company"))
+    total = row(1, nothing, nobody, nowhere, best, F.col("first_users"), F.col("first_applicants"), *map(F.col, measures[2:]))
+    shown = cells.select("channel_id", F.inline(F.concat(F.transform("paths", of_path), F.array(total))))
+    # A daily row is alone in its group; the totals of a channel meet here.
+    rows = shown.groupBy("is_total", "date", "company", "channel_id", *names).agg(
+        F.min("best").alias("best"), *[F.sum(n).alias(n) for n in measures]
     )
-    sold, back = F.col("p_orders") > 0, F.col("p_refunds") > 0
-    shown = {c: F.when(sold, F.col(c)).otherwise(0) for c in ("users", "applicants", "orders")}
-    shown["refunds"] = F.when(back, F.col("refunds")).otherwise(0)
-    shown["net_orders"] = shown["orders"] - shown["refunds"]
-    if kind == "self":
-        shown["auto_deduct"] = F.when(sold, F.col("auto_deduct")).otherwise(0)
-    daily_rows = (
-        paths.select("date", *by, F.struct(*[f"path.{n}" for n in names]).alias("names"), F.col("orders").alias("p_orders"), F.col("refunds").alias("p_refunds"))
-        .join(daily, same)
-        .select("date", *by, "names.*", *[shown.get(c, F.col(c)).alias(c) for c in measures])
+    is_total = F.col("is_total") == 1
+    places = [F.when(is_total, F.col("best.path")[n]).otherwise(F.col(n)).alias(n) for n in ("company", *names)]
+    net = (F.col("orders") - F.col("refunds")).alias("net_orders")
+    return rows.filter(~is_total | F.col("best").isNotNull()).select(
+        "date", places[0], "channel_id", *places[1:], "is_total", *measures[:4], net,
+        *([F.col("deduct").alias("auto_deduct")] if kind == "self" else []),
     )
-    firsts = paths.filter("orders > 0").groupBy(F.col("channel_id").alias("id")).agg(F.min_by("path", F.struct("first", "path")).alias("path"))
-    totals = counts.filter("is_total = 1").drop("company").join(firsts, F.col("channel_id") == F.col("id"))
-    total_rows = totals.select("date", "path.company", "channel_id", *[f"path.{n}" for n in names], *measures)
-    return daily_rows.unionByName(total_rows)
 
 
 def company_rank(df: DataFrame, cols: Columns = Columns(), start=None, end=None) -> DataFrame:

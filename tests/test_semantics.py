@@ -54,6 +54,25 @@ def test_level_three_rows_carry_names_that_exist(spark):
     ]
 
 
+def test_level_three_reads_the_orders_once(spark, tmp_path):
+    day, later = d("2022-01-01"), d("2022-01-02")
+    data = [
+        ("1", day, None, "04", None, "A1", None, "C1", "k", "u", "v", None),
+        ("2", day, later, "00", "A", "A1", "B1", "C1", "k", "u", "u", "m"),
+        ("3", None, later, "04", "A", "A1", "B1", "C1", "k", "u", "u", None),
+        ("4", day, later, "04", "A", "A1", "B1", "C1", None, "u", "u", None),
+    ]
+    spark.createDataFrame(data, CHANNEL3).write.parquet(str(tmp_path / "orders"))
+    report = N.daily_channel3_net(spark.read.schema(CHANNEL3).parquet(str(tmp_path / "orders")))
+    assert rows(report, "date", "company", "channel_1", "channel_2", "channel_3", "is_total", "users", "applicants", "orders", "refunds", "net_orders") == [
+        (None, None, "A1", None, "C1", 0, 0, 0, 0, 1, -1),
+        (None, None, "A1", None, "C1", 1, 2, 2, 2, 1, 1),
+        (day, None, "A1", None, "C1", 0, 1, 1, 1, 0, 1),
+        (day, "A", "A1", "B1", "C1", 0, 1, 1, 1, 0, 1),
+    ]
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
 def test_repair_leaves_intact_channels_alone(spark):
     data = [("p", None, "A", "B", None, "P"), ("p", None, "A2", "B2", None, "P"), ("c", None, "X", "Y", "p", "C"), ("b", None, None, None, "p", "C")]
     df = spark.createDataFrame(data, "sale_channel_id string, channel_date_created date, channel_1 string, channel_2 string, parent_id string, channel_3 string")
