@@ -208,6 +208,27 @@ def test_crossover_keeps_a_valid_packing():
         assert np.bincount(child, lengths).max() <= 100 and (child >= 0).all()
 
 
+def test_plain_words_are_encoded_many_in_one_call():
+    """Batches meet no word's neighbour, and the model is not called word by word."""
+    rng = np.random.default_rng(4)
+    words = sorted({"".join(rng.choice(list("abcdefghijéßñıŉ"), rng.integers(1, 9))) for _ in range(12_000)})
+    own, calls = packing_ga.WordIds(BPE), []
+
+    class Counted:
+        def __init__(self, model):
+            self.model = model
+
+        def encode(self, *args, **options):
+            calls.append(1)
+            return self.model.encode(*args, **options)
+
+    own.model = Counted(own.model)
+    bounds, ids = own.encode(pa.array(words))
+    whole = Tokenizer.from_file(BPE)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [whole.encode(w, add_special_tokens=False).ids for w in words]
+    assert 0 < len(calls) <= -(-len(words) // 5000)
+
+
 def test_whole_sequences_carry_their_ids(spark):
     docs = documents(spark, [(1, "a b c"), (2, "d e")])
     pieces = packing_ga.token_pieces(docs, BPE, 4).withColumn("length", F.size("ids").cast("long"))
