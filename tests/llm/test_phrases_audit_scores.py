@@ -254,6 +254,15 @@ def test_rounds_take_every_window_of_training_documents_once():
     assert sorted(np.concatenate(rounds).tolist()) == np.flatnonzero(trains[windows.doc]).tolist()
 
 
+def test_windows_laid_out_hold_the_values_of_their_places():
+    sizes = np.array([1, 16, 17, 40, 500])
+    flat = np.arange(1, sizes.sum() + 1)
+    windows = attention_lm.Windows(sizes)
+    place, there = windows.places(np.arange(len(windows.doc)))
+    at, values, here = windows.laid_out(flat, np.ones(len(flat), bool))
+    assert (here[at] == there).all() and (values[at] == np.where(there, flat[place], 0)).all()
+
+
 def test_scores_do_not_depend_on_blocks_and_slices(spark, monkeypatch):
     docs = table_of(spark, [(k, "en", t) for k, t in enumerate(texts() + [prose(50 + k, 90) for k in range(60)])]).coalesce(1)
     columns = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
