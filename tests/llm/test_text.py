@@ -229,6 +229,38 @@ def test_plain_words_are_encoded_many_in_one_call():
     assert 0 < len(calls) <= -(-len(words) // 5000)
 
 
+def test_letters_with_marks_leave_the_whole_tokenizer_alone(monkeypatch):
+    """Capitals and signs behind letters of two bytes are split off; the rest is the model's."""
+    rng = np.random.default_rng(5)
+    stems = {"".join(rng.choice(list("abéßñÉÀÇ"), rng.integers(2, 7))) for _ in range(3_000)}
+    words = sorted(w + str(rng.choice(["", ".", ",%%%", "!?"])) for w in stems)
+    own, others = packing_ga.WordIds(BPE), []
+
+    class Counted:
+        def __init__(self, whole):
+            self.whole = whole
+
+        def encode(self, text, **options):
+            others.extend(text.split(" | "))
+            return self.whole.encode(text, **options)
+
+    own.tokenizer = Counted(own.tokenizer)
+    # Two calls of few kept words: some are met again in the older generation, some are learnt again.
+    monkeypatch.setattr(packing_ga, "KEPT_WORDS", 1_000)
+    whole = Tokenizer.from_file(BPE)
+    for part in (words, words[::-1], words[::7]):
+        bounds, ids = own.encode(pa.array(part))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [whole.encode(w, add_special_tokens=False).ids for w in part]
+    assert not [w for w in others if w[:1].isalpha()]
+
+
+@pytest.mark.parametrize("text", ["I\u0307\u0327 x", "ÉÀ× ×é.é's É'll ɐ.ɏ", "é\u0301. E\u0301! ÿ\u0327ŉ", "ǅ.Ǆ, ẞß Σς."])
+def test_word_ids_of_letters_with_marks(text):
+    bounds, ids = packing_ga.WordIds(BPE).encode(pa.array([text, None, text]))
+    want = Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
+    assert ids.tolist() == want * 2 and bounds.tolist() == [0, len(want), len(want), 2 * len(want)]
+
+
 def test_whole_sequences_carry_their_ids(spark):
     docs = documents(spark, [(1, "a b c"), (2, "d e")])
     pieces = packing_ga.token_pieces(docs, BPE, 4).withColumn("length", F.size("ids").cast("long"))
