@@ -287,6 +287,34 @@ def test_words_go_to_the_join_once_for_several_slices(spark, monkeypatch):
     assert [len(r["ids"]) for r in rows] == [60] and len(rows[0]["words"]) == len(set(prose(50, 90).split()))
 
 
+def test_words_of_all_blocks_meet_in_few_rows(spark, tmp_path, monkeypatch):
+    """Counts are exact, and a block sends each bucket one row, not one for each word."""
+    monkeypatch.setattr(attention_lm, "SLICE_BYTES", 700)
+    monkeypatch.setattr(attention_lm, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(attention_lm, "BUCKET_WORDS", 300)
+    rows = [(k, prose(50 + k, 90)) for k in range(40)] + [(10**12, "été " * 3), (None, "only held out"), (3, None)]
+    docs = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    blocks = attention_lm.stored(docs.mapInArrow(attention_lm.block_rows(TOKENIZER, 10), attention_lm.BLOCK), f"{tmp_path}/blocks")
+    found = attention_lm.word_counts(blocks).toArrow()
+    counts = Counter(w for i, t in rows if attention_lm.learnt_from(i, 10) for w in lower(t or "").split())
+    held = blocks.select("block", "words").collect()
+    buckets = -(-sum(len(r["words"]) for r in held) // 300)
+    assert len(held) > 2 and buckets > 1 and found.num_rows <= len(held) * buckets
+    got = {r["block"]: {} for r in held}
+    for k, block in enumerate(found["block"].to_pylist()):
+        places, c = attention_lm.ints(found, "places", k), attention_lm.ints(found, "c", k, "<i8")
+        got[block] |= dict(zip(places.tolist(), c.tolist(), strict=True))
+    for r in held:
+        words = [bytes(w).decode() for w in r["words"]]
+        assert got[r["block"]] == {k: counts[w] for k, w in enumerate(words) if counts[w]}
+    assert (sum(found["total"].to_pylist()), sum(found["distinct"].to_pylist())) == (counts.total(), len(counts))
+
+
+def test_scores_of_empty_texts_only(spark):
+    rows = attention_lm.scored(table_of(spark, [(1, "en", None), (2, "en", ""), (3, "en", " ")]), TOKENIZER).collect()
+    assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"]) for r in rows) == [(1, 1, 3)] * 3
+
+
 def test_score_is_that_of_plain_attention_place_by_place():
     classes, w, rng = small_model()
     sizes = np.array([1, 50, 77])
