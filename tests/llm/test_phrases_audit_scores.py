@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from orderlens.llm import attention_lm, phrase_rollup, queries, radix_audit
+from orderlens.llm import attention_lm, packing_ga, phrase_rollup, queries, radix_audit
 from orderlens.llm.common import filled
 from tests.llm.helpers import prose, texts
 
@@ -231,6 +231,42 @@ def test_gradients_equal_differences():
         assert math.isclose(g[name][at], (up - down) / 2e-5, rel_tol=1e-3), name
 
 
+def test_classes_far_apart_keep_finite_sums_and_gradients():
+    classes, w, rng = small_model()
+    w["out_bias"] = np.linspace(-400, 400, classes.n).astype(np.float32)
+    z, targets = rng.standard_normal((30, attention_lm.WIDTH)).astype(np.float32), rng.integers(0, classes.n, 30)
+    logits = z.astype(float) @ w["out"] + w["out_bias"]
+    want = logits[np.arange(30), targets] - logits.max(axis=1) - np.log(np.exp(logits - logits.max(axis=1, keepdims=True)).sum(axis=1))
+    found = attention_lm.logits_of(w, z)
+    total, top = attention_lm.powers(w, z, found)
+    assert np.isfinite(total).all() and top is not None and np.allclose(attention_lm.log_classes(w, z, targets), want, atol=1e-3)
+    rows = rng.integers(0, 40, (2, attention_lm.WINDOW))
+    g = attention_lm.gradients(w, rows, np.ones(rows.shape, bool), rng.integers(0, classes.n, (2, attention_lm.FRESH)))
+    assert all(np.isfinite(v).all() for v in g.values())
+
+
+def test_model_tells_words_apart_without_word_ids():
+    """Words go to the tokenizer's model by the call that leaves out their numbers, with the same ids and sizes."""
+    known = packing_ga.WordIds(TOKENIZER)
+    words = ["the", "thonheha", "a", "was", "xqzjvk", "the"] * 50
+    found = known.model.encode(words, is_pretokenized=True, add_special_tokens=False)
+    want = (np.bincount(found.word_ids).tolist(), found.ids)
+    model, slow = known.model, []
+
+    class Model:
+        encode_batch_fast = model.encode_batch_fast
+
+        def encode(self, *args, **kwargs):
+            slow.append(args)
+            return model.encode(*args, **kwargs)
+
+    known.model = Model()
+    assert tuple(x.tolist() for x in known.modelled(words)) == want and not slow
+    # Where tokens do not tell, the numbers are asked for.
+    known.last[:] = False
+    assert tuple(x.tolist() for x in known.modelled(words)) == want and slow
+
+
 def test_no_place_sees_a_later_one_and_each_is_scored_once():
     classes, w, rng = small_model()
     rows = rng.integers(0, 40, (2, attention_lm.WINDOW))
