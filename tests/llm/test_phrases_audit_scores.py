@@ -267,6 +267,70 @@ def test_model_tells_words_apart_without_word_ids():
     assert tuple(x.tolist() for x in known.modelled(words)) == want and slow
 
 
+def test_every_subword_of_training_has_weights_of_its_own():
+    """A subword of a band follows its neighbour, not its share of the counts; only those that are never met share."""
+    counts = np.array([900.0] * 28 + [5.0] * 60 + [0.0] * 12)
+    classes = attention_lm.Classes(counts, np.arange(100) % 2 == 0)
+    members = classes.member[28:88]
+    assert sorted(members.tolist()) == list(range(1, 61)) and not classes.member[:28].any() and not classes.member[88:].any()
+    assert len(set(classes.row.tolist())) == 100 and len(set(classes.of[:28].tolist())) == 28 and len(set(classes.of[88:].tolist())) == 1
+    w, rng = attention_lm.first_weights(classes), np.random.default_rng(1)
+    z = rng.standard_normal((60, attention_lm.WIDTH)).astype(np.float32)
+    assert np.allclose(attention_lm.log_members(w["own"], z, members, classes.bounds), classes.log_share[28:88], atol=1e-5)
+    w["own"] = rng.standard_normal(w["own"].shape).astype(np.float32)
+    for state in z[:5]:
+        logs = attention_lm.log_classes(w, np.tile(state, (100, 1)), classes.of)
+        inside = attention_lm.log_members(w["own"], np.tile(state, (100, 1)), classes.member, classes.bounds)
+        assert math.isclose(np.exp(logs + np.where(classes.member > 0, inside, classes.log_share)).sum(), 1, abs_tol=1e-4)
+        assert not np.allclose(inside[28:88], classes.log_share[28:88], atol=0.1)
+
+
+def test_gradients_inside_bands_equal_differences():
+    classes, w, rng = small_model(60)
+    w = {k: v.astype(np.float64) for k, v in w.items()}
+    w["own"] += rng.standard_normal(w["own"].shape) * 0.3
+    rows = rng.integers(0, 60, (3, attention_lm.WINDOW))
+    there = np.ones(rows.shape, bool)
+    there[0, : attention_lm.BEFORE] = there[1, -5:] = False
+    subs = rng.integers(0, 60, (3, attention_lm.FRESH))
+    new = there[:, attention_lm.BEFORE :]
+    targets, members = classes.of[subs], np.where(new, classes.member[subs], 0)
+
+    def loss():
+        z = attention_lm.attended(w, rows, there)["z"][new]
+        logs = attention_lm.log_classes(w, z, targets[new]) + attention_lm.log_members(w["own"], z, members[new], classes.bounds)
+        return -logs.mean()
+
+    g = attention_lm.gradients(w, rows, there, targets, members, classes.bounds)
+    for name, weight in w.items():
+        at = np.unravel_index(np.argmax(np.abs(g[name])), weight.shape)
+        before = weight[at]
+        weight[at] = before + 1e-5
+        up = loss()
+        weight[at] = before - 1e-5
+        down = loss()
+        weight[at] = before
+        assert g[name][at] and math.isclose(g[name][at], (up - down) / 2e-5, rel_tol=1e-3), name
+
+
+def test_model_learns_which_subword_of_a_band_follows(spark, monkeypatch):
+    """Pairs of rare words always follow one another; tasks average what they have learnt of them."""
+    pairs = ["the was", "was the", "to of", "of to", "and in", "in and", "he she", "she he"]
+    rng = random.Random(3)
+    rows = [(k, "en", " ".join(rng.choice(pairs) for _ in range(600))) for k in range(400)]
+    monkeypatch.setattr(attention_lm, "OWN_CLASSES", 1)
+    monkeypatch.setattr(attention_lm, "BANDS", 1)
+
+    def mean():
+        found = attention_lm.scored(table_of(spark, rows).repartition(2), TOKENIZER).filter("held_out").collect()
+        return sum(r["score"] for r in found) / sum(r["n_tokens"] for r in found)
+
+    # A word's share of its band is an eighth: -0.9. Its neighbour tells more, up to -0.45.
+    after = mean()
+    monkeypatch.setattr(attention_lm, "ROUNDS", 0)
+    assert mean() < -0.8 and after > -0.7
+
+
 def test_no_place_sees_a_later_one_and_each_is_scored_once():
     classes, w, rng = small_model()
     rows = rng.integers(0, 40, (2, attention_lm.WINDOW))
