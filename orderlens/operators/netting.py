@@ -53,47 +53,39 @@ BUYER_FIELDS = {
 }
 
 
-def _buyer_days(df, cols, kind, start, end, by, total_by, required, path=()) -> DataFrame:
+def _buyer_days(df, cols, kind, start, end, by, total_by, required) -> DataFrame:
     """One row per day, ``by`` and who bought: users and applicants, each in their role.
 
     Each order row is read once and spread into its dated events. ``orders``,
     ``refunds`` and ``deduct`` stand on rows of users only; refunds without a
     buyer. ``is_first`` marks the first day with orders of each user and
-    applicant within ``total_by``. With ``path`` the combinations of these
-    columns are one more role, with their first order.
+    applicant within ``total_by``.
     """
     with_deduct = kind == "self"
     statuses = refund_statuses(kind)
     fields = dict.fromkeys(
-        ["date_created", "date_updated", "status", *BUYER_FIELDS[kind], *by, *path]
+        ["date_created", "date_updated", "status", *BUYER_FIELDS[kind], *by]
         + (["auto_deduct"] if with_deduct else [])
-        + (["order_item_id"] if path else [])
     )
     user, applicant = buyers(kind)
     created, updated = as_day("date_created"), as_day("date_updated")
     refunded = is_in(F.col("status"), statuses)
     deduct = F.when(~refunded, F.col("auto_deduct")).otherwise(0) if with_deduct else F.lit(0)
     nobody = F.lit(None).cast("string")
-    places = F.struct(*[F.col(name) for name in path]) if path else nobody
-    first = F.struct("date_created", F.col("order_item_id").cast("string").alias("id")) if path else nobody
 
-    def event(day, is_order, role, who, deduct=F.lit(0), shown=False) -> Column:
+    def event(day, is_order, role, who, deduct=F.lit(0)) -> Column:
         return F.struct(
             day.alias("date"),
             F.lit(is_order).alias("is_order"),
             F.lit(role).alias("role"),
             who.alias("who"),
             deduct.cast("int").alias("deduct"),
-            *([(places if shown else F.when(F.lit(False), places)).alias("path"), (first if shown else F.when(F.lit(False), first)).alias("first")] if path else []),
         )
 
     bought = [event(created, 1, "user", user, deduct)]
     if kind != "com":
         bought.append(event(created, 1, "applicant", applicant))
     returned = [event(updated, 0, "user", nobody)]
-    if path:
-        bought.append(event(created, 1, "path", nobody, shown=True))
-        returned.append(event(updated, 0, "path", nobody, shown=True))
     rows = pick(df, cols, *fields).filter(in_period(created, start, end))
     if required:
         rows = rows.dropna(subset=required)
@@ -102,11 +94,10 @@ def _buyer_days(df, cols, kind, start, end, by, total_by, required, path=()) ->
     )
     # Down to one row per buyer and day before anything else; a hot buyer, and all
     # rows without one, collapse on the map side.
-    days = events.groupBy(*by, "date", "role", "who", *(["path"] if path else [])).agg(
+    days = events.groupBy(*by, "date", "role", "who").agg(
         F.sum("is_order").cast("long").alias("orders"),
         F.sum(1 - F.col("is_order")).cast("long").alias("refunds"),
         F.sum("deduct").cast("long").alias("deduct"),
-        *([F.min("first").alias("first")] if path else []),
     )
     has_orders = F.col("orders") > 0
     own_days = Window.partitionBy(*total_by, "role", "who").orderBy(
@@ -115,7 +106,7 @@ def _buyer_days(df, cols, kind, start, end, by, total_by, required, path=()) ->
     return days.withColumn("is_first", has_orders & (F.row_number().over(own_days) == 1))
 
 
-def _per_day(days: DataFrame, kind: str, by: list[str], *more: Column) -> DataFrame:
+def _per_day(days: DataFrame, kind: str, by: list[str]) -> DataFrame:
     """One row per day and ``by`` from :func:`_buyer_days`; no distinct is left to count."""
     of_user, has_orders = F.col("role") == "user", F.col("orders") > 0
     other = "user" if kind == "com" else "applicant"
@@ -126,7 +117,6 @@ def _per_day(days: DataFrame, kind: str, by: list[str], *more: Column) -> DataFr
         F.count_if(of_user & F.col("is_first")).alias("first_users"),
         F.count_if(of_applicant & F.col("is_first")).alias("first_applicants"),
         *[F.sum(F.when(of_user, F.col(name)).otherwise(0)).alias(name) for name in ("orders", "refunds", "deduct")],
-        *more,
     )
 
 
@@ -197,51 +187,140 @@ def daily_channel3_net(df, cols=Columns(), kind="all", start=None, end=None) ->
     refunds if they are among the refunds. Totals show company and names of
     the channel's first order.
     """
-    by, names = ["company", "channel_id"], ["channel_1", "channel_2", "channel_3"]
-    days = _buyer_days(df, cols, kind, start, end, by, ["channel_id"], ["channel_id"], names)
-    # Each day's row carries the combinations of names of its orders and refunds, so that neither
-    # these nor the totals read the orders again.
-    path = F.when(F.col("role") == "path", F.struct("path", "first", "orders", "refunds"))
-    cells = _per_day(days, kind, by, F.collect_list(path).alias("paths"))
-    measures = ["users", "applicants", "orders", "refunds", "deduct"]
+    names, measures = ["channel_1", "channel_2", "channel_3"], ["users", "applicants", "orders", "refunds", "deduct"]
+    cells = _channel_cells(df, cols, kind, start, end, names)
 
     def row(is_total, date, company, named, best, *counts) -> Column:
         return F.struct(
             F.lit(is_total).alias("is_total"),
             date.alias("date"),
             company.alias("company"),
-            *[named[n].alias(n) for n in names],
+            *[named(n).alias(n) for n in names],
             best.alias("best"),
-            *[F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in zip(measures, counts)],
+            *[F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in zip([*measures, "no_user", "no_applicant"], counts)],
         )
 
-    def best_of(p) -> Column:
-        return F.struct(p["first"].alias("first"), F.struct(F.col("company"), *[p["path"][n].alias(n) for n in names]).alias("path"))
-
-    best = F.array_min(F.transform(F.filter("paths", lambda p: p["orders"] > 0), best_of))
+    no, yes = F.lit(False), F.col("best")
 
     def of_path(p) -> Column:
-        sold, back = p["orders"] > 0, p["refunds"] > 0
-        shown = [F.when(back if n == "refunds" else sold, F.col(n)) for n in measures]
-        return row(0, F.col("date"), F.col("company"), p["path"], F.when(F.lit(False), best), *shown)
-
-    nowhere = F.struct(*[F.when(F.lit(False), F.get("paths", F.lit(0))["path"][n]).alias(n) for n in names])
-    nothing, nobody = F.when(F.lit(False), F.col("date")), F.when(F.lit(False), F.col("company"))
-    total = row(1, nothing, nobody, nowhere, best, F.col("first_users"), F.col("first_applicants"), *map(F.col, measures[2:]))
-    shown = cells.select("channel_id", F.inline(F.concat(F.transform("paths", of_path), F.array(total))))
-    # A daily row is alone in its group; the totals of a channel meet here.
-    rows = shown.groupBy("is_total", "date", "company", "channel_id", *names).agg(
-        F.min("best").alias("best"), *[F.sum(n).alias(n) for n in measures]
+        shown = [F.when(F.array_contains("back" if n == "refunds" else "sold", p), F.col(n)) for n in measures]
+        return row(0, F.col("date"), F.col("company"), lambda n: p[n], F.when(no, yes), *shown, F.lit(0), F.lit(0))
+
+    def nothing(name) -> Column:
+        return F.when(no, F.col("company") if name == "company" else F.get("sold", F.lit(0))[name])
+
+    total = row(
+        1, F.when(no, F.col("date")), nothing("company"), nothing, yes,
+        F.col("is_user"), F.col("is_applicant"), *map(F.col, measures[2:]), F.col("no_user"), F.col("no_applicant"),
     )
+    keys = ["channel_id", *names, "company", "date", "is_total"]
+    sums = [*[F.sum(n).alias(n) for n in measures], *[F.max(n).alias(n) for n in ("no_user", "no_applicant")]]
+    shown = cells.select("channel_id", "slot", F.inline(F.concat(F.transform(F.array_union("sold", "back"), of_path), F.array(total))))
+    # Totals meet in their slot first, then in their channel, which is left with days and slots of totals.
+    slots = shown.groupBy("channel_id", "slot", *keys[1:]).agg(F.min("best").alias("best"), *sums)
+    rows = slots.repartition("channel_id").groupBy(*keys).agg(F.min("best").alias("best"), *sums)
     is_total = F.col("is_total") == 1
     places = [F.when(is_total, F.col("best.path")[n]).otherwise(F.col(n)).alias(n) for n in ("company", *names)]
     net = (F.col("orders") - F.col("refunds")).alias("net_orders")
     return rows.filter(~is_total | F.col("best").isNotNull()).select(
-        "date", places[0], "channel_id", *places[1:], "is_total", *measures[:4], net,
+        "date", places[0], "channel_id", *places[1:], "is_total",
+        *[(F.col(n) + F.col(none)).alias(n) for n, none in (("users", "no_user"), ("applicants", "no_applicant"))],
+        "orders", "refunds", net,
         *([F.col("deduct").alias("auto_deduct")] if kind == "self" else []),
     )
 
 
+#: Places over which the days and the buyers of a channel are spread, so that one with many orders is no single task.
+CHANNEL_SLOTS = 32
+#: Types whose values are equal where their texts are.
+PLAIN_TYPES = ("tinyint", "smallint", "int", "bigint", "string")
+
+
+def _channel_cells(df, cols, kind, start, end, names: list[str]) -> DataFrame:
+    """One row per channel id, company and day, and one per channel id and buyer.
+
+    Each order is dealt once to its day, a refund to its own, and each once to its buyers: narrow rows, one for a buyer who
+    is user and applicant. Rows of days have counts, in ``sold`` and ``back`` the combinations of ``names`` of orders and refunds, and
+    ``best``, the first order; ``no_user`` and ``no_applicant`` say that some order has none. Rows of buyers say
+    whether the buyer is user or applicant of an order.
+    """
+    statuses, with_deduct = refund_statuses(kind), kind == "self"
+    fields = dict.fromkeys(
+        ["date_created", "date_updated", "status", "company", "channel_id", "order_item_id", *names, *BUYER_FIELDS[kind]]
+        + (["auto_deduct"] if with_deduct else [])
+    )
+    picked = pick(df, cols, *fields)
+    types = dict(picked.dtypes)
+    user, applicant = buyers(kind)
+    # Ids of one plain type need not become text, which takes more room.
+    if len({types[name] for name in BUYER_FIELDS[kind]}) == 1 and types[BUYER_FIELDS[kind][0]] in PLAIN_TYPES:
+        com, own, other = (F.col(name) if name in fields else None for name in ("com_id", "open_id", "applicant"))
+        user, applicant = (own, other) if kind == "self" else (com, com) if kind == "com" else (F.coalesce(com, own), F.coalesce(com, other))
+    created, updated = as_day("date_created"), as_day("date_updated")
+    refunded = is_in(F.col("status"), statuses)
+    deduct = F.when(~refunded, F.col("auto_deduct")).otherwise(0) if with_deduct else F.lit(0)
+    no = F.lit(False)
+    # What a row of a day carries, by name; rows of buyers have who and what they are.
+    carried = {
+        **{n: F.col(n) for n in ("company", *names)},
+        "user": user,
+        "applicant": applicant,
+        "at": F.col("date_created"),
+        "id": F.col("order_item_id"),
+        "deduct": deduct.cast("int"),
+    }
+    of_refunds = {"company", *names}
+
+    def event(role, date, who, has) -> Column:
+        return F.struct(
+            date.alias("date"),
+            who.alias("who"),
+            F.lit(role).cast("tinyint").alias("role"),
+            *[(c if n in has else F.when(no, c)).alias(n) for n, c in carried.items()],
+        )
+
+    nobody, never, same = F.when(no, user), F.when(no, created), user.eqNullSafe(applicant)
+    events = F.array(
+        event(SOLD, created, nobody, carried),
+        F.when(refunded, event(BACK, updated, nobody, of_refunds)),
+        F.when(user.isNotNull() & same, event(USER + APPLICANT, never, user, ())),
+        F.when(user.isNotNull() & ~same, event(USER, never, user, ())),
+        F.when(applicant.isNotNull() & ~same, event(APPLICANT, never, applicant, ())),
+    )
+    rows = picked.filter(in_period(created, start, end) & F.col("channel_id").isNotNull())
+    dealt = rows.select("channel_id", F.inline(F.array_compact(events)))
+    slot = F.pmod(F.hash("company", "date", "who"), F.lit(CHANNEL_SLOTS)).cast("tinyint")
+    dealt = dealt.withColumn("slot", slot).repartition("channel_id", "slot")
+    sold, back, role = F.col("role") == SOLD, F.col("role") == BACK, F.col("role")
+
+    def found(condition) -> Column:
+        return F.max(F.when(condition, 1).otherwise(0))
+
+    def distinct(name) -> Column:
+        return F.size(F.collect_set(F.when(sold, F.struct(name))))
+
+    first = F.struct(F.col("at").alias("date_created"), F.col("id").cast("string").alias("id"))
+    path = F.struct(*names)
+    return dealt.groupBy("channel_id", "slot", "company", "date", "who").agg(
+        distinct("user").alias("users"),
+        distinct("applicant").alias("applicants"),
+        F.count_if(sold).alias("orders"),
+        F.count_if(back).alias("refunds"),
+        F.sum(F.when(sold, F.col("deduct"))).alias("deduct"),
+        F.collect_set(F.when(sold, path)).alias("sold"),
+        F.collect_set(F.when(back, path)).alias("back"),
+        F.min(F.when(sold, F.struct(first.alias("first"), F.struct("company", *names).alias("path")))).alias("best"),
+        found(role.bitwiseAND(USER) > 0).alias("is_user"),
+        found(role.bitwiseAND(APPLICANT) > 0).alias("is_applicant"),
+        found(sold & F.col("user").isNull()).alias("no_user"),
+        found(sold & F.col("applicant").isNull()).alias("no_applicant"),
+    )
+
+
+#: What a dealt row stands for; the last two may come together.
+SOLD, BACK, USER, APPLICANT = 0, 16, 1, 2
+
+
 def company_rank(df: DataFrame, cols: Columns = Columns(), start=None, end=None) -> DataFrame:
     """Companies by number of orders of the period; ``sort_key`` 1 is the largest."""
     rows = pick(df, cols, "company", *(["date_created"] if (start, end) != (None, None) else []))

@@ -128,12 +128,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str, *roles: str) -> DataFrame:
-    """The order fact with the asked roles, joined from the tables they need."""
+    """The order fact with the asked roles, joined from the tables they need.
+
+    What belongs to an order is joined to the orders, before these meet their many lines: lines
+    are then shuffled once for it, by the order, and carry no customer.
+    """
     needed = {name for role in roles for name in ROLES[role][1]}
-    joined = table(spark, sf_dir, "lineitem")
-    for name, (left, right) in JOINS.items():
-        if name in needed:
-            joined = joined.join(table(spark, sf_dir, name), F.col(left) == F.col(right))
+
+    def with_tables(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+        for name in names:
+            if name in needed:
+                left, right = JOINS[name]
+                df = df.join(table(spark, sf_dir, name), F.col(left) == F.col(right))
+        return df
+
+    joined = with_tables(table(spark, sf_dir, "lineitem"), ("part",))
+    if "orders" in needed:
+        left, right = JOINS["orders"]
+        orders = with_tables(table(spark, sf_dir, "orders"), ("customer", "nation"))
+        joined = joined.join(orders, F.col(left) == F.col(right))
     return joined.select(*[F.expr(ROLES[role][0]).alias(role) for role in roles])
 
 

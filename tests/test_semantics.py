@@ -73,6 +73,40 @@ def test_level_three_reads_the_orders_once(spark, tmp_path):
     assert report._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
 
 
+def test_level_three_deals_orders_once_and_spreads_a_hot_channel(spark):
+    """One shuffle of orders, refunds and buyers, one of days and totals; days and buyers of a channel lie in many slots."""
+    day = d("2022-01-01")
+    data = [
+        (str(k), day + dt.timedelta(k % 60), day + dt.timedelta(k % 50), "04" if k % 3 == 0 else "00", "A", "A1", f"B{k % 2}", "C1", "k",
+         f"u{k % 70}" if k % 5 else None, f"p{k % 90}" if k % 7 else None, "m" if k % 11 == 0 else None)
+        for k in range(600)
+    ]
+    df = spark.createDataFrame(data, CHANNEL3)
+    report = N.daily_channel3_net(df)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan
+    users, applicants = ({r[11] or r[c] for r in data} for c in (9, 10))
+    refunds = sum(r[3] == "04" for r in data)
+    total = [(None, len(users), len(applicants), 600, refunds, 600 - refunds)]
+    assert rows(report.filter("is_total = 1"), "date", "users", "applicants", "orders", "refunds", "net_orders") == total
+    for r in report.filter("is_total = 0").collect():
+        sold = [x for x in data if x[1] == r.date]
+        shown = any(x[6] == r.channel_2 for x in sold)
+        assert (r.users, r.applicants, r.orders) == ((len({x[11] or x[9] for x in sold}), len({x[11] or x[10] for x in sold}), len(sold)) if shown else (0, 0, 0))
+    cells = N._channel_cells(df, Columns(), "all", None, None, ["channel_1", "channel_2", "channel_3"])
+    held = [r[0] for r in cells.groupBy("slot").count().select("count").collect()]
+    assert len(held) > N.CHANNEL_SLOTS // 2 and max(held) < sum(held) / 4
+
+
+def test_level_three_compares_ids_of_several_types_as_text(spark):
+    day = d("2022-01-01")
+    data = [(10, day, None, "00", "A", "A1", "B1", "C1", "k", "7", 7, None), (9, day, None, "00", "A", "A2", "B1", "C1", "k", "8", 7, 7)]
+    schema = CHANNEL3.replace("order_item_id string", "order_item_id bigint").replace("applicant_id_no string, com_id string", "applicant_id_no bigint, com_id int")
+    report = N.daily_channel3_net(spark.createDataFrame(data, schema))
+    # The corporate id 7 is the user 7; of equal days the first order is the first by its text, 10.
+    assert rows(report, "date", "channel_1", "users", "applicants", "orders") == [(None, "A1", 1, 1, 2), (day, "A1", 1, 1, 2), (day, "A2", 1, 1, 2)]
+
+
 def test_repair_leaves_intact_channels_alone(spark):
     data = [("p", None, "A", "B", None, "P"), ("p", None, "A2", "B2", None, "P"), ("c", None, "X", "Y", "p", "C"), ("b", None, None, None, "p", "C")]
     df = spark.createDataFrame(data, "sale_channel_id string, channel_date_created date, channel_1 string, channel_2 string, parent_id string, channel_3 string")
